@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from livegauge.functions.clock import bucket_start
+from livegauge.functions.clock import bucket_start, day_of
 from livegauge.operators.channels import with_platform
 
 # Rows of (bucket, previous bucket) or (bucket, rank) that may be broadcast: about 32 bytes each.
@@ -92,6 +92,16 @@ def newest_two_snapshots(observations: DataFrame, minutes: int = 10) -> DataFram
     return bucket_max(recent, minutes).withColumn("snapshot", F.when(is_newest, 1).otherwise(2))
 
 
+def newest_time(df: DataFrame, ts: str = "datetime") -> DataFrame:
+    """One row with the newest time as ``newest``; of a table partitioned by date, only its last date is read."""
+    if "obs_date" in df.columns:
+        df = df.filter(F.col("obs_date") == df.agg(F.max("obs_date")).scalar())
+    return df.agg(F.max(ts).alias("newest"))
+
+
 def newest_batch(df: DataFrame, ts: str = "datetime") -> DataFrame:
     """All rows of the newest time: rank 1 without ranking."""
-    return df.filter(F.col(ts) == df.agg(F.max(ts)).scalar())
+    newest = newest_time(df, ts).scalar()
+    if "obs_date" in df.columns:
+        df = df.filter(F.col("obs_date") == day_of(newest))
+    return df.filter(F.col(ts) == newest)

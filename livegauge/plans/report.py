@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from livegauge.functions import labels
 from livegauge.functions.clock import AsOf, age_minutes, as_of_column
-from livegauge.operators.buckets import newest_batch
+from livegauge.operators.buckets import newest_batch, newest_time
 from livegauge.operators.lookback import calendar_lookback
 from livegauge.operators.ordering import join_lines, report_order, with_position
 from livegauge.operators.rates import join_rates, report_thresholds, split_by_platform
@@ -36,9 +36,8 @@ def graded_report(
 
 def freshness_flag(diffs: DataFrame, as_of: AsOf, settings: Settings = DEFAULTS) -> DataFrame:
     """One row: 1 if the newest time is less than ten minutes old (future times count), else or if empty 0."""
-    newest = diffs.agg(F.max("datetime").alias("newest"))
     fresh = age_minutes(F.col("newest"), as_of) < settings.fresh_minutes
-    return newest.select(F.when(fresh, 1).otherwise(0).alias("flag"))
+    return newest_time(diffs).select(F.when(fresh, 1).otherwise(0).alias("flag"))
 
 
 def rendered_line() -> Column:

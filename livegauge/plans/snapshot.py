@@ -50,12 +50,19 @@ def diff_backfill(
     minutes = settings.bucket_minutes
     cells = bucket_max(observations, minutes)
     current = with_previous_bucket(cells, distinct_buckets(observations, minutes), minutes, span)
+    # NULL links find nothing, so they are told apart by side. With keys that are never NULL Spark infers no
+    # filter for either side, and both read the same shuffled aggregate.
     earlier = cells.select(
-        F.col("link").alias("_link"),
+        F.coalesce("link", F.lit("")).alias("_link"),
+        F.when(F.col("link").isNull(), 2).otherwise(0).alias("_side"),
         F.col("bucket").alias("_bucket"),
         F.col("online").alias("previous_online"),
     )
-    same_link = (F.col("link") == F.col("_link")) & (F.col("previous") == F.col("_bucket"))
+    same_link = (
+        (F.coalesce("link", F.lit("")) == F.col("_link"))
+        & (F.when(F.col("link").isNull(), 1).otherwise(0) == F.col("_side"))
+        & (F.col("previous") == F.col("_bucket"))
+    )
     joined = current.join(earlier, same_link, "left")
     gap = diff_or_zero(F.col("online"), F.col("previous_online"))
     return joined.select(

@@ -19,13 +19,13 @@ def bucket_max(spark, sf_dir):
     return buckets.bucket_max(inputs.observations(spark, sf_dir))
 
 
-@query(sql("""SELECT name, platform, round(avg(online), 6) AS avg_online FROM history
+@query(sql("""SELECT name, platform, six(avg(online)) AS avg_online FROM history
               GROUP BY name, platform""", "history"))
 def group_avg(spark, sf_dir):
     return rounded(inputs.stats(spark, sf_dir).select("name", "platform", "avg_online"), "avg_online")
 
 
-@query(sql("""SELECT name, platform, round(stddev_samp(online), 6) AS stddev_online FROM history
+@query(sql("""SELECT name, platform, six(stddev_samp(online)) AS stddev_online FROM history
               GROUP BY name, platform""", "history"))
 def group_stddev(spark, sf_dir):
     return rounded(inputs.stats(spark, sf_dir).select("name", "platform", "stddev_online"), "stddev_online")
@@ -36,14 +36,14 @@ def group_count(spark, sf_dir):
     return inputs.stats(spark, sf_dir).select("name", "platform", "n")
 
 
-@query(sql("SELECT name, platform, round(margin_of_error, 6) AS margin_of_error FROM stats", "stats"))
+@query(sql("SELECT name, platform, six(margin_of_error) AS margin_of_error FROM stats", "stats"))
 def margin_of_error(spark, sf_dir):
     margins = inputs.stats(spark, sf_dir).select("name", "platform", "margin_of_error")
     return rounded(margins, "margin_of_error")
 
 
-@query(sql("""SELECT name, platform, round(ci_lower_bound, 6) AS ci_lower_bound,
-                     round(ci_upper_bound, 6) AS ci_upper_bound FROM stats""", "stats"))
+@query(sql("""SELECT name, platform, six(ci_lower_bound) AS ci_lower_bound,
+                     six(ci_upper_bound) AS ci_upper_bound FROM stats""", "stats"))
 def confidence_interval(spark, sf_dir):
     bounds = inputs.stats(spark, sf_dir).select("name", "platform", "ci_lower_bound", "ci_upper_bound")
     return rounded(bounds, "ci_lower_bound", "ci_upper_bound")
@@ -65,8 +65,8 @@ def message_lines(spark, sf_dir):
     return join_lines(report.report_lines(inputs.report(spark, sf_dir)))
 
 
-@query(sql("""SELECT name, platform, n, round(avg_online, 6) AS avg_online,
-                     round(margin_of_error, 6) AS margin_of_error FROM stats""", "stats"))
+@query(sql("""SELECT name, platform, n, six(avg_online) AS avg_online,
+                     six(margin_of_error) AS margin_of_error FROM stats""", "stats"))
 def baseline_from_daily(spark, sf_dir):
     observations, channels = inputs.observations(spark, sf_dir), inputs.channels(spark, sf_dir)
     daily = baseline.daily_moments(observations)

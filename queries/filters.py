@@ -48,14 +48,15 @@ def rolling_lookback(spark, sf_dir):
 
 @query(sql("SELECT name, online, online_diff, link, platform FROM report_rows", "report_rows"))
 def threshold_then_rank(spark, sf_dir):
-    return report_rows(inputs.diffs(spark, sf_dir), AS_OF)
+    return report_rows(inputs.stored_diffs(spark, sf_dir), AS_OF)
 
 
 @query(sql("""SELECT name, online, online_diff, link, platform, rate_online_ci FROM rated
               WHERE online > 15 AND rate_online_ci > -350""", "rated"))
 def report_thresholds(spark, sf_dir):
-    rows = report_rows(inputs.diffs(spark, sf_dir), AS_OF)
-    return rates.report_thresholds(rates.join_rates(rows, inputs.verdict(spark, sf_dir)))
+    diffs = inputs.stored_diffs(spark, sf_dir)
+    rated = rates.join_rates(report_rows(diffs, AS_OF), inputs.verdict(spark, sf_dir, diffs))
+    return rates.report_thresholds(rated)
 
 
 @query(sql("""SELECT o.*, section FROM observations o

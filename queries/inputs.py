@@ -6,6 +6,7 @@ the landed API replies. Every table grows with its source.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,9 @@ from livegauge.plans.report import graded_report
 from livegauge.plans.snapshot import diff_backfill
 from livegauge.schemas import DIFFS
 from livegauge.settings import Settings
+from livegauge.sinks.tables import append_batch
+from livegauge.sources.tables import read_batches
+from livegauge.storage import new_path
 
 AS_OF = datetime(2024, 1, 31)
 SPAN = (datetime(2024, 1, 1), AS_OF)  # the times that the given events cover
@@ -116,20 +120,32 @@ def diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backfill(spark, sf_dir).select(*DIFFS.names)
 
 
+def stored_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The differences as the table the report jobs read, which need them more than once."""
+    path = new_path(spark, "diffs")
+    append_batch(diffs(spark, sf_dir), path, DIFFS, batch_id=0)
+    return read_batches(spark, path, DIFFS)
+
+
 def stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baseline_stats(observations(spark, sf_dir), channels(spark, sf_dir), AS_OF)
 
 
-def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baseline_verdict(diffs(spark, sf_dir), stats(spark, sf_dir), AS_OF)
+def verdict(spark: SparkSession, sf_dir: str, stored: DataFrame | None = None) -> DataFrame:
+    stored = stored or stored_diffs(spark, sf_dir)
+    return baseline_verdict(stored, stats(spark, sf_dir), AS_OF)
 
 
-def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graded_report(diffs(spark, sf_dir), verdict(spark, sf_dir), AS_OF)
+def report(spark: SparkSession, sf_dir: str, stored: DataFrame | None = None) -> DataFrame:
+    stored = stored or stored_diffs(spark, sf_dir)
+    return graded_report(stored, verdict(spark, sf_dir, stored), AS_OF)
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    """Doubles to six places, by way of a decimal so that both engines break ties alike."""
+    return df.withColumns(
+        {c: F.round(F.col(c).cast("decimal(38,10)"), 6).cast("double") for c in columns}
+    )
 
 
 # The same tables as SQL, in order of dependence.
@@ -261,11 +277,11 @@ _TABLES = {
             AND d.datetime <= TIMESTAMP '2024-01-31')
         WHERE rwn = 1""",
     "verdict": """
-        SELECT DISTINCT lo.name, lo.online, round(avg_online, 6) AS avg_online,
-               round(1 - avg_online / nullif(lo.online, 0), 6) AS rate_online,
+        SELECT DISTINCT lo.name, lo.online, six(avg_online) AS avg_online,
+               six(1 - avg_online / nullif(lo.online, 0)) AS rate_online,
                CASE WHEN ci_upper_bound < lo.online THEN 1 ELSE 0 END AS flg_top_online,
-               round(margin_of_error, 6) AS margin_of_error,
-               round(ci_lower_bound, 6) AS ci_lower_bound, round(ci_upper_bound, 6) AS ci_upper_bound,
+               six(margin_of_error) AS margin_of_error,
+               six(ci_lower_bound) AS ci_lower_bound, six(ci_upper_bound) AS ci_upper_bound,
                CAST(round(CAST((1 - ci_upper_bound / nullif(lo.online, 0)) * 100 AS DECIMAL(38, 10)), 0)
                     AS INTEGER) AS rate_online_ci
         FROM last_online lo LEFT JOIN stats s ON lo.name = s.name""",
@@ -341,8 +357,11 @@ _NEEDS = {
 }
 
 
+_SIX = re.compile(r"\bsix\(((?:[^()]|\([^()]*\))*)\)")
+
+
 def sql(body: str, *tables: str) -> str:
-    """``body`` with the named derived tables, and what they need, in front."""
+    """``body`` with the named derived tables, and what they need, in front; ``six(x)`` rounds as above."""
     wanted: set[str] = set()
 
     def add(name: str) -> None:
@@ -353,4 +372,5 @@ def sql(body: str, *tables: str) -> str:
     for name in tables:
         add(name)
     parts = [f"{name} AS ({_TABLES[name]})" for name in _TABLES if name in wanted]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+    text = f"WITH {', '.join(parts)} {body}" if parts else body
+    return _SIX.sub(r"CAST(round(CAST(\1 AS DECIMAL(38, 10)), 6) AS DOUBLE)", text)

@@ -20,9 +20,9 @@ def diff_backfill(spark, sf_dir):
     return inputs.backfill(spark, sf_dir)
 
 
-@query(sql("""SELECT name, platform, n, round(avg_online, 6) AS avg_online,
-                     round(stddev_online, 6) AS stddev_online, round(margin_of_error, 6) AS margin_of_error,
-                     round(ci_lower_bound, 6) AS ci_lower_bound, round(ci_upper_bound, 6) AS ci_upper_bound
+@query(sql("""SELECT name, platform, n, six(avg_online) AS avg_online,
+                     six(stddev_online) AS stddev_online, six(margin_of_error) AS margin_of_error,
+                     six(ci_lower_bound) AS ci_lower_bound, six(ci_upper_bound) AS ci_upper_bound
               FROM stats""", "stats"))
 def baseline_stats(spark, sf_dir):
     stats = inputs.stats(spark, sf_dir)
@@ -46,7 +46,8 @@ def graded_report(spark, sf_dir):
 
 @query(sql("SELECT datetime, message FROM message", "message"))
 def report_message(spark, sf_dir):
-    return report.report_message(inputs.report(spark, sf_dir), inputs.diffs(spark, sf_dir), AS_OF)
+    diffs = inputs.stored_diffs(spark, sf_dir)
+    return report.report_message(inputs.report(spark, sf_dir, diffs), diffs, AS_OF)
 
 
 @query(sql("""SELECT name, online, ci_lower_bound, ci_upper_bound,

@@ -41,15 +41,15 @@ def join_channel_history(spark, sf_dir):
 
 @query(sql("SELECT DISTINCT name, online FROM last_online", "last_online"))
 def redundant_join_equiv(spark, sf_dir):
-    return live_counts(inputs.diffs(spark, sf_dir), AS_OF)
+    return live_counts(inputs.stored_diffs(spark, sf_dir), AS_OF)
 
 
-@query(sql("""SELECT l.name, l.online, s.platform, s.n, round(s.avg_online, 6) AS avg_online,
-                     round(s.ci_upper_bound, 6) AS ci_upper_bound
+@query(sql("""SELECT l.name, l.online, s.platform, s.n, six(s.avg_online) AS avg_online,
+                     six(s.ci_upper_bound) AS ci_upper_bound
               FROM (SELECT DISTINCT name, online FROM last_online) l LEFT JOIN stats s ON l.name = s.name""",
            "last_online", "stats"))
 def join_baseline(spark, sf_dir):
-    live = live_counts(inputs.diffs(spark, sf_dir), AS_OF)
+    live = live_counts(inputs.stored_diffs(spark, sf_dir), AS_OF)
     joined = rates.join_baseline(live, inputs.stats(spark, sf_dir))
     columns = ["name", "online", "platform", "n", "avg_online", "ci_upper_bound"]
     return rounded(joined.select(*columns), "avg_online", "ci_upper_bound")
@@ -57,8 +57,8 @@ def join_baseline(spark, sf_dir):
 
 @query(sql("SELECT * FROM rated", "rated"))
 def join_rates(spark, sf_dir):
-    rows = report_rows(inputs.diffs(spark, sf_dir), AS_OF)
-    return rates.join_rates(rows, inputs.verdict(spark, sf_dir))
+    diffs = inputs.stored_diffs(spark, sf_dir)
+    return rates.join_rates(report_rows(diffs, AS_OF), inputs.verdict(spark, sf_dir, diffs))
 
 
 @query(sql("""SELECT r.*, coalesce(v.rate_online_ci, -500) AS rate_online_ci
@@ -66,5 +66,5 @@ def join_rates(spark, sf_dir):
                 ON r.name IS NOT DISTINCT FROM v.name AND r.online IS NOT DISTINCT FROM v.online""",
            "report_rows", "verdict"))
 def join_rates_by_value(spark, sf_dir):
-    rows = report_rows(inputs.diffs(spark, sf_dir), AS_OF)
-    return rates.join_rates_by_value(rows, inputs.verdict(spark, sf_dir))
+    diffs = inputs.stored_diffs(spark, sf_dir)
+    return rates.join_rates_by_value(report_rows(diffs, AS_OF), inputs.verdict(spark, sf_dir, diffs))

@@ -6,6 +6,7 @@ from livegauge.operators import buckets
 from livegauge.operators.lookback import calendar_lookback
 from livegauge.operators.ordering import report_order, with_position
 from livegauge.plans import report
+from livegauge.schemas import DIFFS
 from queries import inputs
 from queries.aggregates import TEN_MINUTES
 from queries.inputs import AS_OF, DAILY, SPAN, sql
@@ -21,7 +22,7 @@ def rank_buckets(spark, sf_dir):
 
 @query(sql("SELECT * FROM diffs WHERE datetime = (SELECT max(datetime) FROM diffs)", "diffs"))
 def latest_batch(spark, sf_dir):
-    return buckets.newest_batch(inputs.diffs(spark, sf_dir))
+    return buckets.newest_batch(inputs.stored_diffs(spark, sf_dir)).select(*DIFFS.names)
 
 
 @query(sql("""SELECT datetime, chat_message_id FROM (

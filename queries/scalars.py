@@ -61,12 +61,12 @@ def diff_or_zero(spark, sf_dir):
     return inputs.backfill(spark, sf_dir).select("name", "link", "bucket", "online", "online_diff")
 
 
-@query(sql("""SELECT name, datetime,
-                     round(epoch_us(TIMESTAMP '2024-01-31') / 60e6 - epoch_us(datetime) / 60e6, 4) AS age
+@query(sql("""SELECT name, datetime, epoch_us(TIMESTAMP '2024-01-31') - epoch_us(datetime) AS age_micros
               FROM observations""", "observations"))
 def age_minutes(spark, sf_dir):
-    aged = _timed(spark, sf_dir).withColumn("age", clock.age_minutes(F.col("datetime"), AS_OF))
-    return rounded(aged, "age", digits=4)
+    minutes = clock.age_minutes(F.col("datetime"), AS_OF)
+    micros = F.round(minutes * F.lit(60_000_000)).cast("bigint")
+    return _timed(spark, sf_dir).withColumn("age_micros", micros)
 
 
 @query(sql("""SELECT CASE WHEN max(datetime) > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE THEN 1 ELSE 0 END
@@ -84,7 +84,7 @@ def _with_stats(spark, sf_dir):
 
 
 @query(sql(f"""SELECT o.name, o.datetime, o.online, s.platform,
-                      round(1 - avg_online / nullif(o.online, 0), 6) AS rate {_JOINED}""",
+                      six(1 - avg_online / nullif(o.online, 0)) AS rate {_JOINED}""",
            "observations", "stats"))
 def rate_vs_mean(spark, sf_dir):
     rate = stats.rate_vs_mean(F.col("avg_online"), F.col("online"))

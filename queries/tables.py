@@ -21,7 +21,7 @@ def append_roundtrip(spark, sf_dir):
 
 @query(sql("SELECT datetime, '(-100, 1)' AS chat_message_id, message FROM message", "message"))
 def report_log(spark, sf_dir):
-    path = new_path(spark, "reports")
-    message = report_message(inputs.report(spark, sf_dir), inputs.diffs(spark, sf_dir), AS_OF)
+    path, diffs = new_path(spark, "reports"), inputs.stored_diffs(spark, sf_dir)
+    message = report_message(inputs.report(spark, sf_dir, diffs), diffs, AS_OF)
     log_report(message, path, "(-100, 1)", AS_OF, batch_id=0)
     return read_batches(spark, path, REPORTS).select(*REPORTS.names)

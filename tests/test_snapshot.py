@@ -1,0 +1,118 @@
+"""Snapshot differences: hand-worked rows and properties."""
+
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from livegauge.operators import buckets
+from livegauge.operators.ordering import report_order, with_position
+from livegauge.plans.snapshot import diff_backfill, snapshot_diff
+from livegauge.settings import Settings
+from tests.conftest import at, tuples
+
+AS_OF = "2024-01-31 00:00:00"
+V1, B, C = "https://youtu.be/v1", "https://www.twitch.tv/b", "https://vk.example/c"
+ROWS = [
+    ("a", 100, V1, at("30 23:41:00")),  # newest bucket 23:40
+    ("a", 120, V1, at("30 23:49:59")),  # same bucket, the larger wins
+    ("a", 90, V1, at("30 21:05:00")),  # previous non-empty bucket, not adjacent
+    ("b", 50, B, at("30 23:40:00")),  # lower bucket edge, no previous row
+    ("c", 70, C, at("30 23:45:00")),  # no platform
+    ("c", 75, C, at("30 21:09:59")),  # upper bucket edge
+    ("d", 10, None, at("30 23:42:00")),  # NULL link meets nothing
+    ("d", 4, None, at("30 21:01:00")),
+    ("e", 999, "https://youtu.be/v9", at("28 23:59:59")),  # before the look-back
+]
+EXPECTED = [
+    ("c", 70, -5, None),
+    ("d", 10, 0, None),
+    ("a", 120, 30, "youtube"),
+    ("b", 50, 0, "twitch"),
+]
+COLUMNS = ("name", "online", "online_diff", "platform")
+
+
+def in_order(df):
+    placed = with_position(df, report_order()).orderBy("position")
+    return tuples(placed, *COLUMNS)
+
+
+def test_rows_in_report_order(make):
+    diff = snapshot_diff(make("OBSERVATIONS", ROWS), AS_OF)
+    assert in_order(diff) == EXPECTED
+    assert {r.datetime for r in diff.collect()} == {at("31 00:00:00")}
+    assert {r.bucket for r in diff.collect()} == {at("30 23:40:00")}
+
+
+def test_repeated_and_reordered_rows_change_nothing(make):
+    assert in_order(snapshot_diff(make("OBSERVATIONS", ROWS[::-1] * 3), AS_OF)) == EXPECTED
+
+
+def test_rows_after_as_of_are_not_seen(make):
+    later = [("a", 7, V1, at("31 00:00:01"))]
+    assert in_order(snapshot_diff(make("OBSERVATIONS", ROWS + later), AS_OF)) == EXPECTED
+
+
+def test_lookback_is_by_calendar_day(make):
+    first = [("f", 1, "https://youtu.be/f", at("29 00:00:00")), ("g", 2, B, at("28 23:59:59"))]
+    diff = snapshot_diff(make("OBSERVATIONS", first), AS_OF)
+    assert tuples(diff, "name", "online_diff") == [("f", 0)]
+
+
+def test_only_one_bucket(make):
+    diff = snapshot_diff(make("OBSERVATIONS", ROWS[:2]), AS_OF)
+    assert tuples(diff, *COLUMNS) == [("a", 120, 0, "youtube")]
+
+
+def test_empty(make):
+    assert snapshot_diff(make("OBSERVATIONS", []), AS_OF).count() == 0
+    assert diff_backfill(make("OBSERVATIONS", [])).count() == 0
+
+
+def test_names_on_one_link_fan_out(make):
+    rows = [
+        ("a", 10, V1, at("30 23:41:00")),
+        ("z", 20, V1, at("30 23:41:00")),
+        ("a", 1, V1, at("30 23:31:00")),
+        ("z", 2, V1, at("30 23:31:00")),
+    ]
+    diff = snapshot_diff(make("OBSERVATIONS", rows), AS_OF)
+    expected = [("a", 8), ("a", 9), ("z", 18), ("z", 19)]
+    assert sorted(tuples(diff, "name", "online_diff")) == expected
+    filled = diff_backfill(make("OBSERVATIONS", rows)).filter(F.col("bucket") == at("30 23:40:00"))
+    assert sorted(tuples(filled, "name", "online_diff")) == expected
+
+
+def test_backfill_ends_with_the_snapshot(make):
+    observations = make("OBSERVATIONS", ROWS)
+    last = diff_backfill(observations).filter(F.col("bucket") == at("30 23:40:00"))
+    assert in_order(last) == EXPECTED
+    assert {r.datetime for r in last.collect()} == {at("30 23:50:00")}
+
+
+def test_backfill_equals_a_snapshot_per_bucket(make):
+    """Brute force: one snapshot_diff per bucket, with a look-back long enough to reach the one before."""
+    observations = make("OBSERVATIONS", ROWS)
+    filled = diff_backfill(observations, span=(at("01 00:00:00"), at("31 00:00:00")))
+    rows = []
+    for (start,) in buckets.distinct_buckets(observations).collect():
+        as_of = start + timedelta(minutes=10) - timedelta(microseconds=1)
+        rows += tuples(snapshot_diff(observations, as_of, Settings(lookback_days=30)), *COLUMNS, "bucket")
+    key = lambda row: tuple(map(str, row))
+    assert sorted(tuples(filled, *COLUMNS, "bucket"), key=key) == sorted(rows, key=key)
+
+
+def test_bucket_join_is_the_same_without_broadcast(make, monkeypatch):
+    observations, span = make("OBSERVATIONS", ROWS), (at("01 00:00:00"), at("31 00:00:00"))
+    small = sorted(tuples(buckets.rank_buckets(observations, span=span)), key=str)
+    monkeypatch.setattr(buckets, "MAX_BROADCAST_BUCKETS", 0)
+    assert sorted(tuples(buckets.rank_buckets(observations, span=span)), key=str) == small
+
+
+def test_ranks_are_dense_and_newest_first(make):
+    ranked = buckets.rank_buckets(make("OBSERVATIONS", ROWS))
+    assert {(r.bucket, r.bucket_rank) for r in ranked.collect()} == {
+        (at("30 23:40:00"), 1),
+        (at("30 21:00:00"), 2),
+        (at("28 23:50:00"), 3),
+    }
