@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from livegauge.functions.clock import bucket_start, day_of
@@ -81,17 +81,6 @@ def newest_buckets(observations: DataFrame, minutes: int = 10, count: int = 2) -
     return distinct_buckets(observations, minutes).orderBy(F.desc("bucket")).limit(count)
 
 
-def newest_two_snapshots(observations: DataFrame, minutes: int = 10) -> DataFrame:
-    """Bucket maxima of the newest non-empty bucket (``snapshot`` 1) and the one before it (2).
-
-    The two buckets come first, from the time column; the start of the older one then limits the scan.
-    """
-    newest = newest_buckets(observations, minutes)
-    recent = observations.filter(F.col("datetime") >= newest.agg(F.min("bucket")).scalar())
-    is_newest = F.col("bucket") == newest.agg(F.max("bucket")).scalar()
-    return bucket_max(recent, minutes).withColumn("snapshot", F.when(is_newest, 1).otherwise(2))
-
-
 def newest_time(df: DataFrame, ts: str = "datetime") -> DataFrame:
     """One row with the newest time as ``newest``; of a table partitioned by date, only its last date is read."""
     if "obs_date" in df.columns:
@@ -105,3 +94,28 @@ def newest_batch(df: DataFrame, ts: str = "datetime") -> DataFrame:
     if "obs_date" in df.columns:
         df = df.filter(F.col("obs_date") == day_of(newest))
     return df.filter(F.col(ts) == newest)
+
+
+def from_day(df: DataFrame, ts: Column) -> DataFrame:
+    """Skip the date partitions before ``ts`` of a table that has them."""
+    return df.filter(F.col("obs_date") >= day_of(ts)) if "obs_date" in df.columns else df
+
+
+def newest_two_snapshots(observations: DataFrame, minutes: int = 10) -> DataFrame:
+    """Bucket maxima of the newest non-empty bucket (``snapshot`` 1) and the one before it (2).
+
+    The starts of the two buckets come first, from the time column alone, and reach the scans of the rows as
+    time ranges. The two starts are separate subqueries of different shape: Spark would merge like ones into a
+    struct, and a struct field is not pushed down.
+    """
+    newest = observations.agg(F.max("datetime").alias("newest"))
+    newest = newest.select(bucket_start(F.col("newest"), minutes)).scalar()
+    older = newest_buckets(observations, minutes).agg(F.min("bucket")).scalar()
+    ts = F.col("datetime")
+    current = from_day(observations, newest).filter(ts >= newest)
+    previous = from_day(observations, older).filter((ts >= older) & (ts < newest))
+    return (
+        bucket_max(current, minutes)
+        .withColumn("snapshot", F.lit(1))
+        .unionByName(bucket_max(previous, minutes).withColumn("snapshot", F.lit(2)))
+    )
