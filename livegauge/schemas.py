@@ -25,6 +25,11 @@ DIFFS = _table(
 )
 REPORTS = _table(("datetime", _TIME), ("chat_message_id", _TEXT), ("message", _TEXT))
 CELLS = _table(("name", _TEXT), ("link", _TEXT), ("bucket", _TIME), ("online", _COUNT))
+# Moments per name and day; the day is the partition.
+DAILY = _table(
+    ("name", _TEXT), ("n", _COUNT), ("n_online", _COUNT), ("mean", T.DoubleType()),
+    ("variance", T.DoubleType()), ("day", T.DateType()),
+)
 PAGES = _table(("name", _TEXT), ("url", _TEXT), ("html", _TEXT))
 REPLIES = _table(("login", _TEXT), ("body", _TEXT))
 

@@ -9,7 +9,7 @@ from queries import inputs
 from queries.inputs import AS_OF, rounded, sql
 from queries.registry import query
 
-TEN_MINUTES = "date_trunc('hour', datetime) + INTERVAL 1 MINUTE * (CAST(minute(datetime) AS INTEGER) // 10 * 10)"
+TEN_MINUTES = "time_bucket(INTERVAL 10 MINUTE, datetime)"
 PLATFORM = "CASE WHEN link LIKE '%youtu%' THEN 'youtube' WHEN link LIKE '%twitch%' THEN 'twitch' END"
 
 

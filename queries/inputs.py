@@ -270,12 +270,9 @@ _TABLES = {
                avg(online) + stddev(online) / sqrt(count(*)) * 1.96 AS ci_upper_bound
         FROM history GROUP BY name, platform""",
     "last_online": """
-        SELECT * FROM (
-          SELECT d.*, dense_rank() OVER (ORDER BY d.datetime DESC) AS rwn
-          FROM diffs d LEFT JOIN channels c ON d.name = c.name
-          WHERE CAST(d.datetime AS DATE) >= DATE '2024-01-31' - INTERVAL 2 DAY
-            AND d.datetime <= TIMESTAMP '2024-01-31')
-        WHERE rwn = 1""",
+        SELECT d.name, d.online FROM diffs d LEFT JOIN channels c ON d.name = c.name
+        WHERE d.datetime = (SELECT max(datetime) FROM diffs
+                            WHERE datetime BETWEEN TIMESTAMP '2024-01-29' AND TIMESTAMP '2024-01-31')""",
     "verdict": """
         SELECT DISTINCT lo.name, lo.online, six(avg_online) AS avg_online,
                six(1 - avg_online / nullif(lo.online, 0)) AS rate_online,
@@ -286,11 +283,10 @@ _TABLES = {
                     AS INTEGER) AS rate_online_ci
         FROM last_online lo LEFT JOIN stats s ON lo.name = s.name""",
     "report_rows": """
-        SELECT name, online, online_diff, link, platform FROM (
-          SELECT *, dense_rank() OVER (ORDER BY datetime DESC) AS rwn FROM diffs
-          WHERE CAST(datetime AS DATE) >= DATE '2024-01-31' - INTERVAL 2 DAY
-            AND datetime <= TIMESTAMP '2024-01-31' AND online > 5)
-        WHERE rwn = 1""",
+        SELECT name, online, online_diff, link, platform FROM diffs
+        WHERE online > 5
+          AND datetime = (SELECT max(datetime) FROM diffs WHERE online > 5
+                          AND datetime BETWEEN TIMESTAMP '2024-01-29' AND TIMESTAMP '2024-01-31')""",
     "rated": """
         SELECT r.*, coalesce(v.rate_online_ci, -500) AS rate_online_ci
         FROM report_rows r LEFT JOIN verdict v ON r.name IS NOT DISTINCT FROM v.name""",

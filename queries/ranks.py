@@ -25,11 +25,8 @@ def latest_batch(spark, sf_dir):
     return buckets.newest_batch(inputs.stored_diffs(spark, sf_dir)).select(*DIFFS.names)
 
 
-@query(sql("""SELECT datetime, chat_message_id FROM (
-                SELECT *, row_number() OVER (ORDER BY datetime DESC, chat_message_id DESC) AS rwn FROM (
-                  SELECT datetime, '(-100, ' || count(*) || ')' AS chat_message_id
-                  FROM diffs GROUP BY datetime))
-              WHERE rwn = 1""", "diffs"))
+@query(sql("""SELECT datetime, '(-100, ' || count(*) || ')' AS chat_message_id FROM diffs
+              GROUP BY datetime ORDER BY datetime DESC LIMIT 1""", "diffs"))
 def latest_report(spark, sf_dir):
     count = F.concat(F.lit("(-100, "), F.count("*").cast("string"), F.lit(")"))
     return report.latest_report(

@@ -1,0 +1,83 @@
+"""The tasks in sequence over stored tables, from landed payloads to the logged report."""
+
+from datetime import datetime, timedelta
+
+import pytest
+
+from livegauge import tasks
+from livegauge.plans.report import latest_report
+from livegauge.settings import Settings
+from tests.conftest import tuples
+
+START = datetime(2024, 1, 30, 22, 0)
+STEP = timedelta(minutes=10)
+CHANNELS = [
+    ("Ann", "youtube", "https://y/ann", "yes", "yes"),
+    ("Bo", "twitch", "https://www.twitch.tv/bo", "bo", "yes"),
+]
+
+
+def page(count):
+    return (
+        '<img src="hqdefault_live.jpg"><a href="https://www.youtube.com/watch?v=ann1"></a>'
+        f'<script>{{"x":1,"originalViewCount":"{count}"}}}},"y":2}}</script>'
+    )
+
+
+def run(spark, make, tables, folder, step, ann, bo, report=True):
+    as_of = START + STEP * step
+    landed = f"{folder}/landed-{step}"
+    make("PAGES", [("Ann", "https://y/ann/live", page(ann))]).write.mode("overwrite").parquet(f"{landed}/pages")
+    body = f'{{"data":[{{"viewer_count":{bo}}}]}}'
+    make("REPLIES", [("bo", body)]).write.mode("overwrite").parquet(f"{landed}/replies")
+    tasks.ingest(spark, tables, "youtube", f"{landed}/pages", as_of)
+    tasks.ingest(spark, tables, "twitch", f"{landed}/replies", as_of)
+    tasks.diff(spark, tables, as_of)
+    return tasks.report(spark, tables, as_of, f"(-1, {step})") if report else None
+
+
+@pytest.fixture
+def tables(make, tmp_path):
+    made = tasks.Tables(str(tmp_path / "tables"))
+    make("CHANNELS", CHANNELS).write.parquet(made.path("channels"))
+    return made
+
+
+def test_three_runs(spark, make, tables, tmp_path):
+    run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
+    run(spark, make, tables, tmp_path, 1, 110, 50, report=False)
+    for _ in range(2):  # the last run twice, as after a retry
+        (row,) = run(spark, make, tables, tmp_path, 2, 90, 60).collect()
+    assert tables.observations(spark).count() == 6
+    assert sorted(tuples(tables.diffs(spark), "name", "online", "online_diff")) == [
+        ("Ann", 90, -20), ("Ann", 100, 0), ("Ann", 110, 10), ("Bo", 50, 0), ("Bo", 50, 0), ("Bo", 60, 10),
+    ]
+    assert row.datetime == START + STEP * 2
+    assert row.message == (
+        "⭐️ Online Streams: ⭐️\n\n"
+        "🔸  [Ann](https://youtu.be/ann1) [[90]] 🔴 -20\n\n"
+        "🔸  [Bo](https://www.twitch.tv/bo) [[60]] 🟢 +10"
+    )
+    assert tuples(latest_report(tables.reports(spark)), "chat_message_id") == [("(-1, 2)",)]
+
+
+def test_kept_days_give_the_same_report(spark, make, tables, tmp_path):
+    for step in range(0, 432, 72):  # three days in steps of twelve hours
+        run(spark, make, tables, tmp_path, step, 100 + step % 7, 50 + step % 5, report=False)
+        tasks.daily(spark, tables, START + STEP * step)
+    as_of = START + STEP * 360
+    direct = tuples(tasks.report(spark, tables, as_of))
+    assert tuples(tasks.report(spark, tables, as_of, use_daily=True)) == direct
+    assert "[Ann]" in direct[0][2]
+
+
+def test_stale_batch_is_announced_as_nobody_live(spark, make, tables, tmp_path):
+    run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
+    (row,) = tasks.report(spark, tables, START + STEP, settings=Settings()).collect()
+    assert row.message == "❌ Not Online Streams:"
+
+
+def test_arguments(capsys):
+    with pytest.raises(SystemExit):
+        tasks.main(["youtube", "--root", "x", "--as-of", "2024-01-31 00:00:00"])
+    assert "--landed" in capsys.readouterr().err
