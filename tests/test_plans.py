@@ -53,10 +53,15 @@ LAZY = sorted(set(QUERIES) - {"append_roundtrip", "report_log", "stream_bucket_m
 
 
 @pytest.mark.parametrize("name", LAZY)
-def test_no_python_and_no_cross_join(spark, name):
-    text = plan(QUERIES[name](spark, SMALL), "extended")
+def test_no_python_no_cross_join_and_only_aggregates_in_one_task(spark, name):
+    df = QUERIES[name](spark, SMALL)
+    text = plan(df, "extended")
     for word in ("PythonUDF", "ArrowEval", "BatchEvalPython", "MapInPandas", "CartesianProduct", "NestedLoop"):
         assert word not in text
+    lines = plan(df, "simple").splitlines()
+    for place, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert re.search(r"Aggregate|TakeOrdered|Limit", lines[place + 1]), lines[place : place + 3]
 
 
 def test_lookbacks_prune_dates_and_push_times(stored):
@@ -102,12 +107,3 @@ def test_backfill_reuses_its_aggregate_and_ranks_only_buckets(spark):
     assert final.count("SinglePartition") == 1
     below = final[final.index("SinglePartition"):].split("FileScan")[0]
     assert "keys=[bucket" in below and "name" not in below
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_single_task_stages_see_aggregates_only(spark, name):
-    """Whatever goes to one task has been reduced by an aggregate or a top-k first."""
-    lines = plan(QUERIES[name](spark, SMALL), "simple").splitlines()
-    for place, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            assert re.search(r"Aggregate|TakeOrdered|Limit", lines[place + 1]), lines[place : place + 3]
