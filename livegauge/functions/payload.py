@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 from livegauge.schemas import REPLY_BODY
 from livegauge.settings import PAGE_PATTERNS, PagePatterns
 
-# Parts of a page whose text is not markup, so an href inside them is not a link.
-NOT_MARKUP = (
-    r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
+# In one scan of a page: comments, scripts and styles, in which an href is no link, or a tag up to its href. The
+# group holds the attribute value with its quotes, and is empty for the former.
+MARKUP = (
+    r"""(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>"""
+    r"""|[a-z][^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))"""
 )
-# The href attribute of a tag, value with its quotes.
-HREF = r"""(?i)<[a-z][^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # Character references of markup, the ampersand last so that nothing is decoded twice.
 ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
 
@@ -25,20 +25,24 @@ def ascii_strip(text: Column) -> Column:
 
 def is_live(html: Column, marker: str = PAGE_PATTERNS.live_marker) -> Column:
     """The page holds the marker once its non-ASCII characters are dropped."""
-    return F.contains(ascii_strip(html), F.lit(marker))
+    # A page is stripped only if that can change the answer: no marker as it is, and more bytes than characters.
+    wide = F.octet_length(html) > F.char_length(html)
+    return F.contains(html, F.lit(marker)) | (wide & F.contains(ascii_strip(html), F.lit(marker)))
 
 
-def _attribute_value(quoted: Column) -> Column:
-    value = F.regexp_replace(quoted, r"""^["']|["']$""", "")
+def _attribute_value(found: Column) -> Column:
+    quoted = F.left(found, F.lit(1)).isin('"', "'")
+    value = F.when(quoted, F.substring(found, F.lit(2), F.length(found) - F.lit(2))).otherwise(found)
+    decoded = value
     for reference, character in ENTITIES:
-        value = F.replace(value, F.lit(reference), F.lit(character))
-    return value
+        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
+    return F.when(F.contains(value, F.lit("&")), decoded).otherwise(value)
 
 
 def links(html: Column) -> Column:
     """All href values of the page's tags, in document order."""
-    markup = F.regexp_replace(html, NOT_MARKUP, "")
-    return F.transform(F.regexp_extract_all(markup, F.lit(HREF), F.lit(1)), _attribute_value)
+    found = F.regexp_extract_all(html, F.lit(MARKUP), F.lit(1))
+    return F.transform(F.filter(found, lambda value: value != ""), _attribute_value)
 
 
 def first_watch_link(hrefs: Column, watch_url: str = PAGE_PATTERNS.watch_url) -> Column:

@@ -22,8 +22,8 @@ def with_position(df: DataFrame, order: list[Column]) -> DataFrame:
     """Rows with their 1-based ``position`` in ``order``.
 
     A range shuffle sorts the rows over all tasks. A position is the row's place within its range plus the
-    sizes of the ranges before it. The sorted rows are checkpointed first: places read from a shuffle that may
-    be run again after a lost executor would not be safe to add up.
+    sizes of the ranges before it. The sorted rows are written out first, since places taken from a shuffle that
+    may run again after a lost executor are not safe to add up.
     """
     placed = freeze(
         df.repartitionByRange(*order)

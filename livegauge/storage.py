@@ -29,8 +29,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Fix the rows and partitions of ``df`` in reliable storage, so a lost executor cannot change them."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """``df`` as a table written to the shared folder: its rows and their order are then fixed, whatever
+    executors are lost, and later reads take only the columns they need."""
+    path = new_path(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -58,6 +58,10 @@ def test_unreadable_live_pages_are_set_aside_alone(make, html):
         ("<script>var s='<a href=\"/no\">'</script><a id=1 href=\"/yes\">", ["/yes"]),
         ('<p>href="/no"</p><a data-href="/no">', []),
         ("", []),
+        ('<a href="">', [""]),
+        ('<!-- open <a href="/in">', ["/in"]),
+        ("<script>" + "x < y; " * 200_000 + '</script><a href="/after">' + "é" * 500_000, ["/after"]),
+        ("<p " * 20_000 + '><a title="' + "t" * 100_000 + '" href="/far">', ["/far"]),
     ],
 )
 def test_links(spark, html, links):
