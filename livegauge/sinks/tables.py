@@ -1,7 +1,7 @@
 """Batch appends to partitioned tables.
 
-A table is a folder ``batch_id=.../obs_date=...``. Each batch owns its ``batch_id`` folder and replaces it when
-it is run again, so a retry neither repeats nor loses rows, and a failed write raises.
+A table is a folder ``obs_date=.../batch_id=...``. A batch that is run again replaces its own partitions and no
+others, so a retry neither repeats nor loses rows, and a failed write raises.
 """
 
 from __future__ import annotations
@@ -36,10 +36,12 @@ def append_batch(
     (
         conform(df, schema)
         .withColumn("obs_date", day_of(F.col(ts)))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .hint("rebalance", "obs_date")
         .write.mode("overwrite")
-        .partitionBy("obs_date")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("obs_date", "batch_id")
+        .parquet(path)
     )
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BATCH_COLUMNS = (("batch_id", T.LongType()), ("obs_date", T.DateType()))
+BATCH_COLUMNS = (("obs_date", T.DateType()), ("batch_id", T.LongType()))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -14,10 +17,30 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written batch by batch (see ``sinks.tables``), with its batch and date partitions as columns."""
+def read_batches(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    first: date | None = None,
+    last: date | None = None,
+) -> DataFrame:
+    """A table written batch by batch (see ``sinks.tables``), with its date and batch partitions as columns.
+
+    With ``first`` and ``last`` only the folders of those dates are listed: a job that runs every ten minutes
+    must not list years of batches.
+    """
     full = T.StructType(schema.fields + [T.StructField(n, t, True) for n, t in BATCH_COLUMNS])
-    return spark.read.schema(full).parquet(path)
+    reader = spark.read.schema(full)
+    if first is None or last is None:
+        return reader.parquet(path)
+    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    folders = f"{path}/obs_date={{{','.join(day.isoformat() for day in days)}}}"
+    try:
+        return reader.option("basePath", path).parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":  # no batch on any of the dates
+            return spark.createDataFrame([], full)
+        raise
 
 
 def read_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import argparse
 import os
 import sys
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,6 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from livegauge import schemas
-from livegauge.operators.lookback import calendar_lookback
 from livegauge.plans.baseline import (
     baseline_from_daily,
     baseline_stats,
@@ -55,17 +54,22 @@ class Tables:
     def channels(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("channels"), schemas.CHANNELS)
 
-    def observations(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.path("observations"), schemas.OBSERVATIONS)
+    def observations(self, spark: SparkSession, *dates: date) -> DataFrame:
+        return read_batches(spark, self.path("observations"), schemas.OBSERVATIONS, *dates)
 
-    def diffs(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.path("diffs"), schemas.DIFFS)
+    def diffs(self, spark: SparkSession, *dates: date) -> DataFrame:
+        return read_batches(spark, self.path("diffs"), schemas.DIFFS, *dates)
 
     def daily(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path("daily"), schemas.DAILY)
 
-    def reports(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.path("reports"), schemas.REPORTS)
+    def reports(self, spark: SparkSession, *dates: date) -> DataFrame:
+        return read_batches(spark, self.path("reports"), schemas.REPORTS, *dates)
+
+
+def days_back(as_of: datetime, days: int) -> tuple[date, date]:
+    """The date ``days`` before ``as_of``, and its own."""
+    return (as_of - timedelta(days=days)).date(), as_of.date()
 
 
 def batch_number(as_of: datetime, source: int = 0) -> int:
@@ -86,16 +90,16 @@ def ingest(spark: SparkSession, tables: Tables, platform: str, landed: str, as_o
 
 def diff(spark: SparkSession, tables: Tables, as_of: datetime, settings: Settings = DEFAULTS) -> None:
     """Append the differences of the newest snapshot."""
-    rows = snapshot_diff(tables.observations(spark), as_of, settings)
+    recent = tables.observations(spark, *days_back(as_of, settings.lookback_days))
+    rows = snapshot_diff(recent, as_of, settings)
     append_batch(rows, tables.path("diffs"), schemas.DIFFS, batch_number(as_of))
 
 
 def daily(spark: SparkSession, tables: Tables, as_of: datetime) -> None:
     """Keep the moments of the day before ``as_of``; repeat it for a day that got late rows."""
-    day = (as_of - timedelta(days=1)).date()
-    rows = tables.observations(spark).filter(F.col("obs_date") == F.lit(day))
+    day, _ = days_back(as_of, 1)
     path = f"{tables.path('daily')}/day={day.isoformat()}"
-    daily_moments(rows).drop("day").write.mode("overwrite").parquet(path)
+    daily_moments(tables.observations(spark, day, day)).drop("day").write.mode("overwrite").parquet(path)
 
 
 def report(
@@ -107,9 +111,10 @@ def report(
     use_daily: bool = False,
 ) -> DataFrame:
     """Log the report of the newest batch and return its one row."""
-    channels, observations, diffs = (
-        tables.channels(spark), tables.observations(spark), tables.diffs(spark),
-    )
+    first, today = days_back(as_of, settings.lookback_days)
+    diffs = tables.diffs(spark, first, today + timedelta(days=1))  # a stamp ahead of as_of counts as fresh
+    observations = tables.observations(spark, *days_back(as_of, settings.window_days))
+    channels = tables.channels(spark)
     if use_daily:
         stats = baseline_from_daily(tables.daily(spark), observations, channels, as_of, settings)
     else:
@@ -119,7 +124,7 @@ def report(
     number = batch_number(as_of)
     message = report_message(graded, diffs, as_of, settings)
     log_report(message, tables.path("reports"), chat_message_id, as_of, number)
-    logged = calendar_lookback(tables.reports(spark), as_of, 0)
+    logged = tables.reports(spark, today, today)
     return logged.filter(F.col("batch_id") == number).select(*schemas.REPORTS.names)
 
 

@@ -164,6 +164,18 @@ def test_append_is_idempotent_and_empty_text_is_null(spark, make, tmp_path):
     assert tuples(report.report_rows(stored, AS_OF), "name") == []  # nothing exceeds five
 
 
+def test_dates_bound_what_is_listed(spark, make, tmp_path):
+    path = str(tmp_path / "diffs")
+    rows = [diff_row(f"n{i}", i, when=AS_OF - timedelta(days=i)) for i in range(5)]
+    append_batch(make("DIFFS", rows), path, DIFFS, batch_id=1)
+    day = AS_OF.date()
+    for first, last, names in ((1, 0, ["n0", "n1"]), (9, 3, ["n3", "n4"]), (40, 30, [])):
+        dates = day - timedelta(days=first), day - timedelta(days=last)
+        stored = read_batches(spark, path, DIFFS, *dates)
+        assert sorted(r.name for r in stored.collect()) == names
+        assert all(f"obs_date={day - timedelta(days=first)}" <= f.split("/")[-3] for f in stored.inputFiles())
+
+
 def test_missing_column_raises(spark, make, tmp_path):
     with pytest.raises(Exception, match="online_diff"):
         bad = make("DIFFS", [diff_row("a", 1)]).drop("online_diff")
