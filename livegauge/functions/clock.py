@@ -24,7 +24,7 @@ def as_of_column(as_of: AsOf) -> Column:
 
 
 def bucket_start(ts: Column, minutes: int) -> Column:
-    """Start of the fixed-width bucket that holds ``ts``, aligned to midnight."""
+    """Start of the fixed-width bucket that holds ``ts``; widths that divide a day start over at midnight."""
     return F.window(ts, f"{minutes} minutes")["start"]
 
 

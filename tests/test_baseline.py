@@ -176,6 +176,12 @@ def test_grade_edges(spark, rate, grade):
     assert row[0] == grade
 
 
+def test_every_rate_has_a_grade_and_grades_rise_with_it(spark):
+    rates = spark.range(-600, 101).withColumn("grade", labels.grade(F.col("id")))
+    grades = [row.grade for row in rates.orderBy("id").collect()]
+    assert grades == ["low"] * 551 + ["within"] * 79 + ["high"] * 71
+
+
 @pytest.mark.parametrize(
     ("upper", "online", "rate"),
     [(10.0, 16, 38), (11.0, 16, 31), (24.0, 16, -50), (1e12, 1, None), (1.0, None, None), (None, 5, None)],

@@ -1,7 +1,9 @@
 """Snapshot differences: hand-worked rows and properties."""
 
-from datetime import timedelta
+import random
+from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from livegauge.operators import buckets
@@ -102,6 +104,51 @@ def test_backfill_equals_a_snapshot_per_bucket(make):
     assert sorted(tuples(filled, *COLUMNS, "bucket"), key=key) == sorted(rows, key=key)
 
 
+def brute_force(rows, as_of):
+    """The definition in plain Python."""
+    first_day = as_of.date() - timedelta(days=2)
+    cells = {}
+    for name, online, link, ts in rows:
+        if first_day <= ts.date() and ts <= as_of:
+            start = ts.replace(minute=ts.minute // 10 * 10, second=0, microsecond=0)
+            best = cells.setdefault((start, name, link), online)
+            if online is not None and (best is None or online > best):
+                cells[start, name, link] = online
+    starts = sorted({start for start, _, _ in cells}, reverse=True)
+    result = []
+    for (start, name, link), online in cells.items():
+        if start != starts[0]:
+            continue
+        before = [
+            other for (s, _, other_link), other in cells.items()
+            if len(starts) > 1 and s == starts[1] and link is not None and other_link == link
+        ]
+        for other in before or [None]:
+            gap = online - other if online is not None and other is not None else 0
+            result.append((name, online, gap, link))
+    return result
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_random_rows_equal_brute_force(make, seed):
+    """A third of the rows share one name and link, and names, links and counts may be NULL."""
+    pick = random.Random(seed)
+    as_of = datetime(2024, 1, 31, 0, 20)
+    rows = []
+    for i in range(400):
+        hot = i % 3 == 0
+        rows.append(
+            (
+                "hot" if hot else pick.choice(["a", "b", "c", None]),
+                pick.choice([None, 0, *range(50)]),
+                V1 if hot else pick.choice([V1, B, C, None]),
+                as_of - timedelta(seconds=pick.randrange(-600, 3000 if i % 2 else 4 * 86400)),
+            )
+        )
+    found = tuples(snapshot_diff(make("OBSERVATIONS", rows), as_of), "name", "online", "online_diff", "link")
+    assert sorted(found, key=str) == sorted(brute_force(rows, as_of), key=str)
+
+
 def test_bucket_join_is_the_same_without_broadcast(make, monkeypatch):
     observations, span = make("OBSERVATIONS", ROWS), (at("01 00:00:00"), at("31 00:00:00"))
     small = sorted(tuples(buckets.rank_buckets(observations, span=span)), key=str)
