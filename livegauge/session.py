@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def session(app: str = "livegauge", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; pass any further Spark settings as ``conf`` (dots as ``__``).
@@ -19,9 +17,6 @@ def session(app: str = "livegauge", master: str | None = None, **conf: str) -> S
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # State of a stream outgrows executor memory before it outgrows local disk.
-        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
-        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
     if master:

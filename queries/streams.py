@@ -9,7 +9,7 @@ from livegauge.schemas import DIFFS
 from livegauge.sources.tables import read_batches
 from livegauge.storage import new_path
 from livegauge.streaming.jobs import read_cells, start_bucket_max, start_snapshot_diff
-from livegauge.streaming.sources import observation_stream
+from livegauge.streaming.sources import observation_stream, stream_session
 from queries import inputs
 from queries.aggregates import PLATFORM, TEN_MINUTES
 from queries.inputs import DAILY, SPAN, sql
@@ -22,6 +22,7 @@ LANDINGS = (10, 20, None)
 def _land_and_drain(spark, sf_dir, start):
     """Land the observations in three steps of time; after each, restart the query until it has read all."""
     landing, checkpoint = new_path(spark, "landing"), new_path(spark, "stream")
+    streams = stream_session(spark)
     first = 0
     for last in LANDINGS:
         ts = F.col("datetime")
@@ -29,7 +30,7 @@ def _land_and_drain(spark, sf_dir, start):
         if last is not None:
             rows, first = rows.filter(ts < _day(last)), last
         rows.write.mode("append").parquet(landing)
-        start(observation_stream(spark, landing), checkpoint).awaitTermination()
+        start(observation_stream(streams, landing), checkpoint).awaitTermination()
 
 
 def _day(number):

@@ -8,7 +8,7 @@ from livegauge.plans.snapshot import snapshot_diff
 from livegauge.schemas import DIFFS, OBSERVATIONS
 from livegauge.sources.tables import read_batches
 from livegauge.streaming.jobs import read_cells, start_bucket_max, start_snapshot_diff
-from livegauge.streaming.sources import observation_stream
+from livegauge.streaming.sources import observation_stream, stream_session
 from tests.conftest import at, tuples
 
 
@@ -41,7 +41,7 @@ def test_bucket_maxima_equal_batch(spark, make, tmp_path):
     for rows in steps:
         land(make, rows, landing)
         seen += rows
-        query = start_bucket_max(observation_stream(spark, landing), cells, checkpoint, drain=True)
+        query = start_bucket_max(observation_stream(stream_session(spark, 3), landing), cells, checkpoint, drain=True)
         query.awaitTermination()
         expected = bucket_max(make("OBSERVATIONS", seen))
         assert sorted(tuples(read_cells(spark, cells)), key=str) == sorted(tuples(expected), key=str)
@@ -55,7 +55,7 @@ def test_rows_older_than_the_lookback_are_dropped(spark, make, tmp_path):
         ("a", 3, "x", at("06 00:00:00")),  # four days late: dropped
     ):
         land(make, [row], landing)
-        start_bucket_max(observation_stream(spark, landing), cells, checkpoint, drain=True).awaitTermination()
+        start_bucket_max(observation_stream(stream_session(spark, 3), landing), cells, checkpoint, drain=True).awaitTermination()
     assert sorted(tuples(read_cells(spark, cells), "online")) == [(1,), (2,)]
 
 
@@ -70,7 +70,7 @@ def test_differences_equal_batch_after_every_landing(spark, make, tmp_path):
     for rows in steps:
         land(make, rows, landing)
         seen += rows
-        stream = observation_stream(spark, landing)
+        stream = observation_stream(stream_session(spark, 3), landing)
         start_snapshot_diff(stream, stored, diffs, checkpoint, drain=True).awaitTermination()
         expected += tuples(
             snapshot_diff(make("OBSERVATIONS", seen), max(r[3] for r in seen)), *DIFFS.names
@@ -84,7 +84,7 @@ def test_restart_without_new_rows_writes_nothing(spark, make, tmp_path):
     landing, stored, diffs, checkpoint = (str(tmp_path / n) for n in ("landing", "stored", "diffs", "check"))
     land(make, rows_between(at("10 00:00:00"), at("10 00:30:00"), 7), landing)
     for _ in range(2):
-        stream = observation_stream(spark, landing)
+        stream = observation_stream(stream_session(spark, 3), landing)
         start_snapshot_diff(stream, stored, diffs, checkpoint, drain=True).awaitTermination()
     batches = read_batches(spark, diffs, DIFFS).select("batch_id").distinct()
     assert tuples(batches) == [(0,)]
