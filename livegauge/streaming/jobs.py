@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -90,8 +92,13 @@ def start_snapshot_diff(
         stored = read_batches(spark, observations_path, OBSERVATIONS)
         newest = stored.filter(F.col("batch_id") == batch_id).agg(F.max("datetime")).scalar()
         since = stored.filter((F.col("obs_date") >= day_of(newest)) & (F.col("datetime") >= newest))
-        as_of = since.agg(F.max("datetime")).scalar()
-        append_batch(snapshot_diff(stored, as_of, settings), diffs_path, DIFFS, batch_id)
+        # One time to the driver, so that the difference lists and plans over the look-back's dates alone.
+        as_of = since.agg(F.max("datetime")).first()[0]
+        if as_of is None:
+            return
+        dates = (as_of - timedelta(days=settings.lookback_days)).date(), as_of.date()
+        recent = read_batches(spark, observations_path, OBSERVATIONS, *dates)
+        append_batch(snapshot_diff(recent, as_of, settings), diffs_path, DIFFS, batch_id)
 
     return (
         observations.writeStream.foreachBatch(step)
