@@ -23,7 +23,6 @@ class Scratch:
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(kept)] = path
-        self._last = kept
         return kept
 
     def drop(self, kept: DataFrame) -> None:
@@ -43,7 +42,7 @@ def components(scratch: Scratch, links: DataFrame) -> DataFrame:
     so that paths shrink by about half each time. Minima are combined before the shuffle and joined back, so a node with very
     many links is never held in one task. Links of a node to itself give the node as its own component.
     """
-    spark = scratch.spark
+    links = scratch.keep(links.select("a", "b").distinct())  # read more than once below
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     edges = scratch.keep(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()

@@ -78,9 +78,17 @@ def _signatures(words: int):
 
 
 def _sets(words: int):
+    """(node, shingles) of the rows whose set is that of their node; a row with the id of a node but another text is not."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "shingles": [_signed(shingle_set(t, words)) for t in batch["text"]]})
+            nodes, sets = [], []
+            for node, digest, text in zip(batch["node"], batch["digest"], batch["text"], strict=True):
+                found = shingle_set(text, words)
+                if xxhash.xxh3_128_digest(found.tobytes()) == bytes(digest):
+                    nodes.append(node)
+                    sets.append(_signed(found))
+            yield pd.DataFrame({"node": np.array(nodes, np.int64), "shingles": sets})
 
     return run
 
@@ -110,8 +118,8 @@ def distance(a: str, b: str) -> Column:
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) those with 100 * intersection >= percent * union. The set of ``a`` travels with the pair;
     that of ``b``, the side that may be shared by many, is only met in the join."""
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(a, "a").join(b, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
@@ -140,55 +148,47 @@ def near_duplicates(
         )
     )
     used = signed.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = scratch.keep(
-        used.groupBy("digest").agg(
-            F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
-        )
+    classes = used.groupBy("digest").agg(
+        F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")
     )
-    # A representative of several digests (an id that repeats with other texts) is one node.
+    # Numbers of the classes, safe to use since the table is written: the index holds two longs a row.
+    classes = scratch.keep(classes.withColumn("node", F.monotonically_increasing_id()))
     same = used.join(classes.select("digest", "rep"), "digest").where("id <> rep")
     same = same.select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
-    node = classes.select(F.col("rep").alias("id"), "digest", "n", "signature")
-    index = node.select("id", "digest", F.explode(keys()).alias("key"))
-    buckets = index.groupBy("key").agg(F.min(F.struct("id", "digest")).alias("centre"), F.count("*").alias("members"))
-    buckets = buckets.where("members > 1").drop("members")
-    found = scratch.keep(index.join(buckets, "key").select("key", "id", "digest", "centre"))
-
-    wanted = found.select("id", "digest").distinct()
-    texts = rows.join(wanted.select("id").distinct(), "id", "left_semi")
-    sets = texts.mapInPandas(_sets(words), f"id {kind}, shingles array<bigint>")
-    sets = scratch.keep(sets.where("size(shingles) > 0"))
-
-    signatures = node.select("id", "digest", "n", "signature")
-    star = _near(
-        found.where("digest <> centre.digest")
-        .select(F.col("id").alias("a"), "digest", F.col("centre.id").alias("b"), F.col("centre.digest").alias("to"))
-        .distinct(),
-        signatures,
-        percent,
-    )
+    index = classes.select("node", F.explode(keys()).alias("key"))
+    buckets = index.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
+    buckets = buckets.where("centre <> other").drop("other")
+    found = scratch.keep(index.join(buckets, "key"))
+
+    wanted = found.select("node").distinct().join(classes.select("node", "rep", "digest"), "node")
+    texts = rows.join(wanted, rows["id"] == wanted["rep"]).select("node", "digest", "text")
+    sets = scratch.keep(texts.mapInPandas(_sets(words), "node long, shingles array<bigint>"))
+
+    signatures = classes.select("node", "n", "signature")
+    star = found.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    star = scratch.keep(_near(star, signatures, percent))
     first = scratch.keep(_confirmed(star, sets, percent))
-    merged = scratch.keep(components(scratch, first))
+    merged = scratch.keep(components(scratch, first).withColumnRenamed("node", "member"))
 
-    placed = found.join(merged.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "key", "id", "digest", F.coalesce("component", "id").alias("component")
+    placed = found.join(merged, found["node"] == merged["member"], "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
     )
     split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_ = placed.join(split.select("key"), "key", "left_semi").join(signatures, ["id", "digest"])
-    open_ = scratch.keep(open_)
-    left = open_.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("signature").alias("ga"))
-    right = open_.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("signature").alias("gb"))
-    across = left.join(
-        right,
-        (left["key"] == right["key"])
-        & (F.col("ca") < F.col("cb"))
-        & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        & (distance("ga", "gb") <= RADIUS),
-    ).select("a", "b")
-    second = _confirmed(across.distinct(), sets, percent)
-
-    joined = scratch.keep(components(scratch, same.union(first).union(second)))
+    open_ = scratch.keep(placed.join(split.select("key"), "key", "left_semi").join(signatures, "node"))
+    side = lambda end: open_.select(
+        F.col("key").alias(f"key_{end}"), F.col("node").alias(end), F.col("component").alias(f"component_{end}"),
+        F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"signature_{end}"),
+    )
+    across = side("a").join(side("b"), F.expr("key_a = key_b AND component_a < component_b") & _may_link(percent))
+    across = scratch.keep(across.select("a", "b").distinct())
+    second = _confirmed(across, sets, percent)
+
+    # Components in terms of ids: a class is named by its smallest one.
+    reps = classes.select("node", "rep")
+    links = first.union(second).join(reps.withColumnRenamed("node", "a"), "a").select("b", F.col("rep").alias("x"))
+    links = links.join(reps.withColumnRenamed("node", "b"), "b").select(F.col("x").alias("a"), F.col("rep").alias("b"))
+    joined = scratch.keep(components(scratch, same.union(links)))
     out = signed.join(joined, signed["id"] == joined["node"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
     return out.select(
@@ -197,17 +197,21 @@ def near_duplicates(
     )
 
 
+def _may_link(percent: int) -> Column:
+    """Sizes that allow the similarity, and signatures within the radius, of sides a and b."""
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return sizes & (distance("signature_a", "signature_b") <= RADIUS)
+
+
 def _near(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, digest, b, to) within the signature distance whose sizes allow the similarity."""
-    a = signatures.select(F.col("id").alias("a"), "digest", F.col("n").alias("na"), F.col("signature").alias("ga"))
-    b = signatures.select(F.col("id").alias("b"), F.col("digest").alias("to"), F.col("n").alias("nb"), F.col("signature").alias("gb"))
-    both = pairs.join(a, ["a", "digest"]).join(b, ["b", "to"])
-    return both.where(
-        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (distance("ga", "gb") <= RADIUS)
-    ).select("a", "b").distinct()
+    """The pairs (a, b) that may link."""
+    for end in ("a", "b"):
+        pairs = pairs.join(signatures.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"signature_{end}")), end)
+    return pairs.where(_may_link(percent)).select("a", "b")
 
 
 def drop_near(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``documents`` that stay: one of each group of near copies, all columns as they are."""
     gone = near_duplicates(documents, id_col, text_col, words, percent).where("NOT kept")
-    return documents.join(gone.select(F.col(id_col).alias("_gone")).distinct(), documents[id_col] == F.col("_gone"), "left_anti")
+    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
+    return documents.join(gone, documents[id_col] == gone["_gone"], "left_anti")

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from livegauge.llm import language, licenses, sentencepiece, toxicity, warc
 from livegauge.llm.exact import exact_groups
 from livegauge.llm.minhash import near_duplicates
+from livegauge.llm.packing import pack
 from livegauge.llm.sharding import byte_shards
+from livegauge.llm.vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,16 +27,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded: number of ids, their CRC-32 as little-endian 32-bit numbers, and the decoded text's SHA-256."""
+    pieces = sentencepiece.load_pieces()
+    encoded = sentencepiece.encode(table(spark, sf_dir, "documents"), pieces)
+    return sentencepiece.digests(encoded, pieces)
+
+
+@query
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.document_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archive(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archive(index).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
@@ -46,3 +90,90 @@ ORACLES["op10_exact"] = """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
            doc_id = max(doc_id) OVER w AS kept, text_sha256
     FROM t WINDOW w AS (PARTITION BY text_sha256)"""
+
+
+ORACLES["op5_vectors"] = """
+    WITH RECURSIVE v AS (
+      SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS MATERIALIZED (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach AS (
+      SELECT a AS v, least(a, b) AS r FROM links
+      UNION SELECT l.b, reach.r FROM reach JOIN links l ON l.a = reach.v),
+    low AS (SELECT v, min(r) AS r FROM reach GROUP BY v),
+    degree AS (SELECT a AS v, count(DISTINCT b) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(r, vec_id)) AS component_id,
+           vec_id = least(vec_id, coalesce(r, vec_id)) AS kept
+    FROM embeddings LEFT JOIN low ON vec_id = low.v LEFT JOIN degree ON vec_id = degree.v"""
+
+ORACLES["op8_minhash"] = """
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+               lambda x: x <> '') AS w
+      FROM documents),
+    s AS MATERIALIZED (
+      SELECT doc_id, unnest(CASE WHEN len(w) < 2 THEN [w[1]]
+                            ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
+      FROM w WHERE len(w) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+      FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+    links AS MATERIALIZED (
+      SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+    both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+    reach AS (
+      SELECT a AS v, least(a, b) AS r FROM both_ways
+      UNION SELECT l.b, reach.r FROM reach JOIN both_ways l ON l.a = reach.v),
+    low AS (SELECT v, min(r) AS r FROM reach GROUP BY v)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(r, doc_id)) AS component_id,
+           doc_id = least(doc_id, coalesce(r, doc_id)) AS kept
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN low ON doc_id = low.v"""
+
+ORACLES["op9_warc"] = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+                 max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND newest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND newest <> page_id THEN newest END AS refers_to
+    FROM d"""
+
+
+def _license_sql() -> str:
+    """The canonical form by regular expressions; known texts enter as their canonical forms."""
+    names: dict[str, str] = {}
+    for name, texts in sorted(licenses.KNOWN.items()):
+        for text in texts:
+            names.setdefault(licenses.canonical(text), name)
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(form)}, {quoted(name)})" for form, name in names.items())
+    form = "' ' || trim(regexp_replace(lower(regexp_replace(part, {copyright}, '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '"
+    form = form.format(
+        copyright=quoted(
+            r"(?im)^[ \t]*(?:(?:copyright|\(c\)|©)[ \t]*)+(?:(?:\(c\)|©|[0-9]{4}|by\b)[^\n]*)$|^[ \t]*all rights reserved\.?[ \t]*$"
+        )
+    )
+    for a, b in sorted(licenses.EQUIVALENT.items(), key=lambda x: -len(x[0])):
+        form = f"replace({form}, {quoted(f' {a} ')}, {quoted(f' {b} ')})"
+    return f"""
+    WITH known(form, license) AS (VALUES {known}),
+    parts AS (
+      SELECT doc_id, -1 AS unit, text AS part FROM documents WHERE text <> ''
+      UNION ALL SELECT doc_id, 0, unnest(string_split(text, chr(10))) FROM documents WHERE text <> ''),
+    found AS (SELECT doc_id, unit, license FROM (SELECT doc_id, unit, trim({form}) AS form FROM parts) JOIN known USING (form))
+    SELECT doc_id, any_value(f.text_license) AS text_license, coalesce(any_value(f.licenses), '') AS licenses,
+           coalesce(any_value(f.n_units), 0) AS n_units
+    FROM documents LEFT JOIN (
+      SELECT doc_id, min(license) FILTER (unit = -1) AS text_license, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+             count(*) AS n_units
+      FROM found GROUP BY doc_id) f USING (doc_id)
+    GROUP BY doc_id"""
+
+
+ORACLES["op6_licenses"] = _license_sql()

@@ -1,0 +1,69 @@
+import zlib
+
+import numpy as np
+from livegauge.llm.language import LanguageModel, SLICE, has_letter, identify, keep_known, margins, train_svm
+from pyspark.sql import functions as F
+
+from tests.llm.data import SMALL, documents, rows
+
+
+def test_given_documents_are_told_apart(spark):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    have = {r["doc_id"]: r for r in rows(identify(df))}
+    source = rows(df.select("doc_id", "text", "lang"))
+    assert len(have) == len(source)
+    right = [have[r["doc_id"]]["lang_pred"] == r["lang"] for r in source if r["lang"] and have[r["doc_id"]]["held_out"]]
+    assert len(right) > 20 and sum(right) / len(right) > 0.95
+    assert all(0 <= r["score"] <= 1 for r in have.values())
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in have.items())
+
+
+def test_only_text_decides_and_held_out_rows_teach_nothing(spark):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    other = df.withColumn("lang", F.when(held, F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.lit("other"))
+    one, two = (sorted(map(tuple, (r.values() for r in rows(identify(x))))) for x in (df, other))
+    assert one == two
+
+
+def test_awkward_rows(spark):
+    df = documents(spark)
+    have = rows(identify(df).join(df.select("doc_id", "text").distinct(), "doc_id"))
+    for r in have:
+        assert (r["lang_pred"] == "und") == (not has_letter(r["text"])) and 0 <= r["score"] <= 1
+    assert identify(df).count() == df.count()
+    kept = keep_known(df)
+    assert kept.columns == df.columns
+    want = sorted((str(r["doc_id"]), r["text"]) for r in rows(df) if has_letter(r["text"]))
+    assert sorted((str(r["doc_id"]), r["text"]) for r in rows(kept)) == want
+
+
+def test_no_rows_and_nothing_to_learn_from(spark):
+    empty = documents(spark, [])
+    assert identify(empty).count() == 0 and keep_known(empty).count() == 0
+    df = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert {(r["lang_pred"], r["score"]) for r in rows(identify(df))} == {("und", 0.0)}
+    assert keep_known(df).count() == sum(has_letter(r["text"]) for r in rows(df))
+
+
+def test_long_texts_are_read_to_the_end():
+    weights = np.random.default_rng(0).normal(size=(2, 4096))
+    text = "abc déf " * (SLICE // 4)
+    data = b" " + text.encode() + b" "
+    wide = np.frombuffer(data, np.uint8).astype(np.uint32)
+    code = ((wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16) * np.uint32(0x9E3779B1)) >> np.uint32(20)
+    want = weights[:, code].mean(1)
+    assert np.allclose(margins(["x y", text, "z"], weights, np.zeros(2))[1], want)
+
+
+def test_machine_separates_separable_points():
+    x = np.random.default_rng(1).normal(size=(200, 5))
+    y = np.where(x @ np.array([1, -2, 0.5, 0, 3]) > 0, 1.0, -1.0)
+    w, b = train_svm(x, y, steps=400)
+    assert (np.sign(x @ w + b) == y).mean() > 0.97
+
+
+def test_a_winner_needs_its_duels():
+    model = LanguageModel({"f": ["a", "b", "c"]}, [("f", "a", "b"), ("f", "a", "c"), ("f", "b", "c")], np.zeros((3, 4096)), np.array([1.0, 2.0, -1.0]))
+    names, score = model.predict(["text", None, "12"])
+    assert names == ["a", "und", "und"] and 0.9 < score[0] <= 1 and list(score[1:]) == [0, 0]

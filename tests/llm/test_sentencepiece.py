@@ -1,0 +1,99 @@
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece as library
+from livegauge.llm import sentencepiece as module
+from livegauge.llm.sentencepiece import SPACE, PlainWords, Pieces, decode, encode, encode_words, load_pieces
+from pyspark.sql import functions as F
+
+from tests.llm.data import SMALL, documents, rows
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return load_pieces()
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return library.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def check(df, pieces, reference):
+    encoded = encode(df, pieces)
+    have = sorted(((r["doc_id"], r["ids"]) for r in rows(encoded)), key=str)
+    want = sorted(((r["doc_id"], None if r["text"] is None else reference.encode(r["text"])) for r in rows(df.select("doc_id", "text"))), key=str)
+    assert have == want
+    back = sorted(((r["doc_id"], r["text"]) for r in rows(decode(encoded, pieces))), key=str)
+    assert back == sorted(((r["doc_id"], r["text"]) for r in rows(df.select("doc_id", "text"))), key=str)
+
+
+def test_awkward_rows(spark, pieces, reference):
+    pick = random.Random(9)
+    odd = ["   three  spaces " * 3, " " * 45 + "x", " " * 200 + "x" + " " * 63, "a" * 64, "a" * 300, "b" * 63 + " " + "b" * 62, "=" * 70, "<s></s><unk>", f"{SPACE}own{SPACE}", "\t\ttabs\r\n", "é ﬁ 👩‍👩‍👧", "\x00\x01"]
+    odd += ["".join(pick.choices("abcdehinorst .,ABC  éüñ漢", k=pick.randint(1, 80))) for _ in range(150)]
+    df = documents(spark)
+    more = spark.createDataFrame(list(enumerate(odd, 500)), "doc_id long, text string")
+    both = df.select("doc_id", "text").union(more.where(f"NOT contains(text, '{SPACE}')"))
+    check(both, pieces, reference)
+    # A text that holds the escape itself is encoded as the library does, which reads it as a space.
+    own = more.where(f"contains(text, '{SPACE}')")
+    assert [r["ids"] for r in rows(encode(own, pieces))] == [reference.encode(r["text"]) for r in rows(own)]
+
+
+def test_very_long_text(spark, pieces, reference):
+    check(documents(spark).where("doc_id >= 120").select("doc_id", "text"), pieces, reference)
+
+
+def test_given_documents(spark, pieces, reference):
+    check(spark.read.parquet(f"{SMALL}/documents.parquet"), pieces, reference)
+
+
+def test_many_bundles(spark, pieces, reference, monkeypatch):
+    monkeypatch.setattr(module, "BUNDLE_CHARS", 500)
+    check(documents(spark).where("doc_id < 60"), pieces, reference)
+
+
+def test_no_rows(spark, pieces):
+    encoded = encode(documents(spark, []), pieces)
+    assert encoded.count() == 0 and decode(encoded, pieces).count() == 0
+
+
+def test_the_lattice_and_the_plain_merges_agree(spark, pieces):
+    pick = random.Random(12)
+    found = {SPACE * pick.randint(0, 2) + "".join(pick.choices("aeinorst.,th", k=pick.randint(1, 60))) for _ in range(500)}
+    long = PlainWords(pieces)
+    for r in rows(encode_words(spark.createDataFrame([(w,) for w in found], "word string"), pieces.table(spark), pieces.longest, False)):
+        assert r["ids"] == long.ids(r["word"])
+
+
+def test_viterbi_is_the_best_path(spark):
+    pick = random.Random(4)
+    texts = sorted({"".join(pick.choices("abc", k=k)) for k in (2, 2, 3, 3, 4) for _ in range(6)} | set("abc"))
+    scores = [round(pick.uniform(-9, -1), 3) for _ in texts]
+    pieces = Pieces(tuple(texts), tuple(range(len(texts))), tuple(scores), (), 99, True)
+    words = sorted({"".join(pick.choices("abc", k=pick.randint(1, 12))) for _ in range(60)})
+
+    def best(word):
+        found = [(0.0, [])] + [None] * len(word)
+        for end in range(1, len(word) + 1):
+            for k, t in enumerate(texts):
+                start = end - len(t)
+                if start >= 0 and word[start:end] == t and found[start] is not None:
+                    path = (found[start][0] + scores[k], found[start][1] + [k])
+                    if found[end] is None or path[0] > found[end][0]:
+                        found[end] = path
+        return found[-1]
+
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    for r in rows(encode_words(df, pieces.table(spark), pieces.longest, True)):
+        assert sum(scores[i] for i in PlainWords(pieces).ids(r["word"])) == pytest.approx(best(r["word"])[0])
+        assert sum(scores[i] for i in r["ids"]) == pytest.approx(best(r["word"])[0])
+        assert "".join(texts[i] for i in r["ids"]) == r["word"]
+
+
+def test_grouping_a_lattice_needs_no_shuffle_of_its_edges(spark, pieces):
+    words = spark.range(1000).select(F.col("id").cast("string").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    plan = encode_words(words, pieces.table(spark), pieces.longest, False)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -1,0 +1,83 @@
+import math
+
+import numpy as np
+import pytest
+from livegauge.llm import vectors as module
+from livegauge.llm.vectors import near_vectors
+from pyspark.sql import functions as F
+
+from tests.llm.data import SMALL, Forest, clash, rows
+
+
+def plain(found, threshold=0.93):
+    """found: (id, label, vector)."""
+
+    def usable(v):
+        return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    good = [(i, label, np.array(v, float)) for i, label, v in found if i is not None and label is not None and usable(v)]
+    good = [(i, label, v / np.abs(v).max()) for i, label, v in good]
+    forest, links = Forest(), {}
+    for k, (i, a, x) in enumerate(good):
+        for j, b, y in good[:k]:
+            if i != j and a == b and len(x) == len(y) and x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
+                forest.join(i, j)
+                links.setdefault(i, set()).add(j)
+                links.setdefault(j, set()).add(i)
+    return [(i, len(links.get(i, ())), None if i is None else forest.of(i), i is None or forest.of(i) == i) for i, _, _ in found]
+
+
+def have(df, **options):
+    return sorted((tuple(r.values()) for r in rows(near_vectors(df, 0.93, **options))), key=str)
+
+
+def test_given_vectors(spark):
+    df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    found = [(r["vec_id"], r["label"], r["embedding"]) for r in rows(df)]
+    assert have(df) == sorted(plain(found), key=str)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_awkward_rows(spark, kind):
+    pick = np.random.default_rng(2)
+    base = pick.normal(size=8)
+    found = [(i, i % 2, (base + pick.normal(size=8) * 0.15).tolist()) for i in range(30)]
+    found += [(50 + i, 1, pick.normal(size=8).tolist()) for i in range(10)]
+    found += [(70, 1, found[0][2]), (71, 0, found[0][2]), (72, 0, found[0][2]), (72, 0, found[0][2]), (73, None, found[0][2])]
+    found += [(80, 0, None), (81, 0, []), (82, 0, [0.0] * 8), (83, 0, [float("nan")] * 8), (84, 0, [float("inf")] + [1.0] * 7)]
+    found += [(85, 0, [None] + [1.0] * 7), (86, 0, [1.0] * 3), (87, 0, [2.0] * 3), (None, 0, found[0][2]), (None, 0, None)]
+    found += [(88, 1, [-0.0, 1.0, 0.0]), (89, 1, [0.0, 3.0, -0.0])]
+    if kind == "double":
+        found += [(90, 0, [1e300, 1e300]), (91, 0, [1e-300, 1e-300])]
+    df = spark.createDataFrame(found, f"vec_id long, label int, embedding array<{kind}>")
+    if kind == "float":
+        found = [(i, label, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, label, v in found]
+    assert have(clash(df)) == sorted(plain(found), key=str)
+
+
+def test_long_lists_are_split_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK", 7)
+    pick = np.random.default_rng(4)
+    centre = pick.normal(size=(3, 16))
+    found = [(i, 0, (centre[i % 3] + pick.normal(size=16) * 0.12).tolist()) for i in range(120)]
+    df = spark.createDataFrame(found, "vec_id long, label int, embedding array<double>")
+    assert have(df) == sorted(plain(found), key=str)
+
+
+def test_recall_against_brute_force(spark):
+    """Random pairs at a cosine of just 0.93, the hardest to find."""
+    pick = np.random.default_rng(6)
+    x = pick.normal(size=(800, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = pick.normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    y = 0.9301 * x + math.sqrt(1 - 0.9301**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    df = spark.createDataFrame([(k, 0, v.tolist()) for k, v in enumerate(np.vstack([x, y]))], "vec_id long, label int, embedding array<double>")
+    found = near_vectors(df, 0.93).where("n_links > 0").count()
+    assert found >= 0.99 * 1600
+
+
+def test_no_rows(spark):
+    df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    assert near_vectors(df.limit(0), 0.93).count() == 0
+    assert near_vectors(df.withColumn("label", F.lit(None).cast("int")), 0.93).where("n_links > 0").count() == 0
