@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from livegauge.storage import new_path
+from livegauge.storage import new_path, remove
 
 
 class Scratch:
@@ -26,8 +26,7 @@ class Scratch:
         return kept
 
     def drop(self, kept: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(id(kept)))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self._paths.pop(id(kept)))
 
 
 def fold_ascii(column: Column) -> Column:

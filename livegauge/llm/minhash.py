@@ -22,10 +22,15 @@ from livegauge.llm.common import Scratch, components
 CHUNKS, WIDTH, ERRORS = 12, 6, 1  # keys() leaves out one symbol; a chunk fills the low 48 bits of a long
 SYMBOLS = CHUNKS * WIDTH
 RADIUS = CHUNKS * (ERRORS + 1) - 1
+# Candidates also get a sketch: the symbols, and more minwise values of one bit each, which tell similarities apart more finely. Pairs are
+# confirmed up to distances that a pair at a similarity of 0.8 exceeds with probability below 1e-5; the radius itself would lose one in
+# 150 of those that the index finds.
+BITS, CONFIRMED_SIGNATURE, CONFIRMED_BITS = 4096, 30, 492
+BLOCK = 1024  # rows of one bucket compared in one task with as many others
 
 _rng = np.random.default_rng(8)
-_MUL = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint32)
+_MUL = _rng.integers(0, 2**32, SYMBOLS + BITS, dtype=np.uint32) | np.uint32(1)
+_ADD = _rng.integers(0, 2**32, SYMBOLS + BITS, dtype=np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -52,6 +57,27 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
+def minima(sets: list[np.ndarray], first: int, last: int) -> Iterator[np.ndarray]:
+    """For each hash function from ``first`` to ``last`` the smallest value of every set; no set may be empty."""
+    low = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
+    starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+    for k in range(first, last):
+        yield np.minimum.reduceat(low * _MUL[k] + _ADD[k], starts)
+
+
+def symbols(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of symbols for each set: the low byte of its minima."""
+    return np.stack([least.astype(np.uint8) for least in minima(sets, 0, SYMBOLS)], axis=1)
+
+
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bytes for each set: its symbols, then a bit for each further minimum."""
+    bits = np.empty((BITS, len(sets)), bool)
+    for k, least in enumerate(minima(sets, SYMBOLS, SYMBOLS + BITS)):
+        bits[k] = least * np.uint32(0x9E3779B1) >> np.uint32(31)
+    return np.hstack([symbols(sets), np.packbits(bits, axis=0).T])
+
+
 def _signatures(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -60,11 +86,9 @@ def _signatures(words: int):
             full = np.flatnonzero(sizes)
             packed = np.zeros((len(sets), CHUNKS), np.uint64)
             if len(full):
-                low = (np.concatenate([sets[i] for i in full]) >> np.uint64(32)).astype(np.uint32)
-                starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
+                found = symbols([sets[i] for i in full]).astype(np.uint64)
                 for k in range(SYMBOLS):
-                    least = np.minimum.reduceat(low * _MUL[k] + _ADD[k], starts) & np.uint32(255)
-                    packed[full, k // WIDTH] |= least.astype(np.uint64) << np.uint64(8 * (k % WIDTH))
+                    packed[full, k // WIDTH] |= found[:, k] << np.uint64(8 * (k % WIDTH))
             yield pd.DataFrame(
                 {
                     "id": batch["id"],
@@ -78,7 +102,7 @@ def _signatures(words: int):
 
 
 def _sets(words: int):
-    """(node, shingles) of the rows whose set is that of their node; a row with the id of a node but another text is not."""
+    """(node, shingles, sketch) of the rows whose set is that of their node; a row with the id of a node but another text is not."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -87,8 +111,9 @@ def _sets(words: int):
                 found = shingle_set(text, words)
                 if xxhash.xxh3_128_digest(found.tobytes()) == bytes(digest):
                     nodes.append(node)
-                    sets.append(_signed(found))
-            yield pd.DataFrame({"node": np.array(nodes, np.int64), "shingles": sets})
+                    sets.append(found)
+            found = [row.tobytes() for row in sketches(sets)] if sets else []
+            yield pd.DataFrame({"node": np.array(nodes, np.int64), "shingles": list(map(_signed, sets)), "sketch": found})
 
     return run
 
@@ -115,6 +140,61 @@ def distance(a: str, b: str) -> Column:
     return F.expr(" + ".join(parts))
 
 
+def first_shared(key: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the key that the symbols of x and y (rows) share is the first they share. A pair then comes from one bucket only."""
+    place = key >> 48
+    errors = (x[:, :SYMBOLS] != y[:, :SYMBOLS]).reshape(len(x), CHUNKS, WIDTH).sum(2)
+    chunk = place // WIDTH
+    return ((errors <= ERRORS).argmax(1) == chunk) & ((errors[np.arange(len(x)), chunk] > 0) | (place % WIDTH == 0))
+
+
+def _across(percent: int, nearest: bool):
+    """Of the rows of a bucket's two blocks, the pairs (a, b) of different components that may link, or of every row the ``nearest``
+    such pair alone. Rows come sorted by bucket and blocks; a group may go on in the next Arrow batch, so the last of a batch waits for it."""
+
+    def pairs(group: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        i, j = group["i"].iloc[0], group["j"].iloc[0]
+        sides = [group[group["block"] == i], group[group["block"] == j]] if i != j else [group, group]
+        if not len(sides[0]) or not len(sides[1]):
+            return
+        node, component, n = ([side[c].to_numpy() for side in sides] for c in ("node", "component", "n"))
+        x, y = (np.frombuffer(b"".join(side["sketch"]), np.uint8).reshape(len(side), -1) for side in sides)
+        bits_x, bits_y = (np.ascontiguousarray(z[:, SYMBOLS:]).view(np.uint64) for z in (x, y))
+        key = group["key"].iloc[0]
+        for row in range(len(x)):
+            sizes = 100 * np.minimum(n[0][row], n[1]) >= percent * np.maximum(n[0][row], n[1])
+            at = np.flatnonzero(sizes & (component[0][row] != component[1]))
+            if i == j:
+                at = at[at > row]
+            if len(at):
+                apart = np.bitwise_count(bits_x[row] ^ bits_y[at]).sum(1, dtype=np.int64)
+                near = [apart.argmin()] if nearest else slice(None)
+                at = at[near][apart[near] <= CONFIRMED_BITS]
+            if len(at):
+                other = y[at]
+                first = first_shared(np.full(len(at), key), np.broadcast_to(x[row], other.shape), other)
+                yield np.full(first.sum(), node[0][row]), node[1][at[first]]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting = None
+        for batch in batches:
+            rows = batch if waiting is None else pd.concat([waiting, batch], ignore_index=True)
+            ids = rows[["key", "i", "j"]].to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]).any(1)) + 1]) if len(rows) else [0]
+            found = [p for a, b in zip(cuts[:-1], cuts[1:], strict=True) for p in pairs(rows.iloc[a:b])]
+            waiting = rows.iloc[cuts[-1] :]
+            yield _as_pairs(found)
+        if waiting is not None and len(waiting):
+            yield _as_pairs(list(pairs(waiting)))
+
+    return run
+
+
+def _as_pairs(found: list) -> pd.DataFrame:
+    empty = [np.empty(0, np.int64)]
+    return pd.DataFrame({"a": np.concatenate([p for p, _ in found] or empty), "b": np.concatenate([q for _, q in found] or empty)})
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) those with 100 * intersection >= percent * union. The set of ``a`` travels with the pair;
     that of ``b``, the side that may be shared by many, is only met in the join."""
@@ -135,9 +215,9 @@ def near_duplicates(
     have empty sets and link with nothing; equal sets link. Rows with a null id link with nothing and are kept, with a null
     component. Rows that repeat an id are one node, with the links of all its texts. Other columns are not read.
 
-    Equal sets become one representative first. Every bucket of the index then links its members to its smallest one;
-    confirmed links merge most copies. What remains is every pair of a bucket that lies in different components
-    and within the signature distance: all are confirmed too, so no link that could join two components is left out.
+    Equal sets become one representative first. Every bucket of the index then links its members to one of them, and each
+    to its nearest in another component; confirmed links merge most copies. What remains is every pair of a bucket that lies in different components
+    and near enough in sketch: all are confirmed too, so no link that could join two components is left out.
     """
     scratch = Scratch(documents.sparkSession, "minhash")
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -157,36 +237,30 @@ def near_duplicates(
     same = same.select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     index = classes.select("node", F.explode(keys()).alias("key"))
-    buckets = index.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("other"))
-    buckets = buckets.where("centre <> other").drop("other")
-    found = scratch.keep(index.join(buckets, "key"))
+    shared = index.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    found = scratch.keep(index.join(shared, "key"))
 
     wanted = found.select("node").distinct().join(classes.select("node", "rep", "digest"), "node")
     texts = rows.join(wanted, rows["id"] == wanted["rep"]).select("node", "digest", "text")
-    sets = scratch.keep(texts.mapInPandas(_sets(words), "node long, shingles array<bigint>"))
+    sets = scratch.keep(texts.mapInPandas(_sets(words), "node long, shingles array<bigint>, sketch binary"))
 
+    # The centre of a bucket is the member that meets most others over all its buckets: of an original and its changed copies, the original.
+    met = found.groupBy("node").agg(F.sum("members").alias("met"))
+    centres = found.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
     signatures = classes.select("node", "n", "signature")
-    star = found.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    star = found.join(centres, "key").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     star = scratch.keep(_near(star, signatures, percent))
     first = scratch.keep(_confirmed(star, sets, percent))
-    merged = scratch.keep(components(scratch, first).withColumnRenamed("node", "member"))
-
-    placed = found.join(merged, found["node"] == merged["member"], "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
-    )
-    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    open_ = scratch.keep(placed.join(split.select("key"), "key", "left_semi").join(signatures, "node"))
-    side = lambda end: open_.select(
-        F.col("key").alias(f"key_{end}"), F.col("node").alias(end), F.col("component").alias(f"component_{end}"),
-        F.col("n").alias(f"n_{end}"), F.col("signature").alias(f"signature_{end}"),
-    )
-    across = side("a").join(side("b"), F.expr("key_a = key_b AND component_a < component_b") & _may_link(percent))
-    across = scratch.keep(across.select("a", "b").distinct())
-    second = _confirmed(across, sets, percent)
+    links = first
+    for nearest in (True, False):
+        merged = scratch.keep(components(scratch, links).withColumnRenamed("node", "member"))
+        rest = _open_buckets(found, merged, sets)
+        across = scratch.keep(rest.mapInPandas(_across(percent, nearest), "a long, b long"))
+        links = links.union(scratch.keep(_confirmed(across.distinct() if nearest else across, sets, percent)))
 
     # Components in terms of ids: a class is named by its smallest one.
     reps = classes.select("node", "rep")
-    links = first.union(second).join(reps.withColumnRenamed("node", "a"), "a").select("b", F.col("rep").alias("x"))
+    links = links.join(reps.withColumnRenamed("node", "a"), "a").select("b", F.col("rep").alias("x"))
     links = links.join(reps.withColumnRenamed("node", "b"), "b").select(F.col("x").alias("a"), F.col("rep").alias("b"))
     joined = scratch.keep(components(scratch, same.union(links)))
     out = signed.join(joined, signed["id"] == joined["node"], "left")
@@ -197,10 +271,24 @@ def near_duplicates(
     )
 
 
+def _open_buckets(found: DataFrame, merged: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of the buckets whose members lie in more than one component, in blocks: every row meets each block of its bucket."""
+    placed = found.join(merged, found["node"] == merged["member"], "left").select(
+        "key", "node", "members", F.coalesce("component", "node").alias("component")
+    )
+    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    rest = placed.join(split.select("key"), "key", "left_semi").withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rest = rest.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    rest = rest.join(sets.select("node", F.size("shingles").alias("n"), "sketch"), "node").drop("members", "other")
+    return rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def _may_link(percent: int) -> Column:
-    """Sizes that allow the similarity, and signatures within the radius, of sides a and b."""
+    """Sizes that allow the similarity, and signatures near enough, of sides a and b."""
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return sizes & (distance("signature_a", "signature_b") <= RADIUS)
+    return sizes & (distance("signature_a", "signature_b") <= CONFIRMED_SIGNATURE)
 
 
 def _near(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:

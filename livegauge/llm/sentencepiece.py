@@ -28,6 +28,7 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,7 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 LATTICE_CHARS = 64  # words up to this length go through the lattice, whose fold holds a word's edges in one row
 BUNDLE_CHARS = 24 << 20  # text of one bundle; a longer text is a bundle of its own
+WORD_TASKS = 8  # tasks that a bundle's words are spread over: their edges are some hundred times as large
 
 
 @dataclass(frozen=True)
@@ -235,20 +237,20 @@ def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unigram: boo
     return grouped.withColumn(name, F.expr(state)).select("word", F.expr(path).alias("ids"), *others)
 
 
-def _bundles(folder: str, id_name: str, limit: int):
-    """Stores documents in bundles, one Arrow file compressed as a whole for each, and returns their paths."""
+def _bundles(folder: str, limit: int):
+    """Stores documents in bundles, each a compressed Arrow file, and returns their numbers and paths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, number = [], 0, 0
+        held, size, number, partition = [], 0, 0, TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
             nonlocal held, size, number
             path = own_name(folder, number, ".arrow")
             table = pa.Table.from_batches(held)
-            with opened(path, "write") as file, pa.ipc.new_file(file, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with opened(path, "write") as file, pa.ipc.new_file(file, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
                 out.write_table(table)
             held, size, number = [], 0, number + 1
-            return pa.record_batch({"bundle": [path]})
+            return pa.record_batch({"bundle": pa.array([(partition << 32) + number], pa.int64()), "path": [path]})
 
         for batch in batches:
             lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0))
@@ -279,25 +281,28 @@ def encode(documents: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_co
     kind = documents.schema[id_col].dataType.simpleString()
     folder = new_path(spark, "sentencepiece")
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    bundles = Scratch(spark, "bundles").keep(rows.mapInArrow(_bundles(folder, id_col, BUNDLE_CHARS), "bundle string"))
+    bundles = Scratch(spark, "bundles").keep(rows.mapInArrow(_bundles(folder, BUNDLE_CHARS), "bundle long, path string"))
+    count = bundles.count()
     words_of = Words(pieces)
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path in batch["bundle"]:
+            for bundle, path in zip(batch["bundle"], batch["path"], strict=True):
                 found: set[str] = set()
                 for text in _read_bundle(path)["text"]:
                     if isinstance(text, str):
                         found.update(words_of.of(text))
-                yield pd.DataFrame({"word": [w for w in found if words_of.fits_lattice(w)], "bundle": path})
+                yield pd.DataFrame({"word": [w for w in found if words_of.fits_lattice(w)], "bundle": bundle})
 
-    spread = bundles.repartition("bundle")
-    uses = spread.mapInPandas(words, "word string, bundle string")
-    distinct = uses.groupBy("word").agg(F.collect_list("bundle").alias("bundles"))
+    # Numbers of partitions that adaptive execution leaves as they are: what it sees is a small part of the work.
+    uses = bundles.repartition(max(1, min(count, 10_000))).mapInPandas(words, "word string, bundle long")
+    spread = uses.repartition(max(1, min(WORD_TASKS * count, 100_000)), "word")
+    distinct = spread.groupBy("word").agg(F.collect_list("bundle").alias("bundles"))
     encoded = encode_words(distinct, pieces.table(spark), pieces.longest, pieces.unigram)
-    delivered = encoded.select("word", "ids", F.explode("bundles").alias("bundle"))
-    # A bundle without a known word still has its documents.
-    delivered = delivered.unionByName(bundles.select(F.lit(None).cast("string").alias("word"), F.lit(None).cast("array<int>").alias("ids"), "bundle"))
+    delivered = encoded.select("word", "ids", F.explode("bundles").alias("bundle"), F.lit(None).cast("string").alias("path"))
+    # One row more for each bundle, with its path; a bundle without a known word still has its documents.
+    none = F.lit(None)
+    delivered = delivered.union(bundles.select(none.cast("string").alias("word"), none.cast("array<int>").alias("ids"), "bundle", "path"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         ids = {w: np.asarray(i, "<i4").tobytes() for w, i in zip(group["word"], group["ids"], strict=True) if isinstance(w, str)}
@@ -309,7 +314,7 @@ def encode(documents: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_co
                 found = ids[word] = np.array(other, "<i4").tobytes()
             return found
 
-        plain_words, table = PlainWords(pieces), _read_bundle(group["bundle"].iloc[0])
+        plain_words, table = PlainWords(pieces), _read_bundle(group["path"].dropna().iloc[0])
         out = [
             np.frombuffer(b"".join([encoded_word(w) for w in words_of.of(text)]), "<i4") if isinstance(text, str) else None
             for text in table["text"]

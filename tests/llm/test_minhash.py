@@ -1,7 +1,10 @@
+import random
 from itertools import combinations
 
+import numpy as np
 import pytest
-from livegauge.llm.minhash import RADIUS, SYMBOLS, distance, drop_near, keys, near_duplicates
+from livegauge.llm import minhash
+from livegauge.llm.minhash import BITS, RADIUS, SYMBOLS, distance, drop_near, first_shared, keys, near_duplicates, sketches
 from pyspark.sql import functions as F
 
 from tests.llm.data import SMALL, Forest, documents, grouped, rows
@@ -62,6 +65,42 @@ def test_the_index_finds_every_pair_within_the_radius(spark):
     assert row["d"] == RADIUS and row["k"] >= 1
 
 
+def test_a_pair_comes_from_the_first_key_it_shares(spark):
+    pick = np.random.default_rng(3)
+    x = pick.integers(0, 256, (400, 512), dtype=np.uint8)
+    y = np.where(pick.random(x.shape) < 0.75, x, pick.integers(0, 256, x.shape, dtype=np.uint8))
+    long = lambda rows: [[sum(int(s) << 8 * j for j, s in enumerate(c)) for c in row[:72].reshape(12, 6)] for row in rows]
+    df = spark.createDataFrame(list(zip(range(400), long(x), long(y), strict=True)), "pair long, a array<long>, b array<long>")
+    found = [(r["pair"], k) for r in df.select("pair", F.array_intersect(keys("a"), keys("b")).alias("k")).collect() for k in r["k"]]
+    pair, key = (np.array(c) for c in zip(*found, strict=True))
+    first = first_shared(key, x[pair], y[pair])
+    least = {p: min(k for q, k in found if q == p) for p in set(pair.tolist())}
+    assert len(least) > 300 and dict(zip(pair[first].tolist(), key[first].tolist(), strict=True)) == least and first.sum() == len(least)
+
+
+def test_sketches_estimate_the_similarity():
+    pick = np.random.default_rng(1)
+    every = np.sort(pick.integers(0, 2**64, 1200, dtype=np.uint64))
+    for shared in (100, 600, 890):  # of 1000 and 1000 each
+        a, b = every[: 500 + shared // 2], every[500 - shared // 2 :][: 500 + shared // 2]
+        similarity = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        x, y = sketches([a, b])
+        apart = np.bitwise_count(x[SYMBOLS:] ^ y[SYMBOLS:]).sum()
+        assert abs((1 - similarity) / 2 - apart / BITS) < 0.035
+        assert abs((x[:SYMBOLS] == y[:SYMBOLS]).mean() - similarity) < 0.25
+
+
+def test_large_buckets_are_split_without_loss(spark, monkeypatch):
+    """Copies that differ from one text in other places each: linked with it, not with one another, and not with the smallest id."""
+    monkeypatch.setattr(minhash, "BLOCK", 5)
+    pick = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    changed = lambda k: " ".join(f"x{k}_{i}" if i in spots else w for spots in [set(pick.sample(range(150), pick.randint(5, 9)))] for i, w in enumerate(base))
+    df = documents(spark, [(k, changed(k)) for k in range(80)] + [(500, " ".join(base))])
+    have = [tuple(r.values()) for r in rows(near_duplicates(df, words=2))]
+    assert sorted(have) == sorted(plain(df, 2))
+
+
 def test_drop_keeps_one_of_each_group_and_the_columns(spark):
     df = documents(spark)
     kept = drop_near(df, words=2)
