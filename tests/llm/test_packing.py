@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -70,6 +71,9 @@ def test_sequences_hold_the_ids(spark):
 
 def test_words_one_by_one_give_the_ids_of_the_whole():
     texts = ["It's  we'll <|endoftext|>x  y<|startoftext|>", "á e\ń̈ ﬁ ǅ İ Σ ΑΣ", "x\x1cy\x85z w v", "漢字 かな 12 345 6.7 -- !?", "nospace" * 3000]
+    latin = "".join(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x180)]))
+    pick = random.Random(2)
+    texts += ["".join(pick.choices(latin + "aeinst'" * 20, k=pick.randint(1, 30))) for _ in range(300)] + [c for c in latin] + ["DON'T we'LL'D 'tis <|x|> x²½ªº µm"]
     encoder = WordEncoder(vocabulary())
     for _ in range(2):
         assert [np.frombuffer(encoder.ids(t), "<u4").tolist() + [2] for t in texts] == whole_ids(texts)
