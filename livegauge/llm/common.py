@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livegauge.storage import new_path, remove
@@ -29,9 +31,11 @@ class Scratch:
         remove(self.spark, self._paths.pop(id(kept)))
 
 
-def fold_ascii(column: Column) -> Column:
-    """A-Z in lower case; every other character stays, unlike ``lower``."""
-    return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def slices(batches: Iterator, rows: int = 512) -> Iterator:
+    """Arrow or pandas batches in parts of some rows, so that what a task holds of them at a time stays small."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.slice(start, rows) if hasattr(batch, "slice") else batch.iloc[start : start + rows]
 
 
 def components(scratch: Scratch, links: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from livegauge.llm.common import Scratch
+from livegauge.llm.common import Scratch, slices
 
 MIN_CHUNK, MEAN_BITS, MAX_CHUNK = 1024, 12, 32768
 RECIPE = "row long, text_sha256 string, chunks array<struct<mark:long,size:int,proof:binary>>"
@@ -59,7 +59,7 @@ def recipe(data: bytes) -> list[tuple[int, int, bytes]]:
 
 
 def _recipes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for row, text in zip(batch["row"], batch["text"], strict=True):
             data = (text or "").encode().lower()  # bytes.lower touches A-Z only

@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from livegauge.llm.common import slices
+
 DIMENSIONS = 1 << 12
 SAMPLE_PER_LANGUAGE = 800  # labelled rows that training reads, at most
 MAX_LANGUAGES = 200
@@ -92,7 +94,7 @@ def margins(texts: list[str], weights: np.ndarray, bias: np.ndarray) -> np.ndarr
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The trigram frequencies of each text, as sorted bins and their values."""
-    for batch in batches:
+    for batch in slices(batches):
         bins, values = [], []
         for text in batch["text"]:
             total = np.zeros(DIMENSIONS)
@@ -214,7 +216,7 @@ def predict_languages(documents: DataFrame, model: LanguageModel, id_col: str =
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             names, score = model.predict(list(batch["text"]))
             yield pd.DataFrame({"id": batch["id"], "lang_pred": names, "score": score})
 
@@ -245,7 +247,7 @@ def keep_known(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
         model = LanguageModel({"any": ["any"]}, [], np.zeros((0, DIMENSIONS)), np.zeros(0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             names, _ = model.predict(batch.column(place).to_pylist())
             yield batch.filter(pa.array([name != "und" for name in names], pa.bool_()))
 

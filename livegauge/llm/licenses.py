@@ -15,6 +15,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from livegauge.llm.common import slices
+
 # Spellings that licence texts use for the same word, as the licence-matching guidelines of SPDX list them.
 EQUIVALENT = {
     "licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing", "sub license": "sublicense",
@@ -80,7 +82,7 @@ def known_digests(spark: SparkSession, known: dict[str, list[str]] = KNOWN) -> D
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(line, unit, digest): unit -1 is the whole text, others are lines counted from 0. A line that recurs is digested once."""
-    for batch in batches:
+    for batch in slices(batches):
         lines, units, digests, seen = [], [], [], {}
         for line, text in zip(batch["line"], batch["text"], strict=True):
             if not text:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from livegauge.llm.common import Scratch, components
+from livegauge.llm.common import Scratch, components, slices
 
 CHUNKS, WIDTH, ERRORS = 12, 6, 1  # keys() leaves out one symbol; a chunk fills the low 48 bits of a long
 SYMBOLS = CHUNKS * WIDTH
@@ -80,7 +80,7 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
 
 def _signatures(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, words) for t in batch["text"]]
             sizes = np.array([len(s) for s in sets])
             full = np.flatnonzero(sizes)
@@ -105,7 +105,7 @@ def _sets(words: int):
     """(node, shingles, sketch) of the rows whose set is that of their node; a row with the id of a node but another text is not."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             nodes, sets = [], []
             for node, digest, text in zip(batch["node"], batch["digest"], batch["text"], strict=True):
                 found = shingle_set(text, words)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from livegauge.llm.common import Scratch
+from livegauge.llm.common import Scratch, slices
 
 CAPACITY = 4096
 SLACK = 0.02  # share of a sequence that a piece's class may leave empty before the piece is cut
@@ -120,7 +120,7 @@ def token_pieces(documents: DataFrame, words: str, capacity: int, id_col: str, t
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, numbers, worker = WordEncoder(words), Counter(), TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for row, text in zip(batch["id"], batch["text"], strict=True):
                 ids = encoder.ids(text) + END.to_bytes(4, "little")
@@ -209,7 +209,7 @@ def sequences(documents: DataFrame, packed: DataFrame, words: str | None = None,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = WordEncoder(content)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [np.frombuffer(encoder.ids(t) + END.to_bytes(4, "little"), "<i4") for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"], "ids": ids})
 

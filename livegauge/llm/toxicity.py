@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from livegauge.llm.common import slices
 from livegauge.llm.language import remainder
 
 TOXIC_SAMPLE, UNLABELLED_SAMPLE = 2_000, 6_000  # texts that training reads, at most
@@ -56,7 +57,7 @@ def features(text: str | None) -> np.ndarray:
 
 
 def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in slices(batches):
         yield pd.DataFrame(
             {"toxic": batch["toxic"], "features": [np.sort(features(t)).tobytes() for t in batch["text"]]}
         )
@@ -166,7 +167,7 @@ def score_toxicity(documents: DataFrame, model: ToxicityModel, id_col: str = "do
     kind = documents.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches):
             score = model.scores(list(batch["text"]))
             yield pd.DataFrame({"id": batch["id"], "score": score, "predicted": (score >= threshold).astype(np.int32)})
 
@@ -193,7 +194,7 @@ def keep_clean(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     place = documents.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array(model.scores(batch.column(place).to_pylist()) < threshold))
 
     return documents.mapInArrow(run, documents.schema)
