@@ -9,14 +9,22 @@ from pyspark.sql import types as T
 from livegauge.schemas import REPLY_BODY
 from livegauge.settings import PAGE_PATTERNS, PagePatterns
 
-# In one scan of a page: comments, scripts and styles, in which an href is no link, or a tag up to its href. The
-# group holds the attribute value with its quotes, and is empty for the former.
+# Markup in one scan of a page. Every alternative takes in all it has looked at, whether it is closed or not, and no
+# quantifier gives back what it took, so that no text is looked at again: the time is in proportion to the page.
+_VALUE = r"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|(?!["'])[^\s>]*+)"""
+_ATTRIBUTE = rf"""[^\s/>][^\s/=>]*+(?:\s*+=\s*+{_VALUE})?+"""
+_INSIDE = rf"(?:[\s/]*+{_ATTRIBUTE})*+[\s/]*+"
+# Comments, scripts and styles, in which an href is no link, run to their end or that of the page. Otherwise a start tag; the group
+# is the whole tag if it is closed, and empty in all other cases.
 MARKUP = (
-    r"""(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>"""
-    r"""|[a-z][^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))"""
+    rf"""(?is)<(?:!--(?:-?>|.*?(?:--!?>|\z))|(script|style)(?=[\s/>]){_INSIDE}(?:>.*?(?:</\1(?=[\s/>])|\z)|\z)"""
+    rf"""|(?=[a-z])([a-z][^\s/>]*+{_INSIDE}>)|[a-z][^\s/>]*+{_INSIDE})"""
 )
-# Character references of markup, the ampersand last so that nothing is decoded twice.
-ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+# The value, with its quotes, of the first href of a tag.
+HREF = rf"""(?is)^[a-z][^\s/>]*+(?:[\s/]*+(?!href(?:\s*+=|[\s/>])){_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+({_VALUE})"""
+# The character references that links hold; numeric ones are computed.
+ENTITIES = {"quot;": '"', "apos;": "'", "lt;": "<", "gt;": ">", "amp;": "&", "nbsp;": "\u00a0"}
+_NUMERIC = r"(?is)^#(?:x([0-9a-f]{1,6})|([0-9]{1,7}));"
 
 
 def ascii_strip(text: Column) -> Column:
@@ -30,19 +38,32 @@ def is_live(html: Column, marker: str = PAGE_PATTERNS.live_marker) -> Column:
     return F.contains(html, F.lit(marker)) | (wide & F.contains(ascii_strip(html), F.lit(marker)))
 
 
+def _reference(piece: Column) -> Column:
+    """Text that stood behind an ampersand, with the character reference it may begin with replaced."""
+    sixteen, ten = (F.regexp_extract(piece, _NUMERIC, group) for group in (1, 2))
+    code = F.when(sixteen != "", F.conv(sixteen, 16, 10)).otherwise(ten).cast("int")
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    numeric = F.when(valid, character).otherwise(F.lit("\ufffd"))
+    found = F.when(piece.rlike(_NUMERIC), F.concat(numeric, F.regexp_replace(piece, _NUMERIC, "")))
+    for reference, text in ENTITIES.items():
+        found = found.when(F.startswith(piece, F.lit(reference)), F.concat(F.lit(text), F.substring(piece, len(reference) + 1, 2**31 - 1)))
+    return found.otherwise(F.concat(F.lit("&"), piece))
+
+
 def _attribute_value(found: Column) -> Column:
     quoted = F.left(found, F.lit(1)).isin('"', "'")
     value = F.when(quoted, F.substring(found, F.lit(2), F.length(found) - F.lit(2))).otherwise(found)
-    decoded = value
-    for reference, character in ENTITIES:
-        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
-    return F.when(F.contains(value, F.lit("&")), decoded).otherwise(value)
+    # Every ampersand is looked at once, so that nothing is decoded twice.
+    pieces = F.transform(F.split(value, "&"), lambda piece, place: F.when(place == 0, piece).otherwise(_reference(piece)))
+    return F.when(F.contains(value, F.lit("&")), F.array_join(pieces, "")).otherwise(value)
 
 
 def links(html: Column) -> Column:
-    """All href values of the page's tags, in document order."""
-    found = F.regexp_extract_all(html, F.lit(MARKUP), F.lit(1))
-    return F.transform(F.filter(found, lambda value: value != ""), _attribute_value)
+    """The first href of each of the page's closed start tags, in document order."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(MARKUP), F.lit(2)), lambda tag: F.contains(F.lower(tag), F.lit("href")))
+    found = F.filter(tags, lambda tag: tag.rlike(HREF))
+    return F.transform(found, lambda tag: _attribute_value(F.regexp_extract(tag, HREF, 1)))
 
 
 def first_watch_link(hrefs: Column, watch_url: str = PAGE_PATTERNS.watch_url) -> Column:

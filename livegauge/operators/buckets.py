@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from livegauge.functions.clock import bucket_start, day_of
 from livegauge.operators.channels import with_platform
 
-# Rows of (bucket, previous bucket) or (bucket, rank) that may be broadcast: about 32 bytes each.
-MAX_BROADCAST_BUCKETS = 2_000_000
-
 
 def with_bucket(df: DataFrame, minutes: int = 10, ts: str = "datetime") -> DataFrame:
     return df.withColumn("bucket", bucket_start(F.col(ts), minutes))
@@ -37,44 +32,23 @@ def distinct_buckets(observations: DataFrame, minutes: int = 10) -> DataFrame:
     return with_bucket(observations.select("datetime"), minutes).select("bucket").distinct()
 
 
-def _join_buckets(
-    df: DataFrame, buckets: DataFrame, minutes: int, span: tuple[datetime, datetime] | None
-) -> DataFrame:
-    """Join a table keyed by bucket. It is broadcast where the time span proves it small."""
-    if span and (span[1] - span[0]) / timedelta(minutes=minutes) + 2 <= MAX_BROADCAST_BUCKETS:
-        buckets = F.broadcast(buckets)
-    return df.join(buckets, "bucket")
-
-
-def in_span(df: DataFrame, span: tuple[datetime, datetime] | None, ts: str = "datetime") -> DataFrame:
-    if not span:
-        return df
-    first, last = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in span)
-    return df.filter(F.col(ts).between(first, last))
-
-
-def rank_buckets(
-    observations: DataFrame, minutes: int = 10, span: tuple[datetime, datetime] | None = None
-) -> DataFrame:
+def rank_buckets(observations: DataFrame, minutes: int = 10) -> DataFrame:
     """Observations with the dense rank of their bucket, newest first.
 
-    Only the distinct buckets are ranked, at most one row per bucket width of time covered, never the rows.
-    ``span`` bounds the times looked at, both ends included.
+    Only the distinct buckets are ranked, at most one row per bucket width of time covered, never the rows. The join
+    carries no hint: adaptive execution broadcasts the bucket table once it has seen that it is small.
     """
-    observations = in_span(observations, span)
     newest_first = Window.orderBy(F.desc("bucket"))
     ranks = distinct_buckets(observations, minutes).withColumn(
         "bucket_rank", F.row_number().over(newest_first)
     )
-    return _join_buckets(with_bucket(observations, minutes), ranks, minutes, span)
+    return with_bucket(observations, minutes).join(ranks, "bucket")
 
 
-def with_previous_bucket(
-    cells: DataFrame, buckets: DataFrame, minutes: int, span: tuple[datetime, datetime] | None = None
-) -> DataFrame:
+def with_previous_bucket(cells: DataFrame, buckets: DataFrame) -> DataFrame:
     """Cells with the latest earlier bucket that holds any row."""
     previous = buckets.withColumn("previous", F.lag("bucket").over(Window.orderBy("bucket")))
-    return _join_buckets(cells, previous, minutes, span)
+    return cells.join(previous, "bucket")
 
 
 def newest_buckets(observations: DataFrame, minutes: int = 10, count: int = 2) -> DataFrame:

@@ -36,9 +36,9 @@ def twitch_channels(channels: DataFrame) -> DataFrame:
 
 
 def join_login(counts: DataFrame, twitch: DataFrame) -> DataFrame:
-    """Counts left join channels on login. NULL logins match each other; repeated logins multiply."""
+    """Counts left join channels on login; repeated logins multiply. A NULL login names no channel and finds none."""
     listed = twitch.withColumnRenamed("login", "_login")
-    return counts.join(listed, F.col("login").eqNullSafe(F.col("_login")), "left").drop("_login")
+    return counts.join(listed, F.col("login") == F.col("_login"), "left").drop("_login")
 
 
 def join_channel_history(observations: DataFrame, channels: DataFrame) -> DataFrame:

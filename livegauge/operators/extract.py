@@ -23,6 +23,13 @@ def live_pages(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> Data
     return pages.filter(is_live(F.col("html"), patterns.live_marker))
 
 
+def page_counts(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> DataFrame:
+    """Name, url and count of every live page; its markup is not searched."""
+    fields = F.struct(F.col("name"), F.col("url"), last_count_token(F.col("html"), patterns).alias("count_text"))
+    counted = live_pages(pages, patterns).select(F.inline(F.array(fields)))
+    return counted.withColumn("online", parse_count(F.col("count_text")))
+
+
 def page_fields(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> DataFrame:
     """Name, url, link and count of every live page; link or count is NULL where the page lacks it."""
     html = F.col("html")
@@ -73,7 +80,10 @@ def observations_from_pages(
 
 
 def reply_counts(replies: DataFrame) -> DataFrame:
-    return replies.select("login", reply_count(F.col("body")).alias("online"))
+    """Login and count of every reply. As for pages, the inline keeps filters on the count above it, so that a
+    reply is parsed once."""
+    counted = F.struct(F.col("login"), reply_count(F.col("body")).alias("online"))
+    return replies.select(F.inline(F.array(counted)))
 
 
 def positive(counts: DataFrame) -> DataFrame:

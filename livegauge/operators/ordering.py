@@ -18,17 +18,18 @@ def report_order(*ties: str) -> list[Column]:
     ]
 
 
-def with_position(df: DataFrame, order: list[Column]) -> DataFrame:
+def with_position(df: DataFrame, order: list[Column], path: str | None = None) -> DataFrame:
     """Rows with their 1-based ``position`` in ``order``.
 
     A range shuffle sorts the rows over all tasks. A position is the row's place within its range plus the
     sizes of the ranges before it. The sorted rows are written out first, since places taken from a shuffle that
-    may run again after a lost executor are not safe to add up.
+    may run again after a lost executor are not safe to add up. A caller that removes that table later names its ``path``.
     """
     placed = freeze(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_id", F.monotonically_increasing_id()),
+        path,
     )
     # monotonically_increasing_id: partition number above bit 33, place within the partition below.
     part = F.shiftright("_id", 33)

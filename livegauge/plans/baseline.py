@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +77,15 @@ def daily_moments(observations: DataFrame) -> DataFrame:
     return moments(observations, "name", day_of(F.col("datetime")).alias("day"))
 
 
+def kept_day(observations: DataFrame, day: date) -> DataFrame:
+    """The moments of one whole day as a table to keep, with a row of no name and no count that says the day is kept."""
+    mark = observations.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("name"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("n_online"),
+        F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("variance"), F.lit(day).alias("day"),
+    )
+    return daily_moments(observations.filter(day_of(F.col("datetime")) == F.lit(day))).unionByName(mark)
+
+
 def merge_moments(parts: DataFrame) -> DataFrame:
     """One row per name from the moments of disjoint parts of its history.
 
@@ -102,15 +113,18 @@ def baseline_from_daily(
 ) -> DataFrame:
     """:func:`baseline_stats` from kept daily moments.
 
-    Only the first and the last day, which the window cuts, are read from the observations.
+    Only the first and the last day, which the window cuts, and days that were not kept are read from the
+    observations. A kept day without rows is a day with a row of no name (:func:`kept_day`).
     """
     now = as_of_column(as_of)
     first, last = day_of(days_before(now, settings.window_days)), day_of(now)
     whole = daily.filter((F.col("day") > first) & (F.col("day") < last))
     day = day_of(F.col("datetime"))
-    cut = rolling_lookback(observations, as_of, settings.window_days).filter(
-        (day == first) | (day == last)
-    )
+    history = rolling_lookback(observations, as_of, settings.window_days)
+    # At most the days of the window.
+    kept = F.broadcast(whole.select(F.col("day").alias("_kept")).distinct())
+    cut = history.join(kept, day == F.col("_kept"), "left_anti")
+    whole = whole.filter(F.col("n") > 0)
     parts = whole.unionByName(daily_moments(cut)).drop("day")
     return stats_from_moments(merge_moments(parts), channels, settings)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from livegauge.functions.stats import diff_or_zero
 from livegauge.operators.buckets import (
     bucket_max,
     distinct_buckets,
-    in_span,
     newest_two_snapshots,
     with_previous_bucket,
 )
@@ -36,20 +33,15 @@ def snapshot_diff(observations: DataFrame, as_of: AsOf, settings: Settings = DEF
     return stamped.select(*DIFFS.names, "bucket")
 
 
-def diff_backfill(
-    observations: DataFrame,
-    settings: Settings = DEFAULTS,
-    span: tuple[datetime, datetime] | None = None,
-) -> DataFrame:
+def diff_backfill(observations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Differences of every bucket against the non-empty bucket before it, stamped with the bucket's end.
 
     The previous bucket is looked up on the distinct buckets; the self-join then runs on (link, bucket), which
     spreads a link with most of the rows over its buckets. Both sides read one shuffled aggregate.
     """
-    observations = in_span(observations, span)
     minutes = settings.bucket_minutes
     cells = bucket_max(observations, minutes)
-    current = with_previous_bucket(cells, distinct_buckets(observations, minutes), minutes, span)
+    current = with_previous_bucket(cells, distinct_buckets(observations, minutes))
     # NULL links find nothing, so they are told apart by side. With keys that are never NULL Spark infers no
     # filter for either side, and both read the same shuffled aggregate.
     earlier = cells.select(

@@ -30,8 +30,12 @@ DAILY = _table(
     ("name", _TEXT), ("n", _COUNT), ("n_online", _COUNT), ("mean", T.DoubleType()),
     ("variance", T.DoubleType()), ("day", T.DateType()),
 )
+LINES = _table(("datetime", _TIME), ("section", _TEXT), ("position", _COUNT), ("line", _TEXT))
 PAGES = _table(("name", _TEXT), ("url", _TEXT), ("html", _TEXT))
 REPLIES = _table(("login", _TEXT), ("body", _TEXT))
+# The same as a landing folder holds them: with the time at which each was fetched.
+LANDED_PAGES = T.StructType(PAGES.fields + [T.StructField("landed", _TIME, True)])
+LANDED_REPLIES = T.StructType(REPLIES.fields + [T.StructField("landed", _TIME, True)])
 
 # One API reply: {"data": [{"viewer_count": 7}]}
 REPLY_BODY = T.StructType(

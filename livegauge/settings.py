@@ -8,6 +8,7 @@ from dataclasses import dataclass
 @dataclass(frozen=True)
 class Settings:
     bucket_minutes: int = 10
+    trigger_seconds: int = 600  # of a stream that stays up: as often as the periodic tasks run
     lookback_days: int = 2  # calendar days before the day of as_of
     window_days: int = 15
     z: float = 1.96
@@ -19,6 +20,7 @@ class Settings:
     grade_high: int = 30
     fresh_minutes: int = 10
     dedupe_channels: bool = False
+    rates_by_value: bool = False  # a name's rates only on rows of the count they were computed for
 
 
 @dataclass(frozen=True)

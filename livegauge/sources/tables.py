@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -23,17 +24,19 @@ def read_batches(
     schema: T.StructType,
     first: date | None = None,
     last: date | None = None,
+    days: Iterable[date] | None = None,
 ) -> DataFrame:
     """A table written batch by batch (see ``sinks.tables``), with its date and batch partitions as columns.
 
-    With ``first`` and ``last`` only the folders of those dates are listed: a job that runs every ten minutes
-    must not list years of batches.
+    With ``first`` and ``last``, or with ``days``, only the folders of those dates are listed: a job that runs every ten
+    minutes must not list years of batches.
     """
     full = T.StructType(schema.fields + [T.StructField(n, t, True) for n, t in BATCH_COLUMNS])
     reader = spark.read.schema(full)
-    if first is None or last is None:
+    if days is None and (first is None or last is None):
         return reader.parquet(path)
-    days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    if days is None:
+        days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
     folders = f"{path}/obs_date={{{','.join(day.isoformat() for day in days)}}}"
     try:
         return reader.option("basePath", path).parquet(folders)

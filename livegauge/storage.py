@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
-
-    A temporary folder stands in only for a local master, where all tasks share one machine.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="livegauge-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -28,9 +22,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/livegauge/{name}-{uuid.uuid4().hex}"
 
 
-def freeze(df: DataFrame) -> DataFrame:
+def freeze(df: DataFrame, path: str | None = None) -> DataFrame:
     """``df`` as a table written to the shared folder: its rows and their order are then fixed, whatever
-    executors are lost, and later reads take only the columns they need."""
-    path = new_path(df.sparkSession, "frozen")
+    executors are lost, and later reads take only the columns they need. The caller may name the path, to remove it later."""
+    path = path or new_path(df.sparkSession, "frozen")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, of any store Spark knows, and the path as that takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if there is none."""
+    store, place = _store(spark, path)
+    store.delete(place, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a glob pattern, sorted."""
+    store, place = _store(spark, pattern)
+    return sorted(status.getPath().toString() for status in store.globStatus(place) or [])
+
+
+@contextmanager
+def temporary(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh path that is removed at the end, for a table that nothing reads later."""
+    path = new_path(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)

@@ -2,42 +2,27 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from livegauge.functions.clock import as_instant, day_of, from_instant
+from livegauge.operators.buckets import bucket_max
 from livegauge.operators.channels import with_platform
 from livegauge.plans.snapshot import snapshot_diff
 from livegauge.schemas import CELLS, DIFFS, OBSERVATIONS
 from livegauge.settings import DEFAULTS, Settings
 from livegauge.sinks.tables import append_batch
 from livegauge.sources.tables import read_batches
+from livegauge.storage import matching
 
 
 def _trigger(settings: Settings, drain: bool) -> dict:
-    """All that has landed, then stop; or one batch per bucket width."""
+    """All that has landed, then stop; or a batch at every cadence."""
     if drain:
         return {"availableNow": True}
-    return {"processingTime": f"{settings.bucket_minutes} minutes"}
-
-
-def cells_of_stream(observations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Bucket maxima of a stream.
-
-    State of a bucket is kept until it is older than the calendar look-back can reach; later rows are dropped.
-    """
-    width = f"{settings.bucket_minutes} minutes"
-    keep = f"{settings.lookback_days + 1} days"
-    return (
-        observations.withColumn("event_time", as_instant(F.col("datetime")))
-        .withWatermark("event_time", keep)
-        .groupBy("name", "link", F.window("event_time", width).alias("window"))
-        .agg(F.max("online").alias("online"))
-        .select("name", "link", from_instant(F.col("window.start")).alias("bucket"), "online")
-    )
+    return {"processingTime": f"{settings.trigger_seconds} seconds"}
 
 
 def start_bucket_max(
@@ -47,15 +32,17 @@ def start_bucket_max(
     settings: Settings = DEFAULTS,
     drain: bool = False,
 ) -> StreamingQuery:
-    """Write the cells each batch changed; :func:`read_cells` merges them."""
+    """Write the bucket maxima of each batch's rows; :func:`read_cells` merges them.
+
+    A maximum of maxima needs no state, so nothing has to be forgotten at a watermark: a row counts however late it is.
+    """
 
-    def write(cells: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        cells = bucket_max(batch, settings.bucket_minutes).drop("platform")
         append_batch(cells, cells_path, CELLS, batch_id, ts="bucket")
 
     return (
-        cells_of_stream(observations, settings)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
+        observations.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(settings, drain))
         .start()
@@ -82,20 +69,20 @@ def start_snapshot_diff(
 ) -> StreamingQuery:
     """Append each batch to the stored observations, then difference the newest snapshot.
 
-    Late rows join later look-backs but never change differences already written. The stamp is the newest
-    observation time stored, found among the dates from the batch's own newest time on.
+    Late rows join later look-backs but never change differences already written. The stamp is the newest observation time
+    stored; it lies in the newest date folder, so only that and the look-back's dates are listed.
     """
     spark = observations.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
         append_batch(batch, observations_path, OBSERVATIONS, batch_id)
-        stored = read_batches(spark, observations_path, OBSERVATIONS)
-        newest = stored.filter(F.col("batch_id") == batch_id).agg(F.max("datetime")).scalar()
-        since = stored.filter((F.col("obs_date") >= day_of(newest)) & (F.col("datetime") >= newest))
-        # One time to the driver, so that the difference lists and plans over the look-back's dates alone.
-        as_of = since.agg(F.max("datetime")).first()[0]
-        if as_of is None:
+        folders = matching(spark, f"{observations_path}/obs_date=[0-9]*")  # names of dates, not what is in them
+        if not folders or batch.isEmpty():
             return
+        newest = date.fromisoformat(folders[-1].rpartition("=")[2])
+        stored = read_batches(spark, observations_path, OBSERVATIONS, newest, newest)
+        # One time to the driver, so that the difference lists and plans over the look-back's dates alone.
+        as_of = stored.agg(F.max("datetime")).first()[0]
         dates = (as_of - timedelta(days=settings.lookback_days)).date(), as_of.date()
         recent = read_batches(spark, observations_path, OBSERVATIONS, *dates)
         append_batch(snapshot_diff(recent, as_of, settings), diffs_path, DIFFS, batch_id)

@@ -3,10 +3,15 @@
     spark-submit livegauge/tasks.py youtube --root ROOT --landed PAGES   --as-of '2024-01-31 00:00:00'
     spark-submit livegauge/tasks.py twitch  --root ROOT --landed REPLIES --as-of ...
     spark-submit livegauge/tasks.py diff    --root ROOT --as-of ...
-    spark-submit livegauge/tasks.py daily   --root ROOT --as-of ...      (once a day, for the day before)
     spark-submit livegauge/tasks.py report  --root ROOT --as-of ...
+    spark-submit livegauge/tasks.py latest  --root ROOT --as-of ...      (prints the id of the message to replace)
+    spark-submit livegauge/tasks.py sent    --root ROOT --as-of ... --message-id ID
+    spark-submit livegauge/tasks.py daily   --root ROOT --as-of ...      (once a day, for the day before)
+    spark-submit livegauge/tasks.py compact --root ROOT --as-of ...      (once a day, for the day before the look-back)
 
-Each task reads its tables, appends one batch and may be repeated: the same ``as_of`` replaces the same batch.
+PAGES and REPLIES are landing tables with the time each payload was fetched; a run takes the payloads of its own interval, the
+ten minutes up to ``as_of``. Each task reads its tables, appends one batch and may be repeated: the same ``as_of`` replaces the
+same batch. A day is compacted once its batches are not repeated any more.
 """
 
 from __future__ import annotations
@@ -28,16 +33,18 @@ from livegauge.plans.baseline import (
     baseline_from_daily,
     baseline_stats,
     baseline_verdict,
-    daily_moments,
+    kept_day,
 )
 from livegauge.plans.ingest import observations_from_json, youtube_observations
-from livegauge.plans.report import graded_report, report_message
+from livegauge.operators.extract import stamp_batch
+from livegauge.plans.report import graded_report, latest_report, message_of_lines, report_lines
 from livegauge.plans.snapshot import snapshot_diff
 from livegauge.session import session
 from livegauge.settings import DEFAULTS, Settings
-from livegauge.sinks.tables import append_batch, log_report
-from livegauge.sources.payloads import read_pages, read_replies
+from livegauge.sinks.tables import append_batch, compact, log_report, log_sent
+from livegauge.sources.payloads import landed_pages, landed_replies
 from livegauge.sources.tables import read_batches, read_table
+from livegauge.storage import matching, temporary
 
 _OBSERVATION_TASKS = ("youtube", "twitch")
 
@@ -60,8 +67,15 @@ class Tables:
     def diffs(self, spark: SparkSession, *dates: date) -> DataFrame:
         return read_batches(spark, self.path("diffs"), schemas.DIFFS, *dates)
 
-    def daily(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path("daily"), schemas.DAILY)
+    def daily(self, spark: SparkSession, days: list[str]) -> DataFrame:
+        """The kept moments of the given days; only their folders are listed."""
+        if not days:
+            return spark.createDataFrame([], schemas.DAILY)
+        reader = spark.read.schema(schemas.DAILY).option("basePath", self.path("daily"))
+        return reader.parquet(*[f"{self.path('daily')}/day={day}" for day in days])
+
+    def lines(self, spark: SparkSession, *dates: date) -> DataFrame:
+        return read_batches(spark, self.path("lines"), schemas.LINES, *dates)
 
     def reports(self, spark: SparkSession, *dates: date) -> DataFrame:
         return read_batches(spark, self.path("reports"), schemas.REPORTS, *dates)
@@ -77,13 +91,15 @@ def batch_number(as_of: datetime, source: int = 0) -> int:
     return int(as_of.replace(tzinfo=timezone.utc).timestamp()) * 10 + source
 
 
-def ingest(spark: SparkSession, tables: Tables, platform: str, landed: str, as_of: datetime) -> None:
-    """Append the observations of one platform's landed payloads."""
-    channels = tables.channels(spark)
+def ingest(
+    spark: SparkSession, tables: Tables, platform: str, landed: str, as_of: datetime, settings: Settings = DEFAULTS
+) -> None:
+    """Append the observations of the payloads of one platform that landed in the run's own interval."""
+    channels, minutes = tables.channels(spark), settings.bucket_minutes
     if platform == "youtube":
-        rows = youtube_observations(channels, read_pages(spark, landed), as_of)
+        rows = youtube_observations(channels, landed_pages(spark, landed, as_of, minutes), as_of)
     else:
-        rows = observations_from_json(read_replies(spark, landed), channels, as_of)
+        rows = observations_from_json(landed_replies(spark, landed, as_of, minutes), channels, as_of)
     number = batch_number(as_of, _OBSERVATION_TASKS.index(platform))
     append_batch(rows, tables.path("observations"), schemas.OBSERVATIONS, number)
 
@@ -99,46 +115,75 @@ def daily(spark: SparkSession, tables: Tables, as_of: datetime) -> None:
     """Keep the moments of the day before ``as_of``; repeat it for a day that got late rows."""
     day, _ = days_back(as_of, 1)
     path = f"{tables.path('daily')}/day={day.isoformat()}"
-    daily_moments(tables.observations(spark, day, day)).drop("day").write.mode("overwrite").parquet(path)
+    kept_day(tables.observations(spark, day, day), day).drop("day").write.mode("overwrite").parquet(path)
+
+
+def _stats(spark: SparkSession, tables: Tables, as_of: datetime, settings: Settings, use_daily: bool) -> DataFrame:
+    channels = tables.channels(spark)
+    first, last = days_back(as_of, settings.window_days)
+    if not use_daily:
+        return baseline_stats(tables.observations(spark, first, last), channels, as_of, settings)
+    window = [first + timedelta(days=n) for n in range((last - first).days + 1)]
+    kept = {folder.rpartition("day=")[2] for folder in matching(spark, f"{tables.path('daily')}/day=*")}
+    # The two days the window cuts, and those that no daily run has kept.
+    listed = [day for day in window if day in (first, last) or day.isoformat() not in kept]
+    whole = sorted(kept & {day.isoformat() for day in window} - {day.isoformat() for day in listed})
+    observations = read_batches(spark, tables.path("observations"), schemas.OBSERVATIONS, days=listed)
+    daily = tables.daily(spark, whole)
+    return baseline_from_daily(daily, observations, channels, as_of, settings)
 
 
 def report(
     spark: SparkSession,
     tables: Tables,
     as_of: datetime,
-    chat_message_id: str = "",
     settings: Settings = DEFAULTS,
     use_daily: bool = False,
 ) -> DataFrame:
-    """Log the report of the newest batch and return its one row."""
-    first, today = days_back(as_of, settings.lookback_days)
-    diffs = tables.diffs(spark, first, today + timedelta(days=1))  # a stamp ahead of as_of counts as fresh
-    observations = tables.observations(spark, *days_back(as_of, settings.window_days))
-    channels = tables.channels(spark)
-    if use_daily:
-        stats = baseline_from_daily(tables.daily(spark), observations, channels, as_of, settings)
-    else:
-        stats = baseline_stats(observations, channels, as_of, settings)
-    verdict = baseline_verdict(diffs, stats, as_of, settings)
-    graded = graded_report(diffs, verdict, as_of, settings)
-    number = batch_number(as_of)
-    message = report_message(graded, diffs, as_of, settings)
-    log_report(message, tables.path("reports"), chat_message_id, as_of, number)
-    logged = tables.reports(spark, today, today)
+    """Store the lines of the newest batch's report, log its text, and return the logged row."""
+    diffs = tables.diffs(spark, *days_back(as_of, settings.lookback_days))
+    verdict = baseline_verdict(diffs, _stats(spark, tables, as_of, settings, use_daily), as_of, settings)
+    graded, number = graded_report(diffs, verdict, as_of, settings), batch_number(as_of)
+    with temporary(spark, "positions") as aside:
+        lines = stamp_batch(report_lines(graded, aside), as_of)
+        append_batch(lines, tables.path("lines"), schemas.LINES, number)
+    stored = tables.lines(spark, as_of.date(), as_of.date()).filter(F.col("batch_id") == number)
+    log_report(message_of_lines(stored, diffs, as_of, settings), tables.path("reports"), as_of, number)
+    logged = tables.reports(spark, as_of.date(), as_of.date())
     return logged.filter(F.col("batch_id") == number).select(*schemas.REPORTS.names)
 
 
+def sent(spark: SparkSession, tables: Tables, as_of: datetime, chat_message_id: str) -> None:
+    """Add the id that the chat gave the report of ``as_of``, which is stored already."""
+    log_sent(spark, tables.path("reports"), chat_message_id, as_of, batch_number(as_of))
+
+
+def latest(spark: SparkSession, tables: Tables, as_of: datetime, settings: Settings = DEFAULTS) -> str | None:
+    """The id of the newest report sent within the look-back: the message that the next one replaces."""
+    rows = latest_report(tables.reports(spark, *days_back(as_of, settings.lookback_days))).take(1)
+    return rows[0]["chat_message_id"] if rows else None
+
+
+def compact_day(spark: SparkSession, tables: Tables, as_of: datetime, settings: Settings = DEFAULTS) -> None:
+    """Merge the batches of the day before the look-back, two files a day and platform becoming few."""
+    day, _ = days_back(as_of, settings.lookback_days + 1)
+    for name, schema in (("observations", schemas.OBSERVATIONS), ("diffs", schemas.DIFFS), ("lines", schemas.LINES), ("reports", schemas.REPORTS)):
+        compact(spark, tables.path(name), schema, day)
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one task of the live-audience job.")
-    parser.add_argument("task", choices=[*_OBSERVATION_TASKS, "diff", "daily", "report"])
+    parser.add_argument("task", choices=[*_OBSERVATION_TASKS, "diff", "report", "latest", "sent", "daily", "compact"])
     parser.add_argument("--root", required=True, help="folder of the stored tables")
     parser.add_argument("--as-of", required=True, type=datetime.fromisoformat, help="run time in UTC")
     parser.add_argument("--landed", help="landed pages or replies (youtube, twitch)")
-    parser.add_argument("--message-id", default="", help="id the chat gave the report (report)")
+    parser.add_argument("--message-id", help="id the chat gave the report (sent)")
     parser.add_argument("--use-daily", action="store_true", help="take whole days from kept moments (report)")
     chosen = parser.parse_args(arguments)
     if chosen.task in _OBSERVATION_TASKS and not chosen.landed:
         parser.error(f"{chosen.task} needs --landed")
+    if chosen.task == "sent" and not chosen.message_id:
+        parser.error("sent needs --message-id")
 
     spark, tables = session(f"livegauge-{chosen.task}"), Tables(chosen.root)
     if chosen.task in _OBSERVATION_TASKS:
@@ -147,8 +192,14 @@ def main(arguments: list[str] | None = None) -> None:
         diff(spark, tables, chosen.as_of)
     elif chosen.task == "daily":
         daily(spark, tables, chosen.as_of)
+    elif chosen.task == "compact":
+        compact_day(spark, tables, chosen.as_of)
+    elif chosen.task == "sent":
+        sent(spark, tables, chosen.as_of, chosen.message_id)
+    elif chosen.task == "latest":
+        print(latest(spark, tables, chosen.as_of) or "")
     else:
-        rows = report(spark, tables, chosen.as_of, chosen.message_id, use_daily=chosen.use_daily)
+        rows = report(spark, tables, chosen.as_of, use_daily=chosen.use_daily)
         print("\n".join(row.message for row in rows.take(1)))
 
 

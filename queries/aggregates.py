@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from livegauge.operators import buckets
 from livegauge.operators.ordering import join_lines
 from livegauge.plans import baseline, report
+from livegauge.schemas import DAILY
+from livegauge.sources.tables import read_table
+from livegauge.storage import new_path
 from queries import inputs
 from queries.inputs import AS_OF, rounded, sql
 from queries.registry import query
@@ -69,7 +72,9 @@ def message_lines(spark, sf_dir):
                      six(margin_of_error) AS margin_of_error FROM stats""", "stats"))
 def baseline_from_daily(spark, sf_dir):
     observations, channels = inputs.observations(spark, sf_dir), inputs.channels(spark, sf_dir)
-    daily = baseline.daily_moments(observations)
+    path = new_path(spark, "daily")
+    baseline.daily_moments(observations).write.partitionBy("day").parquet(path)
+    daily = read_table(spark, path, DAILY)
     stats = baseline.baseline_from_daily(daily, observations, channels, AS_OF)
     columns = ["name", "platform", "n", "avg_online", "margin_of_error"]
     return rounded(stats.select(*columns), "avg_online", "margin_of_error")

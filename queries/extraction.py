@@ -48,13 +48,13 @@ def canonical_link(spark, sf_dir):
 
 @query(sql("SELECT name, count_text FROM page_fields", "page_fields"))
 def last_token_value(spark, sf_dir):
-    return extract.page_fields(inputs.live_pages(spark, sf_dir)).select("name", "count_text")
+    return extract.page_counts(inputs.live_pages(spark, sf_dir)).select("name", "count_text")
 
 
 @query(sql("SELECT name, count_text, TRY_CAST(count_text AS BIGINT) AS online FROM page_fields",
            "page_fields"))
 def parse_count(spark, sf_dir):
-    return extract.page_fields(inputs.live_pages(spark, sf_dir)).select("name", "count_text", "online")
+    return extract.page_counts(inputs.live_pages(spark, sf_dir)).select("name", "count_text", "online")
 
 
 @query(sql("SELECT name, url, link, count_text FROM page_counts WHERE online IS NULL OR link IS NULL",
@@ -85,7 +85,7 @@ TWITCH_SQL = """
     SELECT c.name, r.online, c.link, TIMESTAMP '2024-01-31' AS datetime
     FROM (SELECT * FROM counts WHERE online > 0) r
     LEFT JOIN (SELECT * FROM channels WHERE platform = 'twitch') c
-      ON r.login IS NOT DISTINCT FROM c.big_stream"""
+      ON r.login = c.big_stream"""
 
 
 @query(sql(YOUTUBE_SQL, "channels", "page_counts"))

@@ -22,7 +22,6 @@ from livegauge.sources.tables import read_batches
 from livegauge.storage import new_path
 
 AS_OF = datetime(2024, 1, 31)
-SPAN = (datetime(2024, 1, 1), AS_OF)  # the times that the given events cover
 DAILY = Settings(bucket_minutes=1440)  # at the small scales a ten-minute bucket holds two or three events
 
 
@@ -113,7 +112,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return diff_backfill(observations(spark, sf_dir), DAILY, SPAN)
+    return diff_backfill(observations(spark, sf_dir), DAILY)
 
 
 def diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,8 +242,8 @@ _TABLES = {
         WHERE r <= 2""",
     "landings": """
         SELECT landing, max(datetime) AS as_of
-        FROM observations JOIN (VALUES (10), (20), (100)) v(landing)
-          ON datetime < TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * landing
+        FROM observations JOIN (VALUES (1, TIMESTAMP '2024-01-11'), (2, TIMESTAMP '2024-01-21'), (3, NULL)) v(landing, before)
+          ON before IS NULL OR datetime < before
         GROUP BY landing""",
     "landed_cells": """
         SELECT *, dense_rank() OVER (PARTITION BY landing ORDER BY bucket DESC) AS r FROM (
@@ -313,7 +312,7 @@ _TABLES = {
     "message": """
         SELECT TIMESTAMP '2024-01-31' AS datetime,
                CASE WHEN (SELECT coalesce(max(datetime) > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE, false)
-                          FROM diffs)
+                          FROM diffs WHERE datetime <= TIMESTAMP '2024-01-31')
                     THEN '⭐️ Online Streams: ⭐️' || chr(10) || chr(10)
                       || coalesce(string_agg(line, chr(10) ORDER BY position)
                                   FILTER (section = 'youtube'), '')

@@ -15,7 +15,7 @@ from queries.registry import query
 
 @query(sql("""SELECT r.login, r.online, c.name, c.link
               FROM counts r LEFT JOIN (SELECT * FROM channels WHERE platform = 'twitch') c
-                ON r.login IS NOT DISTINCT FROM c.big_stream""", "counts", "channels"))
+                ON r.login = c.big_stream""", "counts", "channels"))
 def join_login(spark, sf_dir):
     counts = extract.reply_counts(inputs.replies(spark, sf_dir))
     return dimension.join_login(counts, dimension.twitch_channels(inputs.channels(spark, sf_dir)))

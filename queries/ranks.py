@@ -9,14 +9,14 @@ from livegauge.plans import report
 from livegauge.schemas import DIFFS
 from queries import inputs
 from queries.aggregates import TEN_MINUTES
-from queries.inputs import AS_OF, DAILY, SPAN, sql
+from queries.inputs import AS_OF, DAILY, sql
 from queries.registry import query
 
 
 @query(sql(f"""SELECT *, dense_rank() OVER (ORDER BY bucket DESC) AS bucket_rank
                FROM (SELECT *, {TEN_MINUTES} AS bucket FROM observations)""", "observations"))
 def rank_buckets(spark, sf_dir):
-    ranked = buckets.rank_buckets(inputs.observations(spark, sf_dir), span=SPAN)
+    ranked = buckets.rank_buckets(inputs.observations(spark, sf_dir))
     return ranked.withColumn("bucket_rank", F.col("bucket_rank").cast("bigint"))
 
 
@@ -47,8 +47,12 @@ def order_report(spark, sf_dir):
     return with_position(inputs.diffs(spark, sf_dir), report_order("online_diff", "datetime"))
 
 
-@query(sql("""SELECT *, row_number() OVER (ORDER BY online DESC NULLS LAST, name, link, datetime) AS position
-              FROM observations""", "observations"))
+@query(sql("""SELECT *, row_number() OVER (ORDER BY online DESC NULLS LAST, name, link) AS position
+              FROM (SELECT DISTINCT name, online, link, bucket AS datetime FROM newest_cells WHERE snapshot = 1)""",
+           "newest_cells"))
 def order_online(spark, sf_dir):
-    order = [F.desc("online"), F.asc("name"), F.asc("link"), F.asc("datetime")]
-    return with_position(inputs.observations(spark, sf_dir), order)
+    """The rows of one batch, as a run orders them."""
+    recent = calendar_lookback(inputs.observations(spark, sf_dir), AS_OF)
+    batch = buckets.newest_two_snapshots(recent, DAILY.bucket_minutes).filter("snapshot = 1")
+    batch = batch.select("name", "online", "link", F.col("bucket").alias("datetime"))
+    return with_position(batch, [F.desc("online"), F.asc("name"), F.asc("link")])

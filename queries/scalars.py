@@ -70,7 +70,7 @@ def age_minutes(spark, sf_dir):
 
 
 @query(sql("""SELECT CASE WHEN max(datetime) > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE THEN 1 ELSE 0 END
-                     AS flag FROM observations""", "observations"))
+                     AS flag FROM observations WHERE datetime <= TIMESTAMP '2024-01-31'""", "observations"))
 def freshness_flag(spark, sf_dir):
     return report.freshness_flag(inputs.observations(spark, sf_dir), AS_OF)
 

@@ -9,9 +9,9 @@ from queries.inputs import sql
 from queries.registry import query
 
 
-@query(sql("SELECT name, online, link, datetime FROM observations WHERE online > 100", "observations"))
+@query(sql("SELECT name, online, link, datetime FROM observations ", "observations"))
 def scan_observations(spark, sf_dir):
-    text = "SELECT name, online, link, datetime FROM {observations} WHERE online > 100"
+    text = "SELECT name, online, link, datetime FROM {observations}"
     return read_query(spark, text, observations=inputs.observations(spark, sf_dir))
 
 

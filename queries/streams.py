@@ -1,7 +1,5 @@
 """Streaming jobs over the given events, drained and read back."""
 
-from datetime import timedelta
-
 from pyspark.sql import functions as F
 
 from livegauge.functions.clock import as_of_column
@@ -12,31 +10,28 @@ from livegauge.streaming.jobs import read_cells, start_bucket_max, start_snapsho
 from livegauge.streaming.sources import observation_stream, stream_session
 from queries import inputs
 from queries.aggregates import PLATFORM, TEN_MINUTES
-from queries.inputs import DAILY, SPAN, sql
+from queries.inputs import DAILY, sql
 from queries.registry import query
 
-# Ends of the three landings, in days of the span; the last takes all that is left.
-LANDINGS = (10, 20, None)
+# Times before which the rows of each landing lie that did not land earlier; the last takes all that is left.
+LANDINGS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", None)
 
 
 def _land_and_drain(spark, sf_dir, start):
     """Land the observations in three steps of time; after each, restart the query until it has read all."""
     landing, checkpoint = new_path(spark, "landing"), new_path(spark, "stream")
     streams = stream_session(spark)
-    first = 0
+    ts, first = F.col("datetime"), None
     for last in LANDINGS:
-        ts = F.col("datetime")
-        rows = inputs.observations(spark, sf_dir).filter(ts >= _day(first))
+        rows = inputs.observations(spark, sf_dir)
+        if first is not None:
+            rows = rows.filter(ts >= as_of_column(first))
         if last is not None:
-            rows, first = rows.filter(ts < _day(last)), last
+            rows, first = rows.filter(ts < as_of_column(last)), last
         rows.write.mode("append").parquet(landing)
         start(observation_stream(streams, landing), checkpoint).awaitTermination()
 
 
-def _day(number):
-    return as_of_column(SPAN[0] + timedelta(days=number))
-
-
 @query(sql(f"""SELECT name, link, {PLATFORM} AS platform, {TEN_MINUTES} AS bucket, max(online) AS online
                FROM observations GROUP BY ALL""", "observations"))
 def stream_bucket_max(spark, sf_dir):

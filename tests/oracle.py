@@ -14,6 +14,7 @@ TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

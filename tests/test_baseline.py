@@ -16,6 +16,7 @@ from livegauge.plans.baseline import (
     baseline_verdict,
     ci_position,
     daily_moments,
+    kept_day,
 )
 from livegauge.settings import Settings
 from tests.conftest import at, tuples
@@ -123,6 +124,11 @@ def brute_force(rows, channels, as_of):
     return result
 
 
+def cut(when, as_of):
+    """On one of the two days that the window holds a part of: all that is read where every other day is kept."""
+    return when.date() in ((as_of - timedelta(days=15)).date(), as_of.date())
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("as_of", [AS_OF, datetime(2024, 1, 30, 17, 3, 2)])
 def test_statistics_equal_brute_force(make, seed, as_of):
@@ -131,7 +137,14 @@ def test_statistics_equal_brute_force(make, seed, as_of):
     expected = brute_force(rows, CHANNELS, as_of)
     direct = baseline_stats(observations, channels, as_of)
     kept = baseline_from_daily(daily_moments(observations), observations, channels, as_of)
-    for result in (direct, kept):
+    holed = daily_moments(observations).filter(F.dayofmonth("day") % 3 != 1)  # days that no run has kept
+    holed = baseline_from_daily(holed, observations, channels, as_of)
+    marked = None
+    for number in range(40):
+        day = kept_day(observations, (as_of - timedelta(days=number)).date())
+        marked = day if marked is None else marked.unionByName(day)
+    marked = baseline_from_daily(marked, make("OBSERVATIONS", [r for r in rows if cut(r[3], as_of)]), channels, as_of)
+    for result in (direct, kept, holed, marked):
         found = {
             (r.name, r.platform): (r.n, r.avg_online, r.margin_of_error) for r in result.collect()
         }
@@ -158,13 +171,13 @@ def test_channel_selections(make):
     ]
 
 
-def test_repeated_logins_multiply_and_null_logins_match(spark, make):
+def test_repeated_logins_multiply_and_null_logins_find_nothing(spark, make):
     extra = [("n", "twitch", "https://www.twitch.tv/n", None, "yes")]
     twitch = twitch_channels(make("CHANNELS", CHANNELS + extra))
     counts = spark.createDataFrame([("b", 5), ("b", 5), (None, 4), ("x", 1)], "login string, online bigint")
     joined = join_login(counts, twitch)
     assert sorted(tuples(joined, "login", "online", "name"), key=str) == sorted(
-        [("b", 5, "b")] * 4 + [(None, 4, "n"), ("x", 1, None)], key=str
+        [("b", 5, "b")] * 4 + [(None, 4, None), ("x", 1, None)], key=str
     )
 
 

@@ -1,5 +1,7 @@
 """Extraction from pages and replies."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,7 +61,16 @@ def test_unreadable_live_pages_are_set_aside_alone(make, html):
         ('<p>href="/no"</p><a data-href="/no">', []),
         ("", []),
         ('<a href="">', [""]),
-        ('<!-- open <a href="/in">', ["/in"]),
+        ('<a href="/x"><!-- open <a href="/in">', ["/x"]),  # an open comment or script runs to the end
+        ('<a href="/x"><script>"<a href=\'/in\'>', ["/x"]),
+        ('<STYLE x>a{}<a href="/in"></styles></style ><a href="/y">', ["/y"]),
+        ('<a title="a>b" href="/x"><a class="x"href="/z">', ["/x", "/z"]),
+        ('<a href="/x" href="/no"><a data-href="/no" HREF = /y><a href><a href= "/v">', ["/x", "/y", "/v"]),
+        ('<a href="/a&#38;lt;b&#x26;c&#233;&#x1F600;&#0;&unknown;&amp;lt;&&nbsp;">', ["/a&lt;b&cé😀\ufffd&unknown;&lt;&\u00a0"]),
+        ('<a href="/open" <a href=/in>', ["/open"]),
+        ('<a href="/never closed', []),
+        ("<a title='it' href=it's><p x='>' y=\"'\"><a/href=/s>", ["it's", "/s"]),
+        ('<!--> <a href="/c"> <!---> <a href="/d"> <!-- --!> <a href="/e">', ["/c", "/d", "/e"]),
         ("<script>" + "x < y; " * 200_000 + '</script><a href="/after">' + "é" * 500_000, ["/after"]),
         ("<p " * 20_000 + '><a title="' + "t" * 100_000 + '" href="/far">', ["/far"]),
     ],
@@ -68,6 +79,15 @@ def test_links(spark, html, links):
     assert value(spark, payload.links(F.lit(html))) == links
 
 
+@pytest.mark.parametrize("text", ["<a ", "<!--", "<script>", '<a href="', "<a x='", "<a href=/x ", "&#", "<style ", "< "])
+def test_markup_that_never_closes_takes_time_in_proportion(spark, text):
+    """A megabyte of it takes seconds; a scan that starts over at each would take hours."""
+    page = spark.range(1).select(F.repeat(F.lit(text), 1_000_000 // len(text)).alias("html"))
+    start = time.perf_counter()
+    assert page.select(F.size(payload.links(F.col("html")))).first()[0] == 0
+    assert time.perf_counter() - start < 20
+
+
 @pytest.mark.parametrize(
     ("href", "chosen"),
     [

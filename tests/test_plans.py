@@ -64,6 +64,18 @@ def test_no_python_no_cross_join_and_only_aggregates_in_one_task(spark, name):
             assert re.search(r"Aggregate|TakeOrdered|Limit", lines[place + 1]), lines[place : place + 3]
 
 
+@pytest.mark.parametrize("name", ["filter_positive", "observations_from_json", "union_platforms"])
+def test_replies_are_parsed_once(spark, name):
+    text = plan(QUERIES[name](spark, SMALL), "simple")
+    assert len(re.findall(r"from_json\(|JsonToStructs", text)) == 1
+
+
+@pytest.mark.parametrize("name", ["last_token_value", "parse_count"])
+def test_counts_do_not_search_the_markup(spark, name):
+    text = plan(QUERIES[name](spark, SMALL), "simple")
+    assert "regexp_extract_all" not in text
+
+
 def test_lookbacks_prune_dates_and_push_times(stored):
     observations, _ = stored
     for df in (calendar_lookback(observations, AS_OF), rolling_lookback(observations, AS_OF)):
@@ -100,7 +112,7 @@ def test_statistics_shuffle_names_not_history(stored, spark):
 
 
 def test_backfill_reuses_its_aggregate_and_ranks_only_buckets(spark):
-    df = diff_backfill(inputs.observations(spark, SMALL), inputs.DAILY, inputs.SPAN)
+    df = diff_backfill(inputs.observations(spark, SMALL), inputs.DAILY)
     df.collect()
     final = plan(df, "simple").split("== Initial Plan ==")[0]
     assert final.count("ReusedExchange") == 1

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from livegauge.operators import ordering, rates
 from livegauge.plans import report
 from livegauge.schemas import DIFFS, REPORTS
-from livegauge.sinks.tables import append_batch, log_report
+from livegauge.settings import Settings
+from livegauge.sinks.tables import append_batch, compact, log_report, log_sent
 from livegauge.sources.tables import read_batches
+from livegauge.storage import matching, temporary
 from tests.conftest import at, tuples
 
 AS_OF = datetime(2024, 1, 31)
@@ -106,7 +108,7 @@ def test_empty_report_keeps_both_blocks(make, verdict):
     [
         (timedelta(minutes=9, seconds=59), 1),
         (timedelta(minutes=10), 0),
-        (timedelta(minutes=-5), 1),
+        (timedelta(minutes=-5), 0),  # after the run: not seen by it, as in the look-back
         (None, 0),
     ],
 )
@@ -186,10 +188,57 @@ def test_report_log(spark, make, verdict, tmp_path):
     diffs = make("DIFFS", [diff_row("a", 1)])
     message = report.report_message(report.graded_report(diffs, verdict(), AS_OF), diffs, AS_OF)
     path = str(tmp_path / "reports")
-    log_report(message, path, "(-1, 9)", AS_OF, batch_id=1)
-    log_report(message, path, "(-1, 10)", AS_OF + timedelta(minutes=10), batch_id=2)
+    later = AS_OF + timedelta(minutes=10)
+    log_report(message, path, AS_OF, batch_id=1)
+    log_report(message, path, later, batch_id=2)
+    assert report.latest_report(read_batches(spark, path, REPORTS)).count() == 0  # nothing is sent yet
+    log_sent(spark, path, "(-1, 9)", AS_OF, batch_id=1)
+    assert tuples(report.latest_report(read_batches(spark, path, REPORTS)), "chat_message_id") == [("(-1, 9)",)]
+    for _ in range(2):
+        log_sent(spark, path, "(-1, 10)", later, batch_id=2)
     stored = read_batches(spark, path, REPORTS)
     assert tuples(report.latest_report(stored), "chat_message_id") == [("(-1, 10)",)]
+    assert stored.count() == 2 and stored.select("message").distinct().count() == 1
+
+
+def test_a_batch_replaces_all_of_itself(spark, make, tmp_path):
+    """A retry with fewer dates, and one without rows, read back as just the new result; other batches stay."""
+    path = str(tmp_path / "diffs")
+    rows = [diff_row(f"n{i}", i, when=AS_OF - timedelta(days=i)) for i in range(4)]
+    append_batch(make("DIFFS", [diff_row("other", 9)]), path, DIFFS, batch_id=2)
+    for size in (4, 2, 1, 0, 3):
+        append_batch(make("DIFFS", rows[:size]), path, DIFFS, batch_id=1)
+        stored = read_batches(spark, path, DIFFS)
+        assert sorted(r.name for r in stored.collect()) == sorted(["other"] + [r[0] for r in rows[:size]])
+
+
+def test_compaction_keeps_the_rows_in_few_files(spark, make, tmp_path):
+    path = str(tmp_path / "diffs")
+    for number in range(6):
+        append_batch(make("DIFFS", [diff_row(f"n{number}", number), diff_row("old", number, when=AS_OF - timedelta(days=1))]), path, DIFFS, number)
+    before = sorted(tuples(read_batches(spark, path, DIFFS), *DIFFS.names), key=str)
+    compact(spark, path, DIFFS, AS_OF.date())
+    stored = read_batches(spark, path, DIFFS)
+    assert sorted(tuples(stored, *DIFFS.names), key=str) == before
+    day = stored.filter(F.col("obs_date") == F.lit(AS_OF.date()))
+    assert day.select(F.input_file_name()).distinct().count() == 1 and stored.select("batch_id").distinct().count() == 6
+    compact(spark, path, DIFFS, AS_OF.date() - timedelta(days=40))  # a day without batches
+
+
+def test_rates_by_value_are_a_setting(make, verdict):
+    """One name live on two links with two counts: each line takes its own rate instead of both."""
+    diffs = make("DIFFS", [diff_row("a", 20), diff_row("a", 40, link=YT + "2")])
+    known = verdict(("a", 20, 5), ("a", 40, 7))
+    found = lambda s: sorted(tuples(report.graded_report(diffs, known, AS_OF, s), "online", "rate_online_ci"))
+    assert found(Settings()) == [(20, 5), (20, 7), (40, 5), (40, 7)]
+    assert found(Settings(rates_by_value=True)) == [(20, 5), (40, 7)]
+
+
+def test_tables_written_aside_are_removed(spark, make, verdict, tmp_path):
+    with temporary(spark, "x") as aside:
+        lines = report.report_lines(report.graded_report(make("DIFFS", [diff_row("a", 20)]), verdict(), AS_OF), aside)
+        assert lines.count() >= 0 and matching(spark, aside)
+    assert not matching(spark, aside)
 
 
 def test_stored_and_plain_tables_give_the_same_newest_batch(spark, make, tmp_path):

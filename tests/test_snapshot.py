@@ -95,7 +95,7 @@ def test_backfill_ends_with_the_snapshot(make):
 def test_backfill_equals_a_snapshot_per_bucket(make):
     """Brute force: one snapshot_diff per bucket, with a look-back long enough to reach the one before."""
     observations = make("OBSERVATIONS", ROWS)
-    filled = diff_backfill(observations, span=(at("01 00:00:00"), at("31 00:00:00")))
+    filled = diff_backfill(observations)
     rows = []
     for (start,) in buckets.distinct_buckets(observations).collect():
         as_of = start + timedelta(minutes=10) - timedelta(microseconds=1)
@@ -149,11 +149,14 @@ def test_random_rows_equal_brute_force(make, seed):
     assert sorted(found, key=str) == sorted(brute_force(rows, as_of), key=str)
 
 
-def test_bucket_join_is_the_same_without_broadcast(make, monkeypatch):
-    observations, span = make("OBSERVATIONS", ROWS), (at("01 00:00:00"), at("31 00:00:00"))
-    small = sorted(tuples(buckets.rank_buckets(observations, span=span)), key=str)
-    monkeypatch.setattr(buckets, "MAX_BROADCAST_BUCKETS", 0)
-    assert sorted(tuples(buckets.rank_buckets(observations, span=span)), key=str) == small
+def test_bucket_join_is_the_same_without_broadcast(spark, make):
+    observations = make("OBSERVATIONS", ROWS)
+    small = sorted(tuples(buckets.rank_buckets(observations)), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(tuples(buckets.rank_buckets(observations)), key=str) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_ranks_are_dense_and_newest_first(make):

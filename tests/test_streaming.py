@@ -6,7 +6,9 @@ from datetime import timedelta
 from livegauge.operators.buckets import bucket_max
 from livegauge.plans.snapshot import snapshot_diff
 from livegauge.schemas import DIFFS, OBSERVATIONS
+from livegauge.settings import Settings
 from livegauge.sources.tables import read_batches
+from livegauge.streaming import jobs
 from livegauge.streaming.jobs import read_cells, start_bucket_max, start_snapshot_diff
 from livegauge.streaming.sources import observation_stream, stream_session
 from tests.conftest import at, tuples
@@ -47,16 +49,51 @@ def test_bucket_maxima_equal_batch(spark, make, tmp_path):
         assert sorted(tuples(read_cells(spark, cells)), key=str) == sorted(tuples(expected), key=str)
 
 
-def test_rows_older_than_the_lookback_are_dropped(spark, make, tmp_path):
+def test_late_rows_count_however_late(spark, make, tmp_path):
     landing, cells, checkpoint = (str(tmp_path / n) for n in ("landing", "cells", "checkpoint"))
-    for row in (
+    rows = [
         ("a", 1, "x", at("10 00:00:00")),
-        ("a", 2, "x", at("08 00:00:00")),  # two days late: kept
-        ("a", 3, "x", at("06 00:00:00")),  # four days late: dropped
-    ):
+        ("a", 2, "x", at("08 00:00:00")),  # two days late
+        ("a", 3, "x", at("06 00:00:00")),  # four days late
+        ("a", 9, "x", at("10 00:01:00")),
+        ("a", 5, "x", at("06 00:00:01")),  # late, into a bucket written before
+    ]
+    for row in rows:
         land(make, [row], landing)
         start_bucket_max(observation_stream(stream_session(spark, 3), landing), cells, checkpoint, drain=True).awaitTermination()
-    assert sorted(tuples(read_cells(spark, cells), "online")) == [(1,), (2,)]
+    assert sorted(tuples(read_cells(spark, cells))) == sorted(tuples(bucket_max(make("OBSERVATIONS", rows))))
+
+
+def test_timed_trigger_takes_what_has_landed(spark, make, tmp_path):
+    """Batches by processing time, not drained: the query stays up and a landing while it runs is taken by a later batch."""
+    landing, cells, checkpoint = (str(tmp_path / n) for n in ("landing", "cells", "checkpoint"))
+    land(make, [("a", 1, "x", at("10 00:00:00"))], landing)
+    stream = observation_stream(stream_session(spark, 3), landing)
+    query = start_bucket_max(stream, cells, checkpoint, Settings(trigger_seconds=1))
+    try:
+        query.processAllAvailable()
+        land(make, [("a", 7, "x", at("10 00:05:00"))], landing)
+        query.processAllAvailable()
+        assert query.isActive and query.lastProgress["batchId"] >= 1
+    finally:
+        query.stop()
+    assert tuples(read_cells(spark, cells), "online") == [(7,)]
+
+
+def test_a_step_lists_the_newest_date_and_the_lookback_only(spark, make, tmp_path, monkeypatch):
+    listed = []
+
+    def reading(session, path, schema, first=None, last=None, days=None):
+        listed.append((first, last))
+        return read_batches(session, path, schema, first, last, days)
+
+    monkeypatch.setattr(jobs, "read_batches", reading)
+    landing, stored, diffs, checkpoint = (str(tmp_path / n) for n in ("landing", "stored", "diffs", "check"))
+    land(make, rows_between(at("01 00:00:00"), at("20 00:00:00"), 8), landing)
+    stream = observation_stream(stream_session(spark, 3), landing)
+    start_snapshot_diff(stream, stored, diffs, checkpoint, drain=True).awaitTermination()
+    newest = at("19 00:00:00").date()
+    assert listed == [(newest, newest), (newest - timedelta(days=2), newest)]
 
 
 def test_differences_equal_batch_after_every_landing(spark, make, tmp_path):

@@ -4,10 +4,17 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from livegauge import tasks
-from livegauge.plans.report import latest_report
+from livegauge.schemas import LANDED_PAGES, LANDED_REPLIES
 from livegauge.settings import Settings
+from livegauge.sinks.tables import append_batch
+from livegauge.sources.payloads import landed_pages
+from livegauge.sources.tables import read_batches
+from livegauge.storage import matching, shared_dir
 from tests.conftest import tuples
+from tests.test_plans import scans
 
 START = datetime(2024, 1, 30, 22, 0)
 STEP = timedelta(minutes=10)
@@ -25,15 +32,20 @@ def page(count):
 
 
 def run(spark, make, tables, folder, step, ann, bo, report=True):
+    """One run over the one landing folder of all runs."""
     as_of = START + STEP * step
-    landed = f"{folder}/landed-{step}"
-    make("PAGES", [("Ann", "https://y/ann/live", page(ann))]).write.mode("overwrite").parquet(f"{landed}/pages")
-    body = f'{{"data":[{{"viewer_count":{bo}}}]}}'
-    make("REPLIES", [("bo", body)]).write.mode("overwrite").parquet(f"{landed}/replies")
-    tasks.ingest(spark, tables, "youtube", f"{landed}/pages", as_of)
-    tasks.ingest(spark, tables, "twitch", f"{landed}/replies", as_of)
+    body, fetched = f'{{"data":[{{"viewer_count":{bo}}}]}}', as_of - timedelta(minutes=1)
+    pages = make("LANDED_PAGES", [("Ann", "https://y/ann/live", page(ann), fetched)])
+    append_batch(pages, f"{folder}/pages", LANDED_PAGES, step, ts="landed")
+    append_batch(make("LANDED_REPLIES", [("bo", body, fetched)]), f"{folder}/replies", LANDED_REPLIES, step, ts="landed")
+    tasks.ingest(spark, tables, "youtube", f"{folder}/pages", as_of)
+    tasks.ingest(spark, tables, "twitch", f"{folder}/replies", as_of)
     tasks.diff(spark, tables, as_of)
-    return tasks.report(spark, tables, as_of, f"(-1, {step})") if report else None
+    if not report:
+        return None
+    rows = tasks.report(spark, tables, as_of).collect()
+    tasks.sent(spark, tables, as_of, f"(-1, {step})")
+    return rows
 
 
 @pytest.fixture
@@ -47,7 +59,7 @@ def test_three_runs(spark, make, tables, tmp_path):
     run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
     run(spark, make, tables, tmp_path, 1, 110, 50, report=False)
     for _ in range(2):  # the last run twice, as after a retry
-        (row,) = run(spark, make, tables, tmp_path, 2, 90, 60).collect()
+        (row,) = run(spark, make, tables, tmp_path, 2, 90, 60)
     assert tables.observations(spark).count() == 6
     assert sorted(tuples(tables.diffs(spark), "name", "online", "online_diff")) == [
         ("Ann", 90, -20), ("Ann", 100, 0), ("Ann", 110, 10), ("Bo", 50, 0), ("Bo", 50, 0), ("Bo", 60, 10),
@@ -58,19 +70,71 @@ def test_three_runs(spark, make, tables, tmp_path):
         "🔸  [Ann](https://youtu.be/ann1) [[90]] 🔴 -20\n\n"
         "🔸  [Bo](https://www.twitch.tv/bo) [[60]] 🟢 +10"
     )
-    assert tuples(latest_report(tables.reports(spark)), "chat_message_id") == [("(-1, 2)",)]
+    assert tasks.latest(spark, tables, START + STEP * 3) == "(-1, 2)"
+    assert tasks.latest(spark, tables, START + timedelta(days=9)) is None
+    assert tables.lines(spark).count() == 2 and tables.reports(spark).count() == 1
+
+
+def test_a_run_takes_the_payloads_of_its_own_interval(spark, make, tables, tmp_path):
+    """Two runs over one landing folder: the older page, still there, is not taken again under the new time."""
+    run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
+    run(spark, make, tables, tmp_path, 1, 40, 50, report=False)
+    newest = tables.diffs(spark).filter(F.col("datetime") == F.lit(START + STEP).cast("timestamp_ntz"))
+    assert sorted(tuples(newest, "name", "online", "online_diff")) == [("Ann", 40, -60), ("Bo", 50, 0)]
+    pages = landed_pages(spark, f"{tmp_path}/pages", START + STEP, 10)
+    ((pushed, partitions, _),) = scans(pages)
+    assert "GreaterThan(landed" in pushed and "LessThanOrEqual(landed" in pushed
+    assert pages.count() == 1
+
+
+def test_a_retry_without_payloads_leaves_nothing(spark, make, tables, tmp_path):
+    run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
+    append_batch(make("LANDED_PAGES", []), f"{tmp_path}/pages", LANDED_PAGES, 0, ts="landed")
+    tasks.ingest(spark, tables, "youtube", f"{tmp_path}/pages", START)
+    assert tuples(tables.observations(spark), "name") == [("Bo",)]
+
+
+def test_tasks_leave_no_intermediate_table(spark, make, tables, tmp_path):
+    before = set(matching(spark, f"{shared_dir(spark)}/livegauge/*"))
+    run(spark, make, tables, tmp_path, 0, 100, 50)
+    assert set(matching(spark, f"{shared_dir(spark)}/livegauge/*")) == before
+
+
+def test_compaction_of_a_past_day(spark, make, tables, tmp_path):
+    for step in range(4):
+        run(spark, make, tables, tmp_path, step, 100 + step, 50, report=False)
+    before = [sorted(tuples(t, "name", "online", "datetime")) for t in (tables.observations(spark), tables.diffs(spark))]
+    tasks.compact_day(spark, tables, START + timedelta(days=3))
+    assert [sorted(tuples(t, "name", "online", "datetime")) for t in (tables.observations(spark), tables.diffs(spark))] == before
+    assert len(tables.observations(spark).inputFiles()) == 1
 
 
 def test_kept_days_give_the_same_report(spark, make, tables, tmp_path):
     for step in range(0, 432, 72):  # three days in steps of twelve hours
         run(spark, make, tables, tmp_path, step, 100 + step % 7, 50 + step % 5, report=False)
-        tasks.daily(spark, tables, START + STEP * step)
+        if step != 216:  # a day that no run has kept
+            tasks.daily(spark, tables, START + STEP * step)
     as_of = START + STEP * 360
     direct = tuples(tasks.report(spark, tables, as_of))
     assert tuples(tasks.report(spark, tables, as_of, use_daily=True)) == direct
     assert "[Ann]" in direct[0][2]
 
 
+def test_kept_days_are_not_read_again(spark, make, tables, tmp_path, monkeypatch):
+    listed = []
+
+    def reading(session, path, schema, first=None, last=None, days=None):
+        listed.append(days)
+        return read_batches(session, path, schema, first, last, days)
+
+    run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
+    for number in range(1, 15):
+        tasks.daily(spark, tables, START - timedelta(days=number - 1))
+    monkeypatch.setattr(tasks, "read_batches", reading)
+    tasks.report(spark, tables, START, use_daily=True)
+    assert [START.date() - timedelta(days=15), START.date()] in listed
+
+
 def test_stale_batch_is_announced_as_nobody_live(spark, make, tables, tmp_path):
     run(spark, make, tables, tmp_path, 0, 100, 50, report=False)
     (row,) = tasks.report(spark, tables, START + STEP, settings=Settings()).collect()
@@ -81,3 +145,6 @@ def test_arguments(capsys):
     with pytest.raises(SystemExit):
         tasks.main(["youtube", "--root", "x", "--as-of", "2024-01-31 00:00:00"])
     assert "--landed" in capsys.readouterr().err
+    with pytest.raises(SystemExit):
+        tasks.main(["sent", "--root", "x", "--as-of", "2024-01-31 00:00:00"])
+    assert "--message-id" in capsys.readouterr().err
