@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +28,6 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,7 +95,7 @@ def load_pieces(path: str | None = None) -> Pieces:
     if rule.precompiled_charsmap or rule.remove_extra_whitespaces or not (rule.add_dummy_prefix and rule.escape_whitespaces):
         raise ValueError("the model changes the text before encoding it")
     normal = [(p.piece, i, p.score) for i, p in enumerate(model.pieces) if p.type == 1]
-    if any(regex.search(f"[^{SPACE}]{SPACE}", text) for text, _, _ in normal):
+    if any(re.search(f"[^{SPACE}]{SPACE}", text) for text, _, _ in normal):
         raise ValueError("a piece spans words")
     byte_ids = tuple(i for i, p in enumerate(model.pieces) if p.type == 6)
     texts, ids, scores = zip(*normal, strict=True)
@@ -106,8 +106,8 @@ class Words:
     """Cuts escaped text into words: spaces and the known characters behind them, or one unknown character."""
 
     def __init__(self, pieces: Pieces):
-        known = regex.escape(pieces.characters, special_only=True)
-        self._word = regex.compile(f"{SPACE}*[{known}]+|{SPACE}+|[^{SPACE}]", regex.V0)
+        known = re.escape(pieces.characters)
+        self._word = re.compile(f"{SPACE}*[{known}]+|{SPACE}+|[^{SPACE}]")
         self._known = frozenset(pieces.characters + SPACE)
         self._bytes, self._unknown, self._unordered = pieces.byte_ids, pieces.unknown, pieces.unordered()
 
