@@ -27,7 +27,7 @@ from livegauge.llm.language import remainder
 
 TOXIC_SAMPLE, UNLABELLED_SAMPLE = 2_000, 6_000  # texts that training reads, at most
 MAX_FEATURES = 50_000
-ENRICHED, DEVIATIONS = 4, 4  # how much more often than unlabelled texts, and how surely, toxic texts must have a feature
+DEVIATIONS = 4  # how surely toxic texts must have a feature more often than unlabelled ones
 PREFIX = 4
 THRESHOLD = 0.7
 
@@ -59,7 +59,7 @@ def features(text: str | None) -> np.ndarray:
 def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in slices(batches):
         yield pd.DataFrame(
-            {"toxic": batch["toxic"], "features": [np.sort(features(t)).tobytes() for t in batch["text"]]}
+            {"toxic": batch["toxic"], "copies": batch["copies"], "features": [np.sort(features(t)).tobytes() for t in batch["text"]]}
         )
 
 
@@ -94,26 +94,42 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def telling_features(toxic: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """The features, sorted, that toxic texts have far more often than unlabelled ones: ``ENRICHED`` times as often, and
-    ``DEVIATIONS`` standard deviations above what chance would give. A part of the unlabelled texts is toxic too, so
-    a toxic word is enriched by 1 / prior at most. Of too many the most frequent ones count."""
-    names, uses = np.unique(np.concatenate(toxic), return_counts=True)
-    others, other_uses = np.unique(np.concatenate(unlabelled), return_counts=True)
+def _uses(found: list[np.ndarray], copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct features, sorted, and the number of rows that have each."""
+    names, at = np.unique(np.concatenate(found), return_inverse=True)
+    return names, np.bincount(at, np.repeat(copies, [len(f) for f in found]), len(names))
+
+
+def telling_features(
+    toxic: list[np.ndarray], unlabelled: list[np.ndarray], toxic_copies: np.ndarray | None = None, unlabelled_copies: np.ndarray | None = None
+) -> np.ndarray:
+    """The features, sorted, that toxic texts have more often than unlabelled ones, by ``DEVIATIONS`` standard deviations of what
+    chance would give. A part of the unlabelled texts is toxic too, so a toxic word is enriched by 1 / prior at most: how much more
+    often is left to the risk. Texts count once each, or as often as their copies say. Of too many features the most frequent ones count."""
+    toxic_copies = np.ones(len(toxic)) if toxic_copies is None else toxic_copies
+    unlabelled_copies = np.ones(len(unlabelled)) if unlabelled_copies is None else unlabelled_copies
+    names, uses = _uses(toxic, toxic_copies)
+    others, other_uses = _uses(unlabelled, unlabelled_copies)
     at = np.minimum(np.searchsorted(others, names), max(0, len(others) - 1))
     seen = np.where(others[at] == names, other_uses[at], 0) if len(others) else np.zeros(len(names))
-    chance = len(toxic) * seen / len(unlabelled)
-    telling = uses >= ENRICHED * len(toxic) * (seen + 1) / len(unlabelled)
-    telling &= uses - chance >= DEVIATIONS * np.sqrt(chance + 1)
+    n, total = toxic_copies.sum(), unlabelled_copies.sum()
+    chance = n * seen / total
+    telling = uses - chance >= DEVIATIONS * np.sqrt(chance * (1 - seen / total) * (1 + n / total) + 1)
     names, uses = names[telling], uses[telling]
     return np.sort(names[np.argsort(-uses, kind="stable")[:MAX_FEATURES]])
 
 
-def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, l2: float = 2e-5) -> ToxicityModel:
-    """The model of least non-negative risk, by Adam over whole samples."""
+def fit(
+    toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, l2: float = 2e-5,
+    toxic_copies: np.ndarray | None = None, unlabelled_copies: np.ndarray | None = None,
+) -> ToxicityModel:
+    """The model of least non-negative risk, by Adam over whole samples. Texts weigh the same; only where they are too few for any
+    feature to tell, as when all toxic rows are copies of one text, the numbers of their copies choose the features."""
     if not toxic or not unlabelled:
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), -5.0)
     known = telling_features(toxic, unlabelled)
+    if not len(known):
+        known = telling_features(toxic, unlabelled, toxic_copies, unlabelled_copies)
     p, u = _Rows(toxic, known), _Rows(unlabelled, known)
     prior = min(max(prior, 1e-3), 0.999)
     w, b = np.zeros(len(known)), np.log(prior / (1 - prior))
@@ -137,28 +153,35 @@ def fit(toxic: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, ste
 def train_toxicity(rows: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE, unlabelled_sample: int = UNLABELLED_SAMPLE) -> ToxicityModel:
     """Learn from ``rows`` (id, text) and ``labels`` (id, toxic).
 
-    The prior is the share of toxic among the labelled ids. At most ``toxic_sample`` toxic and
-    ``unlabelled_sample`` other texts are read, picked by a hash of the id; only their features come to the driver. Ids with a null label
-    are not labelled; an id labelled both ways is toxic. Without a toxic text every score is the same, near 0.
+    Equal texts are one text, so that copies neither fill a sample nor shift the prior, the share of toxic among the labelled texts of
+    ``rows``. At most ``toxic_sample`` toxic and ``unlabelled_sample`` other texts are read, picked by a hash of the text; only their features
+    come to the driver. Ids with a null label are not labelled; an id or text labelled both ways is toxic. Without a toxic text every
+    score is the same, near 0.
     """
     known = labels.where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id").agg(F.max("toxic").alias("toxic"))
-    prior = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
-    spread = F.xxhash64("id")
-    positive = known.where("toxic = 1").orderBy(spread, "id").limit(toxic_sample).select("id")
-    rows = rows.where("id IS NOT NULL AND text IS NOT NULL")
-    count = rows.count()
-    if not count or not prior:
+    rows = rows.where("id IS NOT NULL AND text IS NOT NULL").withColumn("digest", F.xxhash64("text"))
+    texts = rows.select("id", "digest")
+    picked = [F.min("id").alias("id"), F.count("*").alias("copies")]
+    labelled = texts.join(known, "id").groupBy("digest").agg(F.max("toxic").alias("toxic"), *picked)
+    prior = labelled.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    if not prior:
         return fit([], [], 0)
+    place = F.pmod(F.col("digest"), F.lit(1 << 30))
+    positive = labelled.where("toxic = 1").orderBy(place, "digest").limit(toxic_sample).select("digest", "toxic", "id", "copies")
+    # The count only bounds what is sorted, so it may be off by some hundredths.
+    count = texts.agg(F.approx_count_distinct("digest", 0.02)).first()[0]
     bound = min(1 << 30, int(1.5 * unlabelled_sample / count * (1 << 30)) + 1)
-    other = rows.select("id").where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < bound).orderBy(spread, "id").limit(unlabelled_sample)
+    other = texts.where(place < bound).groupBy("digest").agg(F.lit(0).alias("toxic"), *picked)
+    other = other.orderBy(place, "digest").limit(unlabelled_sample)
     # Both samples are bounded by their parameters, so they may be broadcast.
-    wanted = positive.withColumn("toxic", F.lit(1)).union(other.withColumn("toxic", F.lit(0)))
-    found = rows.join(F.broadcast(wanted), "id").select("toxic", "text").mapInPandas(
-        _feature_rows, "toxic int, features binary"
-    ).toPandas()
-    found = found.sort_values(["toxic", "features"])
-    split = {t: [np.frombuffer(f, np.uint64) for f in part["features"]] for t, part in found.groupby("toxic")}
-    return fit(split.get(1, []), split.get(0, []), prior)
+    wanted = positive.union(other.select(*positive.columns))
+    one = rows.join(F.broadcast(wanted), ["digest", "id"]).groupBy("digest", "toxic").agg(F.first("copies").alias("copies"), F.min("text").alias("text"))
+    found = one.select("toxic", "copies", "text").mapInPandas(_feature_rows, "toxic int, copies long, features binary").toPandas()
+    found = found.sort_values(["toxic", "features", "copies"])
+    parts = {t: found[found["toxic"] == t] for t in (0, 1)}
+    split = {t: [np.frombuffer(f, np.uint64) for f in part["features"]] for t, part in parts.items()}
+    copies = {t: part["copies"].to_numpy(float) for t, part in parts.items()}
+    return fit(split[1], split[0], prior, toxic_copies=copies[1], unlabelled_copies=copies[0])
 
 
 def score_toxicity(documents: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -64,3 +64,34 @@ def test_risk_finds_the_positive_word_among_unlabelled_positives():
 def test_long_texts_are_read_to_the_end():
     text = "filler words " * (_SPAN // 8) + " last"
     assert _words(text) == {"filler", "words", "last"} and len(features(None)) == len(features("")) == 0
+
+
+def crowded(spark, share, copied):
+    """2,000 texts of common words; ``share`` of the rows toxic: texts that hold two of ten toxic words, or copies of one of them."""
+    pick = np.random.default_rng(8)
+    found, labels = [], []
+    one = " ".join([f"common{k}" for k in pick.integers(0, 200, 25)] + ["vile3", "vile7"])
+    for i in range(2000):
+        toxic, fresh = pick.random() < share, copied is None or pick.random() > copied
+        words = [f"common{k}" for k in pick.integers(0, 200, 25)] + [f"vile{k}" for k in pick.choice(10, 2, replace=False) if toxic]
+        found.append((i, " ".join(pick.permutation(words)) if fresh or not toxic else one))
+        labels.append((i, int(toxic)))
+    return documents(spark, found), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def check_crowded(docs, labels):
+    toxic = {r["doc_id"]: r["toxic"] for r in rows(labels)}
+    have = {r["doc_id"]: r["predicted"] for r in rows(rate(docs, labels))}
+    assert np.mean([have[i] for i, t in toxic.items() if t]) >= 0.95 and np.mean([have[i] for i, t in toxic.items() if not t]) <= 0.02
+    kept = {r["doc_id"] for r in rows(keep_clean(docs, labels))}
+    assert kept == {i for i, p in have.items() if not p}
+
+
+def test_toxic_texts_are_found_whatever_their_share(spark):
+    for share in (0.3, 0.7):
+        check_crowded(*crowded(spark, share, None))
+
+
+def test_a_third_of_the_rows_are_copies_of_one_toxic_text(spark):
+    check_crowded(*crowded(spark, 0.36, 0.92))
+    check_crowded(*crowded(spark, 0.33, 1.0))  # and nothing else is toxic
