@@ -238,18 +238,13 @@ def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.select(id_col, (remainder(id_col, 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``documents`` in a language: all but those predicted ``und``. Training as in ``identify``, and one pass
-    over the rows, in which each is kept or not where it is read."""
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    model = train_language_model(rows.where(remainder("id", 5) != 0))
-    if not model.families:  # nothing to learn from: only the rule on letters is left
-        model = LanguageModel({"any": ["any"]}, [], np.zeros((0, DIMENSIONS)), np.zeros(0))
+def keep_known(documents: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``documents`` in a language: all that ``predict_languages`` would not call ``und``. That is the rule on letters
+    alone, whatever was learned, so nothing is trained; each row is kept or not where it is read."""
+    place = documents.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, _ = model.predict(batch.column(place).to_pylist())
-            yield batch.filter(pa.array([name != "und" for name in names], pa.bool_()))
+            yield batch.filter(pa.array([has_letter(text) for text in batch.column(place).to_pylist()], pa.bool_()))
 
-    place = documents.columns.index(text_col)
     return documents.mapInArrow(run, documents.schema)

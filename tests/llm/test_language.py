@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from livegauge.llm import language
 from livegauge.llm.language import LanguageModel, SLICE, has_letter, identify, keep_known, margins, train_svm
 from pyspark.sql import functions as F
 
@@ -38,6 +39,12 @@ def test_awkward_rows(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in rows(kept)) == want
 
 
+def test_the_filter_is_the_letter_rule_and_trains_nothing(spark, monkeypatch):
+    monkeypatch.setattr(language, "train_language_model", None)
+    df = documents(spark)
+    assert keep_known(df).count() == sum(has_letter(r["text"]) for r in rows(df))
+
+
 def test_no_rows_and_nothing_to_learn_from(spark):
     empty = documents(spark, [])
     assert identify(empty).count() == 0 and keep_known(empty).count() == 0
