@@ -23,7 +23,7 @@ from livegauge.llm.common import slices
 
 DIMENSIONS = 1 << 12
 SAMPLE_PER_LANGUAGE = 800  # labelled rows that training reads, at most
-MAX_LANGUAGES = 200
+FLAT = 40  # families of one language that duel with each other; more are put into groups
 SLICE = 1 << 20  # bytes of one text taken at a time, so that memory does not follow a text's length
 
 # Families of ISO 639-1 codes. A code not listed is a family of its own.
@@ -168,42 +168,65 @@ class LanguageModel:
         return names, score
 
 
+def families_of(langs: set[str]) -> dict[str, list[str]]:
+    """The families and their languages. Languages of no listed family are families of their own; of more than ``FLAT``, about as many
+    as fit the square root of their number share a family, in order of name, so that the number of duels stays far below all pairs."""
+    families: dict[str, list[str]] = {}
+    for lang in sorted(langs):
+        families.setdefault(_FAMILY_OF.get(lang, lang), []).append(lang)
+    own = [family for family in families if family not in FAMILIES]
+    if len(own) > FLAT:
+        size = math.isqrt(len(own) - 1) + 1
+        for start in range(0, len(own), size):
+            members = own[start : start + size]
+            for lang in members:
+                del families[lang]
+            families[members[-1]] = members
+    return families
+
+
 def train_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """Learn from ``rows`` (id, text, lang), of which at most ``per_language`` of each language are read.
 
-    Rows with a null language or no letter in the text teach nothing. The sample is the same at every run: ids are ordered by a hash.
+    Every language is learned, see ``families_of``. Rows with a null language or no letter in the text teach nothing. The sample is the same at every run: ids are ordered by a hash.
     Only trigram frequencies of the sample come to the driver.
     """
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return LanguageModel({}, [], np.zeros((0, DIMENSIONS)), np.zeros(0))
     spread = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    part = F.lit(None)
-    for lang, n in counts:  # about one and a half times the sample, so that the sort below stays small
-        part = F.when(F.col("lang") == lang, min(1 << 30, int(1.5 * per_language / n * (1 << 30)) + 1)).otherwise(part)
-    near = rows.withColumn("spread", spread).where(F.col("spread") < part)
+    # About one and a half times the sample, so that the sort below stays small. One row for each language may be broadcast.
+    parts = [(lang, min(1 << 30, int(1.5 * per_language / n * (1 << 30)) + 1)) for lang, n in counts]
+    part = F.broadcast(rows.sparkSession.createDataFrame(parts, "lang string, part long"))
+    near = rows.withColumn("spread", spread).join(part, "lang").where("spread < part").drop("part")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("spread", "id"))
     chosen = near.withColumn("nth", nth).where(F.col("nth") <= per_language)
     sample = chosen.select("text", "lang").mapInPandas(_frequencies, "lang string, bins binary, share binary").toPandas()
     sample = sample[[len(b) > 0 for b in sample["bins"]]].sort_values(["lang", "bins", "share"])
     langs = sample["lang"].to_numpy()
-    x = np.zeros((len(sample), DIMENSIONS), np.float32)
-    for row, bins, share in zip(x, sample["bins"], sample["share"], strict=True):
-        row[np.frombuffer(bins, np.uint16)] = np.frombuffer(share, np.float32)
-    scale = 1 / np.sqrt(x.mean(0) + 1e-6)  # frequent trigrams would outweigh the rest
-    x *= scale
-
-    families: dict[str, list[str]] = {}
-    for lang in sorted(set(langs)):
-        families.setdefault(_FAMILY_OF.get(lang, lang), []).append(lang)
-    family = np.array([_FAMILY_OF.get(lang, lang) for lang in langs])
+    used = [np.frombuffer(bins, np.uint16) for bins in sample["bins"]]
+    shares = [np.frombuffer(share, np.float32) for share in sample["share"]]
+    total = np.zeros(DIMENSIONS)
+    for bins, share in zip(used, shares, strict=True):
+        total[bins] += share
+    scale = 1 / np.sqrt(total / max(1, len(used)) + 1e-6)  # frequent trigrams would outweigh the rest
+
+    def dense(at: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(at), DIMENSIONS), np.float32)
+        for row, i in zip(x, at, strict=True):
+            row[used[i]] = shares[i] * scale[used[i]]
+        return x
+
+    families = families_of(set(langs))
+    family_of = {lang: family for family, members in families.items() for lang in members}
+    family = np.array([family_of[lang] for lang in langs], dtype=object)
     duels = [("", a, b, family) for a, b in combinations(sorted(families), 2)]
     duels += [(f, a, b, langs) for f, members in families.items() for a, b in combinations(members, 2)]
     weights, bias = np.zeros((len(duels), DIMENSIONS)), np.zeros(len(duels))
     for k, (_, a, b, names) in enumerate(duels):
-        at = (names == a) | (names == b)
-        w, bias[k] = train_svm(x[at], np.where(names[at] == a, 1.0, -1.0))
+        at = np.flatnonzero((names == a) | (names == b))
+        w, bias[k] = train_svm(dense(at), np.where(names[at] == a, 1.0, -1.0))
         weights[k] = w * scale
     return LanguageModel(families, [d[:3] for d in duels], weights, bias)
 

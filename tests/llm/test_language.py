@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 from livegauge.llm import language
-from livegauge.llm.language import LanguageModel, SLICE, has_letter, identify, keep_known, margins, train_svm
+from livegauge.llm.language import LanguageModel, SLICE, has_letter, identify, keep_known, margins, train_language_model, train_svm
 from pyspark.sql import functions as F
 
 from tests.llm.data import SMALL, documents, rows
@@ -53,6 +53,19 @@ def test_no_rows_and_nothing_to_learn_from(spark):
     assert keep_known(df).count() == sum(has_letter(r["text"]) for r in rows(df))
 
 
+def test_every_language_is_learned(spark):
+    pick = np.random.default_rng(2)
+    codes = [f"x{k:03d}" for k in range(230)]
+    found = []
+    for k, code in enumerate(codes):
+        words = ["".join(pick.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(12)]
+        found += [(3 * k + i, " ".join(pick.permutation(words)), code) for i in range(3)]
+    model = train_language_model(spark.createDataFrame(found, "id long, text string, lang string"))
+    assert sorted(lang for members in model.families.values() for lang in members) == codes
+    names, _ = model.predict([text for _, text, _ in found])
+    assert np.mean([name == lang for name, (*_, lang) in zip(names, found, strict=True)]) >= 0.95
+
+
 def test_long_texts_are_read_to_the_end():
     weights = np.random.default_rng(0).normal(size=(2, 4096))
     text = "abc déf " * (SLICE // 4)
