@@ -191,7 +191,7 @@ def train_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAG
     Every language is learned, see ``families_of``. Rows with a null language or no letter in the text teach nothing. The sample is the same at every run: ids are ordered by a hash.
     Only trigram frequencies of the sample come to the driver.
     """
-    rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = rows.groupBy("lang").count().collect()
     if not counts:
         return LanguageModel({}, [], np.zeros((0, DIMENSIONS)), np.zeros(0))

@@ -53,6 +53,15 @@ def test_no_rows_and_nothing_to_learn_from(spark):
     assert keep_known(df).count() == sum(has_letter(r["text"]) for r in rows(df))
 
 
+def test_texts_without_a_letter_take_no_place_in_the_sample(spark):
+    words = {"en": "the cat and the house with that", "fi": "talo ja kissa sekä järvi mutta"}
+    found = [(2 * k + i, f"{words[code]} {k}", code) for k in range(20) for i, code in enumerate(words)]
+    noise = [(1000 + k, f"{k} 12-34 !?", "en") for k in range(2000)]
+    schema = "id long, text string, lang string"
+    want, have = (train_language_model(spark.createDataFrame(x, schema), per_language=10) for x in (found, found + noise))
+    assert np.array_equal(want.weights, have.weights) and np.array_equal(want.bias, have.bias)
+
+
 def test_every_language_is_learned(spark):
     pick = np.random.default_rng(2)
     codes = [f"x{k:03d}" for k in range(230)]
