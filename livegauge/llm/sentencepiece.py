@@ -310,6 +310,8 @@ def encode(documents: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_co
         def encoded_word(word: str) -> bytes:
             found = ids.get(word)
             if found is None:
+                if words_of.fits_lattice(word):
+                    raise RuntimeError(f"the lattice did not deliver the word {word!r}")
                 other = words_of.unknown_ids(word) if words_of.is_unknown(word) else plain_words.ids(word)
                 found = ids[word] = np.array(other, "<i4").tobytes()
             return found

@@ -97,3 +97,11 @@ def test_grouping_a_lattice_needs_no_shuffle_of_its_edges(spark, pieces):
     words = spark.range(1000).select(F.col("id").cast("string").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     plan = encode_words(words, pieces.table(spark), pieces.longest, False)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_word_that_the_lattice_loses_is_an_error(spark, pieces, monkeypatch):
+    df = spark.createDataFrame([(1, "one lost word")], "doc_id long, text string")
+    whole = module.encode_words
+    monkeypatch.setattr(module, "encode_words", lambda *given: whole(*given).where("NOT contains(word, 'lost')"))
+    with pytest.raises(Exception, match="did not deliver the word"):
+        encode(df, pieces).collect()
