@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pandas as pd
@@ -110,6 +111,13 @@ def exact_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def drop_exact(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` that stay, all columns as they are. Copies repeated under the id that stays
-    come back once each, with the text of that row."""
-    kept = exact_groups(documents, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return documents.join(kept, documents[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    come back once each, with the text of that row. An id with several texts stays only where its text's group keeps it."""
+    kept = exact_groups(documents, id_col, text_col).where("kept")
+    kept = kept.select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha256")).distinct()
+    name = "_text_sha256"
+    while name in (c.lower() for c in documents.columns):
+        name += "_"
+    lower = F.translate(F.coalesce(F.col(text_col), F.lit("")), ascii_uppercase, ascii_lowercase)
+    marked = documents.withColumn(name, F.sha2(lower, 256))
+    same = marked[id_col].eqNullSafe(kept["_kept_id"]) & (marked[name] == kept["_kept_sha256"])
+    return marked.join(kept, same, "left_semi").drop(name)

@@ -62,3 +62,9 @@ def test_drop_keeps_the_columns_and_one_row_of_each_group(spark):
     want = {i for i, keep, *_ in plain(df) if i == keep}
     assert {r["doc_id"] for r in rows(kept)} == want
     assert kept.where(F.col("doc_id") == 101).count() == 0 or kept.where(F.col("doc_id") == 100).count() == 0
+
+
+def test_an_id_with_several_texts_stays_only_where_its_group_keeps_it(spark):
+    df = documents(spark, [(9, "a"), (9, "B"), (12, "b"), (12, "É"), (3, "É"), (None, "a"), (None, "n"), (9, None), (1, "")])
+    kept = rows(drop_exact(df.withColumn("_text_sha256", F.lit("x"))))
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted([(9, "a"), (12, "b"), (12, "É"), (None, "n"), (9, None)], key=str)
