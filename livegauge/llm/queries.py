@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livegauge.llm import language, licenses, sentencepiece, toxicity, warc
+from livegauge.llm.audit import filter_audit
+from livegauge.llm.clustering import centroid_clusters
+from livegauge.llm.contamination import contaminated_documents
 from livegauge.llm.exact import exact_groups
 from livegauge.llm.minhash import near_duplicates
 from livegauge.llm.packing import pack
@@ -83,6 +86,21 @@ def op10_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
 ORACLES["op10_exact"] = """
     WITH t AS (
       SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -177,3 +195,97 @@ def _license_sql() -> str:
 
 
 ORACLES["op6_licenses"] = _license_sql()
+
+
+ORACLES["op11_audit"] = """
+    WITH RECURSIVE t AS (
+      SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+             list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+      FROM documents),
+    marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+              FROM labels GROUP BY doc_id),
+    fails AS (
+      SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [
+               len(w) < 100,
+               100 * len(list_distinct(w)) < 80 * len(w),
+               100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+               regexp_matches(text, '[#$%&*|]'),
+               coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS f
+      FROM t LEFT JOIN marks USING (doc_id)),
+    counted AS (
+      SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic, len(list_filter(f, lambda x: x)) AS bad FROM fails GROUP BY part, f),
+    orders(o) AS (
+      SELECT '' UNION ALL SELECT o || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(o, l)),
+    steps AS (
+      SELECT o AS filter_order, step, ascii(o[step]) - 64 AS filter, list_transform(range(1, step), lambda i: ascii(o[i]) - 64) AS before
+      FROM orders, range(1, 6) AS r(step) WHERE length(o) = 5),
+    done AS (
+      SELECT part, filter_order, step, filter, f[filter] AS hit, len(list_filter(before, lambda i: f[i])) > 0 AS gone, bad, n, good, toxic
+      FROM steps, counted),
+    summed AS (
+      SELECT part, filter_order, CAST(step AS INTEGER) AS step, any_value(filter) AS filter,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND NOT hit), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (NOT gone AND hit), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (gone AND hit), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (hit AND bad = 1), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(good) FILTER (NOT gone AND hit), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (NOT gone AND hit), 0) AS BIGINT) AS toxic_lost
+      FROM done GROUP BY part, filter_order, step)
+    SELECT * EXCLUDE (filter), CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley FROM summed"""
+
+ORACLES["op12_contamination"] = """
+    WITH t AS (
+      SELECT row_number() OVER () AS line, doc_id, list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\\x{80}-\\x{10FFFF}]+'),
+               lambda x: x <> '') AS w
+      FROM documents),
+    b AS (
+      SELECT item_id, list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\\x{80}-\\x{10FFFF}]+'),
+               lambda x: x <> '') AS w
+      FROM benchmark),
+    windows AS MATERIALIZED (
+      SELECT DISTINCT item_id, len(g) AS size, array_to_string(g, ' ') AS g
+      FROM (SELECT item_id, unnest(list_transform(range(1, greatest(2, len(w) - 8)), lambda i: w[i:i + 9])) AS g FROM b WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT size FROM windows),
+    runs AS (
+      SELECT line, size, unnest(range(1, len(w) - size + 2)) AS i, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS g
+      FROM t, sizes WHERE len(w) >= size),
+    found AS MATERIALIZED (SELECT line, i, size, item_id FROM runs JOIN windows USING (size, g)),
+    hit AS (SELECT line, count(DISTINCT p) AS n_hit FROM (SELECT line, unnest(range(i, i + size)) AS p FROM found) GROUP BY line),
+    held AS (
+      SELECT line, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT line, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY line)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM t LEFT JOIN hit USING (line) LEFT JOIN held USING (line)"""
+
+
+def _cluster_sql(rounds: int = 10) -> str:
+    """The rounds written out one after the other."""
+    assign = """
+    a{n} AS MATERIALIZED (
+      SELECT line, v, arg_min(k, (d, k)) AS k, min(d) AS d
+      FROM (SELECT line, v, k, CAST(list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS BIGINT) AS d FROM rows_, c{n}) GROUP BY line, v)"""
+    move = """,
+    c{m} AS MATERIALIZED (
+      SELECT c{n}.k, coalesce(moved.c, c{n}.c) AS c
+      FROM c{n} LEFT JOIN (
+        SELECT k, list(x ORDER BY i) AS c
+        FROM (SELECT k, i, (sum(x) - (((sum(x) % count(*)) + count(*)) % count(*))) // count(*) AS x
+              FROM (SELECT k, generate_subscripts(v, 1) AS i, CAST(unnest(v) AS HUGEINT) AS x FROM a{n}) GROUP BY k, i)
+        GROUP BY k) moved USING (k)),"""
+    turns = "".join(assign.format(n=n) + move.format(n=n, m=n + 1) for n in range(rounds)) + assign.format(n=rounds)
+    return f"""
+    WITH rows_ AS MATERIALIZED (
+      SELECT row_number() OVER () AS line, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    c0 AS MATERIALIZED (
+      SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS INTEGER) AS k, v AS c
+      FROM (SELECT sha256('3:' || vec_id) AS h, v FROM rows_ ORDER BY h NULLS LAST, v LIMIT 8)),{turns}
+    SELECT vec_id, k AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN rows_ USING (line) JOIN c{rounds} USING (k)"""
+
+
+ORACLES["op13_clusters"] = _cluster_sql()
