@@ -42,6 +42,11 @@ def minutes_later(ts: Column, minutes: int | Column) -> Column:
     return ts + F.make_dt_interval(mins=count.cast("int"))
 
 
+def run_end(ts: Column, minutes: int) -> Column:
+    """The time of the periodic run that takes what came at ``ts``: the end of the interval that excludes its start."""
+    return minutes_later(bucket_start(ts - F.make_dt_interval(secs=F.lit(0.000001)), minutes), minutes)
+
+
 def days_before(ts: Column, days: int) -> Column:
     """The instant exactly ``days`` times 24 hours before ``ts``."""
     return ts - F.make_dt_interval(days=F.lit(days))

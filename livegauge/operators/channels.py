@@ -44,8 +44,7 @@ def join_login(counts: DataFrame, twitch: DataFrame) -> DataFrame:
 def join_channel_history(observations: DataFrame, channels: DataFrame) -> DataFrame:
     """Observations left join channels on name: a name listed twice repeats its whole history.
 
-    For statistics over the joined rows use :func:`livegauge.plans.baseline.history_stats`, which gives the
-    same figures without repeating any row.
+    :func:`livegauge.plans.baseline.baseline_stats` gives the statistics over the joined rows without repeating any row.
     """
     listed = channels.select(
         F.col("name").alias("_name"), "platform", F.col("link").alias("channel_link")

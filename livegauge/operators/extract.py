@@ -30,8 +30,8 @@ def page_counts(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> Dat
     return counted.withColumn("online", parse_count(F.col("count_text")))
 
 
-def page_fields(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> DataFrame:
-    """Name, url, link and count of every live page; link or count is NULL where the page lacks it."""
+def page_fields(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Name, url, link and count of every live page, and any carried columns; link or count is NULL where the page lacks it."""
     html = F.col("html")
     watch = first_watch_link(links(html), patterns.watch_url)
     fields = F.struct(
@@ -39,6 +39,7 @@ def page_fields(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> Dat
         F.col("url"),
         canonical_link(watch, patterns).alias("link"),
         last_count_token(html, patterns).alias("count_text"),
+        *carried,
     )
     # The one-element inline keeps later filters above it, so the text is searched once per page and not
     # once more for every condition on the result.
@@ -79,10 +80,10 @@ def observations_from_pages(
     return as_observations(stamp_batch(drop_missing(page_fields(pages, patterns)), as_of))
 
 
-def reply_counts(replies: DataFrame) -> DataFrame:
-    """Login and count of every reply. As for pages, the inline keeps filters on the count above it, so that a
+def reply_counts(replies: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Login and count of every reply, and any carried columns. As for pages, the inline keeps filters on the count above it, so that a
     reply is parsed once."""
-    counted = F.struct(F.col("login"), reply_count(F.col("body")).alias("online"))
+    counted = F.struct(F.col("login"), reply_count(F.col("body")).alias("online"), *carried)
     return replies.select(F.inline(F.array(counted)))
 
 

@@ -15,6 +15,7 @@ from livegauge.operators.extract import (
     reply_counts,
     stamp_batch,
 )
+from livegauge.schemas import REJECTS
 from livegauge.settings import PAGE_PATTERNS, PagePatterns
 
 
@@ -32,9 +33,36 @@ def youtube_observations(
     return as_observations(stamp_batch(found.withColumn("name", F.col("channel")), as_of))
 
 
-def observations_from_json(replies: DataFrame, channels: DataFrame, as_of: AsOf) -> DataFrame:
-    """Observations of twitch channels from their landed API replies; offline and failed ones count 0 and drop."""
-    counts = positive(reply_counts(replies))
+def page_outcomes(channels: DataFrame, fields: DataFrame, as_of: AsOf) -> DataFrame:
+    """What became of every live page (``extract.page_fields``): the columns of observations and rejects, with a reason where the page gave no observation.
+
+    A page of several channels has a row for each, as in :func:`youtube_observations`; any other live page has one.
+    """
+    listed = youtube_channels(channels).select(
+        F.col("name").alias("channel"), F.concat("link", F.lit("/live")).alias("url")
+    )
+    # The marker tells a page of no channel from that of a channel without a name.
+    joined = fields.join(listed.withColumn("listed", F.lit(True)), "url", "left")
+    reason = F.when(F.col("link").isNull(), "no link").when(F.col("online").isNull(), "no count")
+    return stamp_batch(joined.withColumn("reason", reason.when(F.col("listed").isNull(), "no channel")), as_of)
+
+
+def accepted(outcomes: DataFrame) -> DataFrame:
+    """The observations among the outcomes."""
+    return as_observations(outcomes.filter(F.col("reason").isNull()).withColumn("name", F.col("channel")))
+
+
+def rejected(outcomes: DataFrame) -> DataFrame:
+    """The live pages that gave no observation, one row each, and why."""
+    return outcomes.filter(F.col("reason").isNotNull()).select(*REJECTS.names)
+
+
+def observations_from_json(
+    replies: DataFrame, channels: DataFrame, as_of: AsOf, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """Observations of twitch channels from their landed API replies; offline and failed ones count 0 and drop. ``as_of`` may be
+    an expression over carried columns of the replies."""
+    counts = positive(reply_counts(replies, carried))
     return as_observations(stamp_batch(join_login(counts, twitch_channels(channels)), as_of))
 
 

@@ -25,6 +25,12 @@ DIFFS = _table(
 )
 REPORTS = _table(("datetime", _TIME), ("chat_message_id", _TEXT), ("message", _TEXT))
 CELLS = _table(("name", _TEXT), ("link", _TEXT), ("bucket", _TIME), ("online", _COUNT))
+# The newest two snapshots of a stream, with the newest time of an observation in each cell.
+SNAPSHOTS = T.StructType(CELLS.fields + [T.StructField("newest", _TIME, True)])
+# Live pages that gave no observation, and why.
+REJECTS = _table(
+    ("name", _TEXT), ("url", _TEXT), ("link", _TEXT), ("count_text", _TEXT), ("reason", _TEXT), ("datetime", _TIME)
+)
 # Moments per name and day; the day is the partition.
 DAILY = _table(
     ("name", _TEXT), ("n", _COUNT), ("n_online", _COUNT), ("mean", T.DoubleType()),

@@ -1,26 +1,22 @@
-"""Batch appends to partitioned tables.
+"""Batch appends to tables partitioned by date.
 
-A table is a folder ``obs_date=.../batch_id=...``. A batch that is run again replaces all its own partitions and no
-others, those too that the new result has no rows for; a failed write raises.
-
-Partitions are put in place one after the other, so a reader at that moment may see a batch of several dates half
-written. Tasks of one run follow each other, and the next run repeats a failed one, so none of them reads such a batch.
-Stores that rename folders as a whole (HDFS, local disks, Azure with a hierarchical namespace) replace each date at once;
-on object stores without that, use a committer made for them.
+A batch that is run again replaces all its own rows and no others, those too on dates that the new result has no rows for; a failed
+write raises. Readers see a batch, of however many dates, as a whole or not at all (see ``livegauge.batches``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from livegauge.batches import Attempt, live
 from livegauge.functions.clock import AsOf, as_of_column, day_of
 from livegauge.schemas import REPORTS
-from livegauge.sources.tables import read_batches
-from livegauge.storage import freeze, matching, remove, temporary
+from livegauge.sources.tables import read_batches, read_marked
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,53 +30,48 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
-def _replace_dates(df: DataFrame, path: str, schema: T.StructType, batch_id: int, ts: str) -> None:
-    """Write rows under a batch number, in place of what it has on their dates.
-
-    The rebalance hint lets adaptive execution even out file sizes: it merges small dates and splits a date
+def _write(df: DataFrame, folder: str, schema: T.StructType, ts: str) -> None:
+    """Write rows by date. The rebalance hint lets adaptive execution even out file sizes: it merges small dates and splits a date
     that holds most of the rows.
     """
     (
         conform(df, schema)
         .withColumn("obs_date", day_of(F.col(ts)))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .hint("rebalance", "obs_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("obs_date", "batch_id")
-        .parquet(path)
+        .write.partitionBy("obs_date")
+        .parquet(folder)
     )
 
 
 def append_batch(
     df: DataFrame, path: str, schema: T.StructType, batch_id: int, ts: str = "datetime"
 ) -> None:
-    """Write one batch, partitioned by the date of ``ts``, in place of all that was written under its number."""
-    spark = df.sparkSession
-    files = f"{path}/obs_date=*/batch_id={batch_id}/part-*"
-    before = set(matching(spark, files))
-    _replace_dates(df, path, schema, batch_id, ts)
-    # A date the new result has rows for holds new files only; what is left of the old ones belongs to other dates.
-    for folder in {file.rpartition("/")[0] for file in before & set(matching(spark, files))}:
-        remove(spark, folder)
-
-
-def compact(spark: SparkSession, path: str, schema: T.StructType, day: date, ts: str = "datetime") -> None:
-    """Rewrite the batches of one past day as few files, under the number of the newest of them.
+    """Write one batch, partitioned by the date of ``ts``, in place of all that was written under its number. ``df`` may read the batch it replaces."""
+    attempt = Attempt(df.sparkSession, path, batch_id)
+    _write(df, attempt.folder, schema, ts)
+    attempt.publish()
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    day: date,
+    ts: str = "datetime",
+    merge: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> None:
+    """Rewrite the batches of one past day as few files, under the number of the newest of them. None of them can be repeated afterwards.
 
-    The merged table is written aside first and takes the place of the batches only once it is complete.
+    One mark replaces all of theirs, so a reader sees every row once at any moment, and a run that was stopped is simply repeated. ``merge`` may
+    combine rows, where readers would combine them anyway.
     """
-    found = read_batches(spark, path, schema, day, day)
-    number = found.agg(F.max("batch_id")).first()[0]
-    if number is None:
+    replaced = live(spark, path, [day])
+    if len(replaced) < 2:
         return
-    with temporary(spark, "compact") as aside:
-        merged = freeze(found.select(*schema.names).hint("rebalance"), aside)
-        old = matching(spark, f"{path}/obs_date={day.isoformat()}/batch_id=*")
-        _replace_dates(merged, path, schema, number, ts)
-    for folder in old:
-        if not folder.endswith(f"batch_id={number}"):
-            remove(spark, folder)
+    attempt = Attempt(spark, path, max(mark.batch for mark in replaced))
+    found = read_marked(spark, path, schema, replaced)
+    _write(merge(found.select(*schema.names)), attempt.folder, schema, ts)
+    attempt.publish_merged(day, replaced)
 
 
 def log_report(message: DataFrame, path: str, as_of: AsOf, batch_id: int) -> None:
@@ -92,6 +83,4 @@ def log_report(message: DataFrame, path: str, as_of: AsOf, batch_id: int) -> Non
 def log_sent(spark: SparkSession, path: str, chat_message_id: str, as_of: datetime, batch_id: int) -> None:
     """Add the chat's id to the report logged under ``batch_id``, which is not computed again."""
     logged = read_batches(spark, path, REPORTS, as_of.date(), as_of.date()).filter(F.col("batch_id") == batch_id)
-    with temporary(spark, "sent") as aside:
-        row = freeze(logged.select(*REPORTS.names).withColumn("chat_message_id", F.lit(chat_message_id)), aside)
-        append_batch(row, path, REPORTS, batch_id)
+    append_batch(logged.select(*REPORTS.names).withColumn("chat_message_id", F.lit(chat_message_id)), path, REPORTS, batch_id)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from livegauge.batches import Mark, live
+
 BATCH_COLUMNS = (("obs_date", T.DateType()), ("batch_id", T.LongType()))
 
 
@@ -26,24 +27,23 @@ def read_batches(
     last: date | None = None,
     days: Iterable[date] | None = None,
 ) -> DataFrame:
-    """A table written batch by batch (see ``sinks.tables``), with its date and batch partitions as columns.
+    """A table written batch by batch (see ``sinks.tables``), with its date and batch as columns; every batch as a whole or not at all.
 
     With ``first`` and ``last``, or with ``days``, only the folders of those dates are listed: a job that runs every ten
     minutes must not list years of batches.
     """
-    full = T.StructType(schema.fields + [T.StructField(n, t, True) for n, t in BATCH_COLUMNS])
-    reader = spark.read.schema(full)
-    if days is None and (first is None or last is None):
-        return reader.parquet(path)
-    if days is None:
+    if days is None and first is not None and last is not None:
         days = [first + timedelta(days=n) for n in range((last - first).days + 1)]
-    folders = f"{path}/obs_date={{{','.join(day.isoformat() for day in days)}}}"
-    try:
-        return reader.option("basePath", path).parquet(folders)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":  # no batch on any of the dates
-            return spark.createDataFrame([], full)
-        raise
+    return read_marked(spark, path, schema, live(spark, path, days))
+
+
+def read_marked(spark: SparkSession, path: str, schema: T.StructType, marks: list[Mark]) -> DataFrame:
+    """The rows that some marks of a table stand for."""
+    full = T.StructType(schema.fields + [T.StructField(n, t, True) for n, t in BATCH_COLUMNS])
+    if not marks:
+        return spark.createDataFrame([], full)
+    reader = spark.read.schema(T.StructType([*full.fields, T.StructField("attempt", T.StringType(), True)]))
+    return reader.option("basePath", path).parquet(*[mark.folder(path) for mark in marks]).select(*full.names)
 
 
 def read_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:

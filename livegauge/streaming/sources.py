@@ -7,25 +7,15 @@ from pyspark.sql import types as T
 
 from livegauge.schemas import OBSERVATIONS
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session of the same application with settings for streams.
 
-    A stream keeps one state store per shuffle partition and cannot change their number later, so it is set apart
-    from the batch setting: by default one per core. RocksDB holds state that outgrows memory. Batches without
-    rows are skipped, since in update mode they write nothing.
+    Micro-batches are small beside batch jobs, so their shuffles have a number of partitions of their own: by default one per core. The
+    jobs keep no state in Spark; batches without rows are skipped, since they write nothing.
     """
     own = spark.newSession()
-    settings = {
-        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
-        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    }
-    for key, value in settings.items():
-        own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     return own
 
 

@@ -11,7 +11,7 @@
 
 PAGES and REPLIES are landing tables with the time each payload was fetched; a run takes the payloads of its own interval, the
 ten minutes up to ``as_of``. Each task reads its tables, appends one batch and may be repeated: the same ``as_of`` replaces the
-same batch. A day is compacted once its batches are not repeated any more.
+same batch. A day is compacted once its batches are not repeated any more. Of each task one run at a time is let through.
 """
 
 from __future__ import annotations
@@ -19,6 +19,9 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
@@ -29,14 +32,17 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from livegauge import schemas
+from livegauge.batches import vacuum
+from livegauge.counts import Counts
+from livegauge.functions.payload import reply_count
 from livegauge.plans.baseline import (
     baseline_from_daily,
     baseline_stats,
     baseline_verdict,
     kept_day,
 )
-from livegauge.plans.ingest import observations_from_json, youtube_observations
-from livegauge.operators.extract import stamp_batch
+from livegauge.operators.extract import page_fields, stamp_batch
+from livegauge.plans.ingest import accepted, observations_from_json, page_outcomes, rejected
 from livegauge.plans.report import graded_report, latest_report, message_of_lines, report_lines
 from livegauge.plans.snapshot import snapshot_diff
 from livegauge.session import session
@@ -44,9 +50,16 @@ from livegauge.settings import DEFAULTS, Settings
 from livegauge.sinks.tables import append_batch, compact, log_report, log_sent
 from livegauge.sources.payloads import landed_pages, landed_replies
 from livegauge.sources.tables import read_batches, read_table
-from livegauge.storage import matching, temporary
+from livegauge.storage import create, freeze, hours_old, matching, remove, rename, temporary
 
 _OBSERVATION_TASKS = ("youtube", "twitch")
+_COMPACTED = {
+    "observations": schemas.OBSERVATIONS,
+    "rejected": schemas.REJECTS,
+    "diffs": schemas.DIFFS,
+    "lines": schemas.LINES,
+    "reports": schemas.REPORTS,
+}
 
 
 @dataclass(frozen=True)
@@ -64,6 +77,9 @@ class Tables:
     def observations(self, spark: SparkSession, *dates: date) -> DataFrame:
         return read_batches(spark, self.path("observations"), schemas.OBSERVATIONS, *dates)
 
+    def rejected(self, spark: SparkSession, *dates: date) -> DataFrame:
+        return read_batches(spark, self.path("rejected"), schemas.REJECTS, *dates)
+
     def diffs(self, spark: SparkSession, *dates: date) -> DataFrame:
         return read_batches(spark, self.path("diffs"), schemas.DIFFS, *dates)
 
@@ -93,15 +109,28 @@ def batch_number(as_of: datetime, source: int = 0) -> int:
 
 def ingest(
     spark: SparkSession, tables: Tables, platform: str, landed: str, as_of: datetime, settings: Settings = DEFAULTS
-) -> None:
-    """Append the observations of the payloads of one platform that landed in the run's own interval."""
-    channels, minutes = tables.channels(spark), settings.bucket_minutes
-    if platform == "youtube":
-        rows = youtube_observations(channels, landed_pages(spark, landed, as_of, minutes), as_of)
-    else:
-        rows = observations_from_json(landed_replies(spark, landed, as_of, minutes), channels, as_of)
+) -> dict[str, int]:
+    """Append the observations of the payloads of one platform that landed in the run's own interval, and return the run's counts.
+
+    Pages are read once: what became of every live page is written aside, small, and both tables are made from it. Live pages that
+    gave no observation go to ``rejected`` with the reason, under the same batch number. Counts: ``read`` payloads, ``live`` ones among
+    them, ``written`` observations, and for pages ``rejected``.
+    """
+    channels, minutes, counts = tables.channels(spark), settings.bucket_minutes, Counts()
     number = batch_number(as_of, _OBSERVATION_TASKS.index(platform))
-    append_batch(rows, tables.path("observations"), schemas.OBSERVATIONS, number)
+    if platform == "twitch":
+        replies = counts.of(landed_replies(spark, landed, as_of, minutes), read=None, live=reply_count(F.col("body")) > 0)
+        rows = counts.of(observations_from_json(replies, channels, as_of), written=None)
+        append_batch(rows, tables.path("observations"), schemas.OBSERVATIONS, number)
+        return counts.get()
+    pages = counts.of(landed_pages(spark, landed, as_of, minutes), read=None)
+    outcomes = page_outcomes(channels, counts.of(page_fields(pages), live=None), as_of)
+    refused = F.col("reason").isNotNull()
+    with temporary(spark, "outcomes") as aside:
+        outcomes = freeze(counts.of(outcomes, written=~refused, rejected=refused), aside)
+        append_batch(accepted(outcomes), tables.path("observations"), schemas.OBSERVATIONS, number)
+        append_batch(rejected(outcomes), tables.path("rejected"), schemas.REJECTS, number)
+    return counts.get()
 
 
 def diff(spark: SparkSession, tables: Tables, as_of: datetime, settings: Settings = DEFAULTS) -> None:
@@ -164,11 +193,33 @@ def latest(spark: SparkSession, tables: Tables, as_of: datetime, settings: Setti
     return rows[0]["chat_message_id"] if rows else None
 
 
+@contextmanager
+def exclusive(spark: SparkSession, tables: Tables, task: str, stale_hours: float = 6) -> Iterator[None]:
+    """One run of a task at a time: a marker that is created only if absent, and removed at the end.
+
+    A second run raises. The marker of a run that died counts no more after ``stale_hours``; of the runs that find it, the one that renames it away goes on.
+    """
+    marker = tables.path(f"_running/{task}")
+    if not create(spark, marker):
+        if hours_old(spark, marker) < stale_hours:
+            raise RuntimeError(f"{task} is running already; remove {marker} if it is not")
+        aside = tables.path(f"_running/.{uuid.uuid4().hex}")
+        rename(spark, marker, aside)
+        remove(spark, aside)
+        if not create(spark, marker):
+            raise RuntimeError(f"{task} is running already")
+    try:
+        yield
+    finally:
+        remove(spark, marker)
+
+
 def compact_day(spark: SparkSession, tables: Tables, as_of: datetime, settings: Settings = DEFAULTS) -> None:
-    """Merge the batches of the day before the look-back, two files a day and platform becoming few."""
+    """Merge the batches of the day before the look-back, two files a day and platform becoming few, and remove files that no longer count."""
     day, _ = days_back(as_of, settings.lookback_days + 1)
-    for name, schema in (("observations", schemas.OBSERVATIONS), ("diffs", schemas.DIFFS), ("lines", schemas.LINES), ("reports", schemas.REPORTS)):
+    for name, schema in _COMPACTED.items():
         compact(spark, tables.path(name), schema, day)
+        vacuum(spark, tables.path(name))
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -186,8 +237,17 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error("sent needs --message-id")
 
     spark, tables = session(f"livegauge-{chosen.task}"), Tables(chosen.root)
+    if chosen.task == "latest":
+        print(latest(spark, tables, chosen.as_of) or "")
+        return
+    with exclusive(spark, tables, chosen.task):
+        _run(spark, tables, chosen)
+
+
+def _run(spark: SparkSession, tables: Tables, chosen: argparse.Namespace) -> None:
     if chosen.task in _OBSERVATION_TASKS:
-        ingest(spark, tables, chosen.task, chosen.landed, chosen.as_of)
+        counts = ingest(spark, tables, chosen.task, chosen.landed, chosen.as_of)
+        print(" ".join(f"{name}={n}" for name, n in counts.items()))
     elif chosen.task == "diff":
         diff(spark, tables, chosen.as_of)
     elif chosen.task == "daily":
@@ -196,8 +256,6 @@ def main(arguments: list[str] | None = None) -> None:
         compact_day(spark, tables, chosen.as_of)
     elif chosen.task == "sent":
         sent(spark, tables, chosen.as_of, chosen.message_id)
-    elif chosen.task == "latest":
-        print(latest(spark, tables, chosen.as_of) or "")
     else:
         rows = report(spark, tables, chosen.as_of, use_daily=chosen.use_daily)
         print("\n".join(row.message for row in rows.take(1)))

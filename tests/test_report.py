@@ -175,7 +175,7 @@ def test_dates_bound_what_is_listed(spark, make, tmp_path):
         dates = day - timedelta(days=first), day - timedelta(days=last)
         stored = read_batches(spark, path, DIFFS, *dates)
         assert sorted(r.name for r in stored.collect()) == names
-        assert all(f"obs_date={day - timedelta(days=first)}" <= f.split("/")[-3] for f in stored.inputFiles())
+        assert all(f"obs_date={day - timedelta(days=first)}" <= f.split("/")[-2] for f in stored.inputFiles())
 
 
 def test_missing_column_raises(spark, make, tmp_path):
