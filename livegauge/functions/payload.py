@@ -20,8 +20,8 @@ MARKUP = (
     rf"""(?is)<(?:!--(?:-?>|.*?(?:--!?>|\z))|(script|style)(?=[\s/>]){_INSIDE}(?:>.*?(?:</\1(?=[\s/>])|\z)|\z)"""
     rf"""|(?=[a-z])([a-z][^\s/>]*+{_INSIDE}>)|[a-z][^\s/>]*+{_INSIDE})"""
 )
-# The value, with its quotes, of the first href of a tag.
-HREF = rf"""(?is)^[a-z][^\s/>]*+(?:[\s/]*+(?!href(?:\s*+=|[\s/>])){_ATTRIBUTE})*+[\s/]*+href\s*+=\s*+({_VALUE})"""
+# The value, with its quotes and the sign before it, of the first href of a tag.
+HREF = rf"""(?is)^[a-z][^\s/>]*+(?:[\s/]*+(?!href(?:\s*+=|[\s/>])){_ATTRIBUTE})*+[\s/]*+href\s*+(=\s*+{_VALUE})"""
 # The character references that links hold; numeric ones are computed.
 ENTITIES = {"quot;": '"', "apos;": "'", "lt;": "<", "gt;": ">", "amp;": "&", "nbsp;": "\u00a0"}
 _NUMERIC = r"(?is)^#(?:x([0-9a-f]{1,6})|([0-9]{1,7}));"
@@ -52,18 +52,31 @@ def _reference(piece: Column) -> Column:
 
 
 def _attribute_value(found: Column) -> Column:
-    quoted = F.left(found, F.lit(1)).isin('"', "'")
-    value = F.when(quoted, F.substring(found, F.lit(2), F.length(found) - F.lit(2))).otherwise(found)
+    bare = F.regexp_replace(found, r"^=\s*", "")
+    quoted = F.left(bare, F.lit(1)).isin('"', "'")
+    value = F.when(quoted, F.substring(bare, F.lit(2), F.length(bare) - F.lit(2))).otherwise(bare)
     # Every ampersand is looked at once, so that nothing is decoded twice.
     pieces = F.transform(F.split(value, "&"), lambda piece, place: F.when(place == 0, piece).otherwise(_reference(piece)))
     return F.when(F.contains(value, F.lit("&")), F.array_join(pieces, "")).otherwise(value)
 
 
+def _hrefs(html: Column) -> Column:
+    """The first href of each of the page's closed start tags, in document order, as it stands there with its sign."""
+    tags = F.filter(F.regexp_extract_all(html, F.lit(MARKUP), F.lit(2)), lambda tag: F.contains(F.lower(tag), F.lit("href")))
+    return F.filter(F.transform(tags, lambda tag: F.regexp_extract(tag, HREF, 1)), lambda found: found != F.lit(""))
+
+
 def links(html: Column) -> Column:
     """The first href of each of the page's closed start tags, in document order."""
-    tags = F.filter(F.regexp_extract_all(html, F.lit(MARKUP), F.lit(2)), lambda tag: F.contains(F.lower(tag), F.lit("href")))
-    found = F.filter(tags, lambda tag: tag.rlike(HREF))
-    return F.transform(found, lambda tag: _attribute_value(F.regexp_extract(tag, HREF, 1)))
+    return F.transform(_hrefs(html), _attribute_value)
+
+
+def watch_link(html: Column, watch_url: str = PAGE_PATTERNS.watch_url) -> Column:
+    """The page's :func:`first_watch_link`. Only links that hold the URL, or a reference that may stand for part of it, are decoded."""
+    near = F.filter(
+        _hrefs(html), lambda found: F.contains(found, F.lit("&")) | F.contains(F.lower(found), F.lit(watch_url))
+    )
+    return first_watch_link(F.transform(near, _attribute_value), watch_url)
 
 
 def first_watch_link(hrefs: Column, watch_url: str = PAGE_PATTERNS.watch_url) -> Column:

@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from livegauge.functions.clock import AsOf, as_of_column
 from livegauge.functions.payload import (
     canonical_link,
-    first_watch_link,
     is_live,
     last_count_token,
-    links,
     parse_count,
     reply_count,
+    watch_link,
 )
 from livegauge.schemas import OBSERVATIONS
 from livegauge.settings import PAGE_PATTERNS, PagePatterns
@@ -33,11 +32,10 @@ def page_counts(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS) -> Dat
 def page_fields(pages: DataFrame, patterns: PagePatterns = PAGE_PATTERNS, carried: tuple[str, ...] = ()) -> DataFrame:
     """Name, url, link and count of every live page, and any carried columns; link or count is NULL where the page lacks it."""
     html = F.col("html")
-    watch = first_watch_link(links(html), patterns.watch_url)
     fields = F.struct(
         F.col("name"),
         F.col("url"),
-        canonical_link(watch, patterns).alias("link"),
+        canonical_link(watch_link(html, patterns.watch_url), patterns).alias("link"),
         last_count_token(html, patterns).alias("count_text"),
         *carried,
     )

@@ -36,7 +36,7 @@ def extract_links(spark, sf_dir):
                   regexp_extract_all(lower(x), 'https://www.youtube.com/watch')
                   = ['https://www.youtube.com/watch'])[1] AS link FROM page_links""", "page_links"))
 def first_matching_link(spark, sf_dir):
-    watch = payload.first_watch_link(payload.links(F.col("html")))
+    watch = payload.watch_link(F.col("html"))
     return inputs.live_pages(spark, sf_dir).select("name", watch.alias("link"))
 
 

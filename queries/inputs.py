@@ -85,8 +85,16 @@ def live_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(page % 11 == 4, '"originalViewCount":"1.2K"}}')
         .otherwise(_concat('"originalViewCount":"12"}},"originalViewCount":"', page * 37 % 4001, '"}}'))
     )
+    # Markup that a search for tags and quotes alone gets wrong.
+    odd = (
+        F.when(page % 13 == 2, '<a title="a>b" href="/quoted">')
+        .when(page % 13 == 3, '<a class="x"href="/close">')
+        .when(page % 13 == 4, '<a href="/n&#38;m&#x3D;1&#233;">')
+        .when(page % 13 == 5, '<script>var open="<a href=\'/in\'>')
+        .otherwise("")
+    )
     html = F.concat(
-        F.col("html"), marker, watch, F.lit("<script>var d={x:1,"), count, F.lit(",y:2}</script>")
+        F.col("html"), marker, watch, F.lit("<script>var d={x:1,"), count, F.lit(",y:2}</script>"), odd
     )
     key = page + F.lit(1)
     return table(spark, sf_dir, "pages").select(
@@ -187,18 +195,26 @@ _TABLES = {
                        WHEN page_id % 11 = 4 THEN '"originalViewCount":"1.2K"}}'
                        ELSE '"originalViewCount":"12"}},"originalViewCount":"'
                             || (page_id * 37 % 4001) || '"}}' END
-               || ',y:2}</script>' AS html
+               || ',y:2}</script>'
+               || CASE page_id % 13 WHEN 2 THEN '<a title="a>b" href="/quoted">'
+                                    WHEN 3 THEN '<a class="x"href="/close">'
+                                    WHEN 4 THEN '<a href="/n&#38;m&#x3D;1&#233;">'
+                                    WHEN 5 THEN '<script>var open="<a href=''/in''>'
+                                    ELSE '' END AS html
         FROM pages""",
     "page_links": r"""
-        SELECT *, list_transform(
-                   regexp_extract_all(
-                     regexp_replace(html,
-                       '(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '', 'g'),
-                     '(?i)<[a-z][^>]*?\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1),
-                   lambda x: replace(replace(replace(replace(replace(
+        SELECT * EXCLUDE (tags), list_transform(
+                   list_filter(
+                     list_transform(tags, lambda x: regexp_extract(x, '(?i)[\s"'']href\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1)),
+                     lambda x: x <> ''),
+                   lambda x: replace(replace(replace(replace(replace(replace(replace(replace(
                      regexp_replace(x, '^["'']|["'']$', '', 'g'),
-                     '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS hrefs
-        FROM live_pages""",
+                     '&quot;', '"'), '&#39;', ''''), '&#x3D;', '='), '&#233;', 'é'), '&lt;', '<'), '&gt;', '>'), '&#38;', '&'), '&amp;', '&')) AS hrefs
+        FROM (SELECT *, regexp_extract_all(
+                regexp_replace(html,
+                  '(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)', '', 'g'),
+                '(?is)<[a-z](?:[^"''>]|"[^"]*"|''[^'']*'')*>') AS tags
+              FROM live_pages)""",
     "page_fields": """
         SELECT name, url,
                'https://youtu.be/' || substr(
