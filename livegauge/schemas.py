@@ -23,6 +23,8 @@ DIFFS = _table(
     ("platform", _TEXT),
     ("datetime", _TIME),
 )
+# Differences of all history, kept by the date of their bucket.
+BACKFILL = T.StructType(DIFFS.fields + [T.StructField("bucket", _TIME, True)])
 REPORTS = _table(("datetime", _TIME), ("chat_message_id", _TEXT), ("message", _TEXT))
 CELLS = _table(("name", _TEXT), ("link", _TEXT), ("bucket", _TIME), ("online", _COUNT))
 # The newest two snapshots of a stream, with the newest time of an observation in each cell.

@@ -52,6 +52,13 @@ def append_batch(
     attempt.publish()
 
 
+def replace_days(df: DataFrame, path: str, schema: T.StructType, days: list[date], ts: str = "datetime") -> None:
+    """Write rows of some dates in place of all that the table holds of them, on all of them at once: a table that is kept by date, not by batch."""
+    attempt = Attempt(df.sparkSession, path, 0)
+    _write(df, attempt.folder, schema, ts)
+    attempt.publish(only=days)
+
+
 def compact(
     spark: SparkSession,
     path: str,

@@ -7,6 +7,7 @@
     spark-submit livegauge/tasks.py latest  --root ROOT --as-of ...      (prints the id of the message to replace)
     spark-submit livegauge/tasks.py sent    --root ROOT --as-of ... --message-id ID
     spark-submit livegauge/tasks.py daily   --root ROOT --as-of ...      (once a day, for the day before)
+    spark-submit livegauge/tasks.py backfill --root ROOT --as-of ... [--batches N,N]   (differences of all history, or what these late batches change)
     spark-submit livegauge/tasks.py compact --root ROOT --as-of ...      (once a day, for the day before the look-back)
 
 PAGES and REPLIES are landing tables with the time each payload was fetched; a run takes the payloads of its own interval, the
@@ -35,6 +36,7 @@ from livegauge import schemas
 from livegauge.batches import vacuum
 from livegauge.counts import Counts
 from livegauge.functions.payload import reply_count
+from livegauge.plans.backfill import refresh_backfill
 from livegauge.plans.baseline import (
     baseline_from_daily,
     baseline_stats,
@@ -224,11 +226,12 @@ def compact_day(spark: SparkSession, tables: Tables, as_of: datetime, settings:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run one task of the live-audience job.")
-    parser.add_argument("task", choices=[*_OBSERVATION_TASKS, "diff", "report", "latest", "sent", "daily", "compact"])
+    parser.add_argument("task", choices=[*_OBSERVATION_TASKS, "diff", "report", "latest", "sent", "daily", "backfill", "compact"])
     parser.add_argument("--root", required=True, help="folder of the stored tables")
     parser.add_argument("--as-of", required=True, type=datetime.fromisoformat, help="run time in UTC")
     parser.add_argument("--landed", help="landed pages or replies (youtube, twitch)")
     parser.add_argument("--message-id", help="id the chat gave the report (sent)")
+    parser.add_argument("--batches", help="numbers of late batches, comma-separated (backfill)")
     parser.add_argument("--use-daily", action="store_true", help="take whole days from kept moments (report)")
     chosen = parser.parse_args(arguments)
     if chosen.task in _OBSERVATION_TASKS and not chosen.landed:
@@ -252,6 +255,10 @@ def _run(spark: SparkSession, tables: Tables, chosen: argparse.Namespace) -> Non
         diff(spark, tables, chosen.as_of)
     elif chosen.task == "daily":
         daily(spark, tables, chosen.as_of)
+    elif chosen.task == "backfill":
+        numbers = [int(n) for n in chosen.batches.split(",")] if chosen.batches else None
+        days = refresh_backfill(spark, tables.path("observations"), tables.path("backfill"), numbers)
+        print(" ".join(day.isoformat() for day in days))
     elif chosen.task == "compact":
         compact_day(spark, tables, chosen.as_of)
     elif chosen.task == "sent":

@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 from livegauge.functions import payload
 from livegauge.operators import extract
 from livegauge.plans import ingest
+from livegauge.schemas import REJECTS
+from livegauge.sinks.tables import append_batch
+from livegauge.sources.tables import read_batches
+from livegauge.storage import new_path
 from queries import inputs
 from queries.inputs import AS_OF, sql
 from queries.registry import query
@@ -81,6 +85,19 @@ YOUTUBE_SQL = """
     SELECT c.name, p.online, p.link, TIMESTAMP '2024-01-31' AS datetime
     FROM channels c JOIN page_counts p ON p.url = c.link || '/live'
     WHERE c.platform = 'youtube' AND c.actual = 'yes' AND p.online IS NOT NULL AND p.link IS NOT NULL"""
+@query(sql("""SELECT p.name, p.url, p.link, p.count_text, TIMESTAMP '2024-01-31' AS datetime,
+                     CASE WHEN p.link IS NULL THEN 'no link' WHEN p.online IS NULL THEN 'no count' ELSE 'no channel' END AS reason
+              FROM page_counts p
+              LEFT JOIN (SELECT * FROM channels WHERE platform = 'youtube' AND actual = 'yes') c ON p.url = c.link || '/live'
+              WHERE p.link IS NULL OR p.online IS NULL OR c.link IS NULL""", "channels", "page_counts"))
+def quarantined_pages(spark, sf_dir):
+    """Read back from the table the page job writes beside the observations."""
+    channels, path = inputs.channels(spark, sf_dir), new_path(spark, "rejected")
+    fields = extract.page_fields(inputs.live_pages(spark, sf_dir))
+    append_batch(ingest.rejected(ingest.page_outcomes(channels, fields, AS_OF)), path, REJECTS, 0)
+    return read_batches(spark, path, REJECTS).select(*REJECTS.names)
+
+
 TWITCH_SQL = """
     SELECT c.name, r.online, c.link, TIMESTAMP '2024-01-31' AS datetime
     FROM (SELECT * FROM counts WHERE online > 0) r

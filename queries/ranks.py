@@ -6,7 +6,10 @@ from livegauge.operators import buckets
 from livegauge.operators.lookback import calendar_lookback
 from livegauge.operators.ordering import report_order, with_position
 from livegauge.plans import report
-from livegauge.schemas import DIFFS
+from livegauge.schemas import DIFFS, REPORTS
+from livegauge.sinks.tables import append_batch
+from livegauge.sources.tables import read_batches
+from livegauge.storage import new_path
 from queries import inputs
 from queries.aggregates import TEN_MINUTES
 from queries.inputs import AS_OF, DAILY, sql
@@ -28,10 +31,12 @@ def latest_batch(spark, sf_dir):
 @query(sql("""SELECT datetime, '(-100, ' || count(*) || ')' AS chat_message_id FROM diffs
               GROUP BY datetime ORDER BY datetime DESC LIMIT 1""", "diffs"))
 def latest_report(spark, sf_dir):
+    """Over the stored reports: one for every time of the differences, with the id its chat would have given it."""
     count = F.concat(F.lit("(-100, "), F.count("*").cast("string"), F.lit(")"))
-    return report.latest_report(
-        inputs.diffs(spark, sf_dir).groupBy("datetime").agg(count.alias("chat_message_id"))
-    )
+    sent = inputs.diffs(spark, sf_dir).groupBy("datetime").agg(count.alias("chat_message_id"), F.max("name").alias("message"))
+    path = new_path(spark, "reports")
+    append_batch(sent, path, REPORTS, batch_id=0)
+    return report.latest_report(read_batches(spark, path, REPORTS))
 
 
 @query(sql("SELECT * FROM newest_cells", "newest_cells"))
