@@ -33,9 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded: number of ids, their CRC-32 as little-endian 32-bit numbers, and the decoded text's SHA-256."""
-    pieces = sentencepiece.load_pieces()
-    encoded = sentencepiece.encode(table(spark, sf_dir, "documents"), pieces)
-    return sentencepiece.digests(encoded, pieces)
+    return sentencepiece.round_trip(table(spark, sf_dir, "documents"), sentencepiece.load_pieces())
 
 
 @query

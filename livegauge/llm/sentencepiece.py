@@ -11,8 +11,11 @@ a higher-order aggregate into one path:
 
 Characters without a piece become their UTF-8 bytes' pieces. A run of characters without a space that is longer than ``LATTICE_CHARS`` would
 be a lattice too large for a row, and in runs of spaces the given vocabulary's ranks are not in the order of merges; for such words the path is
-found where they stand, by ``PlainWords``. The encoded words are then brought to the documents:
-bundles of documents are stored once as compressed files, and each bundle is met by just the words it holds.
+found where they stand, by ``PlainWords``.
+
+The lattice holds every distinct word once. Documents are cut into words once and stored as bundles of word numbers; a bundle sends its distinct words, packed by the slot
+that a word's checksum falls into, and gets back, packed in the same order, their ids. A word that is in every bundle is thus one word
+in one lattice, and neither words nor ids travel as rows of their own.
 """
 
 from __future__ import annotations
@@ -40,7 +43,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 LATTICE_CHARS = 64  # words up to this length go through the lattice, whose fold holds a word's edges in one row
 BUNDLE_CHARS = 24 << 20  # text of one bundle; a longer text is a bundle of its own
-WORD_TASKS = 8  # tasks that a bundle's words are spread over: their edges are some hundred times as large
+SLOTS = 8  # slots for each bundle, over which its words are spread: their edges are some hundred times as large
+MOST_SLOTS = 100_000
 
 
 @dataclass(frozen=True)
@@ -207,11 +211,10 @@ _VITERBI_PATH = """
       named_struct('at', length(word), 'ids', CAST(array() AS array<int>)),
       (s, i) -> IF(i = s.at, named_struct('at', best[i].start, 'ids', array_append(s.ids, best[i].id)), s)).ids)
 """
-# Fold over edges by rank and start: ``cuts`` has a character for every place, 1 where two parts meet.
+# Fold over edges in their order, by rank and start: ``cuts`` has a character for every place, 1 where two parts meet.
 _MERGED = """
     aggregate(
-      array_sort(filter(edges, e -> e.stop - e.start > 1),
-                 (x, y) -> CASE WHEN x.rank <> y.rank THEN x.rank - y.rank WHEN x.start <> y.start THEN x.start - y.start ELSE x.stop - y.stop END),
+      filter(edges, e -> e.stop - e.start > 1),
       repeat('1', length(word) + 1),
       (cuts, e) -> IF(substr(cuts, e.start + 1, 1) = '1' AND substr(cuts, e.stop + 1, 1) = '1'
                       AND length(replace(substr(cuts, e.start + 2, e.stop - e.start - 1), '0', '')) = 1,
@@ -220,110 +223,194 @@ _MERGED = """
 """
 _MERGED_PATH = """
     transform(
-      array_sort(filter(edges, e -> substr(cuts, e.start + 1, 1) = '1' AND substr(cuts, e.stop + 1, 1) = '1'
-                                    AND instr(substr(cuts, e.start + 2, e.stop - e.start - 1), '1') = 0),
-                 (x, y) -> x.start - y.start),
+      sort_array(transform(filter(edges, e -> substr(cuts, e.start + 1, 1) = '1' AND substr(cuts, e.stop + 1, 1) = '1'
+                                              AND instr(substr(cuts, e.start + 2, e.stop - e.start - 1), '1') = 0),
+                           e -> named_struct('start', e.start, 'id', e.id))),
       e -> e.id)
 """
 
 
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int, unigram: bool) -> DataFrame:
-    """Each row of ``words`` (word, and other columns) with its ``ids``. Words must be distinct, and fit the lattice
+    """Each row of ``words`` (word, and other columns) with its ``ids``. Rows must be distinct, and words fit the lattice
     (``Words.fits_lattice``)."""
     others = [c for c in words.columns if c != "word"]
     edge = F.struct("start", "stop", "id", "score") if unigram else F.struct("rank", "start", "stop", "id")
-    grouped = lattice(words, pieces, longest).groupBy("word").agg(F.collect_list(edge).alias("edges"), *[F.first(c).alias(c) for c in others])
+    grouped = lattice(words, pieces, longest).groupBy(*others, "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     state, name, path = (_VITERBI, "best", _VITERBI_PATH) if unigram else (_MERGED, "cuts", _MERGED_PATH)
     return grouped.withColumn(name, F.expr(state)).select("word", F.expr(path).alias("ids"), *others)
 
 
-def _bundles(folder: str, limit: int):
-    """Stores documents in bundles, each a compressed Arrow file, and returns their numbers and paths."""
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _bundles(folder: str, limit: int, words_of: Words):
+    """Cuts documents into words and stores them in bundles: a compressed Arrow file of ids and word numbers, and one of the
+    bundle's words, each with its checksum and whether the lattice takes it. Returns the bundles' numbers and paths."""
+
+    def store(path: str, table: pa.Table) -> None:
+        with opened(path, "write") as file, pa.ipc.new_file(file, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, number, partition = [], 0, 0, TaskContext.get().partitionId()
+        ids, texts, size, number, partition = [], [], 0, 0, TaskContext.get().partitionId()
+        numbers, lengths = _Numbers(), []
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, size, number
-            path = own_name(folder, number, ".arrow")
-            table = pa.Table.from_batches(held)
-            with opened(path, "write") as file, pa.ipc.new_file(file, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
-                out.write_table(table)
-            held, size, number = [], 0, number + 1
+            nonlocal ids, texts, size, number, numbers, lengths
+            path, words = own_name(folder, number, ".arrow"), list(numbers)
+            offsets = np.concatenate([[0], np.cumsum([max(n, 0) for n in lengths], dtype=np.int64)])
+            flat = np.concatenate([np.zeros(0, np.int32), *texts])
+            coded = pa.LargeListArray.from_arrays(offsets, flat, mask=pa.array([n < 0 for n in lengths]))
+            store(path, pa.table({"id": pa.chunked_array(ids), "words": coded}))
+            store(
+                f"{path}.words",
+                pa.table({
+                    "word": pa.array(words, pa.large_string()),
+                    "sum": pa.array([zlib.crc32(w.encode()) for w in words], pa.uint32()),
+                    "fits": pa.array([words_of.fits_lattice(w) for w in words], pa.bool_()),
+                }),
+            )
+            ids, texts, size, numbers, lengths, number = [], [], 0, _Numbers(), [], number + 1
             return pa.record_batch({"bundle": pa.array([(partition << 32) + number], pa.int64()), "path": [path]})
 
         for batch in batches:
-            lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0))
             start = 0
-            for i, length in enumerate(lengths):
-                size += int(length)
+            for i in range(len(batch)):
+                text = batch.column(1)[i].as_py()
+                found = words_of.of(text)
+                texts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+                lengths.append(-1 if text is None else len(found))
+                size += len(text or "")
                 if size >= limit:
-                    held.append(batch.slice(start, i + 1 - start))
+                    ids.append(batch.column(0).slice(start, i + 1 - start))
                     start = i + 1
                     yield flush()
             if start < len(batch):
-                held.append(batch.slice(start))
-        if held:
+                ids.append(batch.column(0).slice(start))
+        if ids:
             yield flush()
 
     return run
 
 
-def _read_bundle(path: str) -> pd.DataFrame:
+def _read(path: str) -> pa.Table:
     with opened(path, "read") as file:
-        return pa.ipc.open_file(file).read_all().to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
+        return pa.ipc.open_file(file).read_all()
 
 
-def encode(documents: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, ids (array<int>), as SentencePiece gives them for the whole text. A null text has null ids, an
-    empty one none. Repeated rows give repeated rows; an empty table gives none. Other columns are not read."""
+def _in_slots(known: pa.Table, slots: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, slots) of the bundle's words that the lattice takes, in the order in which they are sent and their ids come back."""
+    numbers = np.flatnonzero(known["fits"].to_numpy())
+    slot = known["sum"].to_numpy()[numbers].astype(np.int64) % slots
+    order = np.argsort(slot, kind="stable")
+    return numbers[order], slot[order]
+
+
+def _send(slots: int):
+    """The words of each bundle, packed by slot. A word that the lattice takes holds no line break."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for bundle, path in zip(batch["bundle"], batch["path"], strict=True):
+                known = _read(f"{path}.words")
+                numbers, slot = _in_slots(known, slots)
+                words = known["word"].take(pa.array(numbers)).to_pylist()
+                starts = np.flatnonzero(np.diff(slot, prepend=-1))
+                packed = ["\n".join(words[a:b]) for a, b in zip(starts, [*starts[1:], len(words)], strict=True)]
+                yield pd.DataFrame({"slot": slot[starts], "bundle": bundle, "words": packed})
+
+    return run
+
+
+def _answer(encoded: pd.DataFrame, uses: pd.DataFrame) -> pd.DataFrame:
+    """The ids of the words that each bundle sent to a slot, in their order: numbers of ids, then the ids, compressed."""
+    place = {w: i for i, w in enumerate(encoded["word"])}
+    ids = [np.asarray(x, "<u4") for x in encoded["ids"]]
+    lengths = np.array([len(x) for x in ids], "<u4")
+    flat, starts = np.concatenate([np.zeros(0, "<u4"), *ids]), np.cumsum(lengths, dtype=np.int64) - lengths
+    packed = []
+    for words in uses["words"]:
+        try:
+            at = np.array([place[w] for w in words.split("\n")], np.int64)
+        except KeyError as lost:
+            raise RuntimeError(f"the lattice did not deliver the word {lost}") from None
+        chosen = flat[_ranges(starts[at], lengths[at])]
+        packed.append(zlib.compress(lengths[at].astype("u1").tobytes() + chosen.tobytes(), 1))
+    return pd.DataFrame({"bundle": uses["bundle"], "slot": uses["slot"], "ids": packed})
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places from each start on, as many as its length."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
+def _encoded(documents: DataFrame, pieces: Pieces, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: id and what ``finish`` makes of the ids of all texts of a bundle (a list of arrays, None for a null text)."""
     spark = documents.sparkSession
     kind = documents.schema[id_col].dataType.simpleString()
-    folder = new_path(spark, "sentencepiece")
+    folder, words_of = new_path(spark, "sentencepiece"), Words(pieces)
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    bundles = Scratch(spark, "bundles").keep(rows.mapInArrow(_bundles(folder, BUNDLE_CHARS), "bundle long, path string"))
+    bundles = Scratch(spark, "bundles").keep(rows.mapInArrow(_bundles(folder, BUNDLE_CHARS, words_of), "bundle long, path string"))
     count = bundles.count()
-    words_of = Words(pieces)
-
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for bundle, path in zip(batch["bundle"], batch["path"], strict=True):
-                found: set[str] = set()
-                for text in _read_bundle(path)["text"]:
-                    if isinstance(text, str):
-                        found.update(words_of.of(text))
-                yield pd.DataFrame({"word": [w for w in found if words_of.fits_lattice(w)], "bundle": bundle})
+    slots = max(1, min(SLOTS * count, MOST_SLOTS))
 
     # Numbers of partitions that adaptive execution leaves as they are: what it sees is a small part of the work.
-    uses = bundles.repartition(max(1, min(count, 10_000))).mapInPandas(words, "word string, bundle long")
-    spread = uses.repartition(max(1, min(WORD_TASKS * count, 100_000)), "word")
-    distinct = spread.groupBy("word").agg(F.collect_list("bundle").alias("bundles"))
+    sent = bundles.repartition(max(1, min(count, 10_000))).mapInPandas(_send(slots), "slot long, bundle long, words string")
+    sent = sent.repartition(slots, "slot")
+    # The least bundle is asked for so that both readers of what was sent want the same columns, and share one shuffle.
+    words = sent.select(F.col("slot").alias("at"), "bundle", F.explode(F.split("words", "\n")).alias("word"))
+    distinct = words.groupBy("at", "word").agg(F.min("bundle").alias("bundle")).where("bundle IS NOT NULL").select("at", "word")
     encoded = encode_words(distinct, pieces.table(spark), pieces.longest, pieces.unigram)
-    delivered = encoded.select("word", "ids", F.explode("bundles").alias("bundle"), F.lit(None).cast("string").alias("path"))
-    # One row more for each bundle, with its path; a bundle without a known word still has its documents.
-    none = F.lit(None)
-    delivered = delivered.union(bundles.select(none.cast("string").alias("word"), none.cast("array<int>").alias("ids"), "bundle", "path"))
+    answers = encoded.groupBy("at").cogroup(sent.groupBy("slot")).applyInPandas(_answer, "bundle long, slot long, ids binary")
+    # One row more for each bundle, with its path; a bundle without a word for the lattice still has its documents.
+    answers = answers.withColumn("path", F.lit(None).cast("string"))
+    asked = bundles.select("bundle", F.lit(-1).cast("long").alias("slot"), F.lit(None).cast("binary").alias("ids"), "path")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        ids = {w: np.asarray(i, "<i4").tobytes() for w, i in zip(group["word"], group["ids"], strict=True) if isinstance(w, str)}
-
-        def encoded_word(word: str) -> bytes:
-            found = ids.get(word)
-            if found is None:
-                if words_of.fits_lattice(word):
-                    raise RuntimeError(f"the lattice did not deliver the word {word!r}")
-                other = words_of.unknown_ids(word) if words_of.is_unknown(word) else plain_words.ids(word)
-                found = ids[word] = np.array(other, "<i4").tobytes()
-            return found
-
-        plain_words, table = PlainWords(pieces), _read_bundle(group["path"].dropna().iloc[0])
-        out = [
-            np.frombuffer(b"".join([encoded_word(w) for w in words_of.of(text)]), "<i4") if isinstance(text, str) else None
-            for text in table["text"]
+        group = group.sort_values("slot")
+        path = group["path"].iloc[0]
+        known, table, plain_words = _read(f"{path}.words"), _read(path), PlainWords(pieces)
+        numbers, slot = _in_slots(known, slots)
+        if set(group["slot"].iloc[1:]) != set(slot.tolist()):
+            raise RuntimeError("the lattice did not deliver all words of a bundle")
+        counts = np.bincount(np.searchsorted(group["slot"].to_numpy()[1:], slot), minlength=len(group) - 1)
+        lengths, ids = [np.zeros(0, "u1")], [np.zeros(0, "<u4")]
+        for data, n in zip(group["ids"].iloc[1:], counts, strict=True):
+            data = zlib.decompress(data)
+            lengths.append(np.frombuffer(data, "u1", n))
+            ids.append(np.frombuffer(data, "<u4", offset=n))
+        others = np.flatnonzero(~known["fits"].to_numpy())
+        plain = [
+            np.array(words_of.unknown_ids(w) if words_of.is_unknown(w) else plain_words.ids(w), "<u4")
+            for w in known["word"].take(pa.array(others)).to_pylist()
         ]
-        return pd.DataFrame({"id": table["id"], "ids": out})
+        size = np.zeros(len(known), np.int64)
+        size[numbers], size[others] = np.concatenate(lengths), [len(x) for x in plain]
+        flat, first = np.concatenate([*ids, *plain]), np.zeros(len(known), np.int64)
+        arrived = np.concatenate([numbers, others])
+        first[arrived] = np.cumsum(size[arrived]) - size[arrived]
+        of_texts = []
+        for codes in table["words"]:
+            codes = None if not codes.is_valid else codes.values.to_numpy(zero_copy_only=False)
+            of_texts.append(None if codes is None else flat[_ranges(first[codes], size[codes])])
+        ids_of = table["id"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
+        return pd.DataFrame({"id": ids_of, **finish(of_texts)})
+
+    found = answers.unionByName(asked).groupBy("bundle").applyInPandas(run, f"id {kind}, {schema}")
+    return found.withColumnRenamed("id", id_col)
 
-    return delivered.groupBy("bundle").applyInPandas(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+
+def encode(documents: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, ids (array<int>), as SentencePiece gives them for the whole text. A null text has null ids, an
+    empty one none. Repeated rows give repeated rows; an empty table gives none. Other columns are not read."""
+    finish = lambda texts: {"ids": [None if ids is None else ids.astype(np.int32) for ids in texts]}
+    return _encoded(documents, pieces, finish, "ids array<int>", id_col, text_col)
 
 
 def decoder(pieces: Pieces) -> dict[int, bytes]:
@@ -351,20 +438,17 @@ def decode(encoded: DataFrame, pieces: Pieces, id_col: str = "doc_id", ids_col:
     return rows.mapInPandas(run, f"id {kind}, text string").withColumnRenamed("id", id_col)
 
 
-def digests(encoded: DataFrame, pieces: Pieces, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """One row per input row: id, n_ids, ids_crc32 (of the ids as little-endian 32-bit numbers, unsigned), decoded_sha256; the ids are
-    decoded in the same pass. All null where the ids are."""
-    kind = encoded.schema[id_col].dataType.simpleString()
+def round_trip(documents: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_ids, ids_crc32 (of the ids as little-endian 32-bit numbers, unsigned), decoded_sha256. Texts are encoded as by
+    :func:`encode`, and the ids decoded where they arise as by :func:`decode`. All null for a null text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def finish(texts: list) -> dict:
         known = decoder(pieces)
-        for batch in batches:
-            rows = [
-                (row, *((None,) * 3 if ids is None else (len(ids), zlib.crc32(np.asarray(ids, "<i4").tobytes()), hashlib.sha256(text_of(ids, known).encode()).hexdigest())))
-                for row, ids in zip(batch["id"], batch["ids"], strict=True)
-            ]
-            out = pd.DataFrame(rows, columns=["id", "n_ids", "ids_crc32", "decoded_sha256"])
-            yield out.astype({"n_ids": "Int64", "ids_crc32": "Int64"})
+        rows = [
+            (None,) * 3 if ids is None else (len(ids), zlib.crc32(ids.astype("<u4").tobytes()), hashlib.sha256(text_of(ids.tolist(), known).encode()).hexdigest())
+            for ids in texts
+        ]
+        n_ids, sums, shas = zip(*rows, strict=True)
+        return {"n_ids": pd.array(n_ids, "Int64"), "ids_crc32": pd.array(sums, "Int64"), "decoded_sha256": list(shas)}
 
-    rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return rows.mapInPandas(run, f"id {kind}, n_ids long, ids_crc32 long, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return _encoded(documents, pieces, finish, "n_ids long, ids_crc32 long, decoded_sha256 string", id_col, text_col)
