@@ -31,6 +31,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +73,27 @@ class Pieces:
     def characters(self) -> str:
         return "".join(sorted({t for t in self.texts if len(t) == 1} - {SPACE}))
 
+    def classes(self) -> list[str]:
+        """The characters in classes that no piece mixes, the largest first; the last one holds those that stand beside no other character in any piece."""
+        up = {c: c for c in self.characters}
+
+        def of(c: str) -> str:
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        paired = set()
+        for text in self.texts:
+            for a, b in zip(text, text[1:]):
+                if SPACE not in (a, b):
+                    paired |= {a, b}
+                    up[of(a)] = of(b)
+        found: dict[str, list[str]] = {}
+        for c in self.characters:
+            found.setdefault(of(c) if c in paired else "", []).append(c)
+        alone = "".join(found.pop("", []))
+        return [*sorted(map("".join, found.values()), key=lambda cs: (-len(cs), cs)), alone]
+
     def unordered(self) -> tuple[str, ...]:
         """The pieces of a byte-pair vocabulary that no two pieces of earlier rank make up, without those that contain another one. Rank order is not
         the order of merges in a word that holds one."""
@@ -107,13 +129,15 @@ def load_pieces(path: str | None = None) -> Pieces:
 
 
 class Words:
-    """Cuts escaped text into words: spaces and the known characters behind them, or one unknown character."""
+    """Cuts escaped text into words: spaces and the known characters of one class behind them, or one unknown character. No piece spans two words."""
 
     def __init__(self, pieces: Pieces):
-        known = re.escape(pieces.characters)
-        self._word = re.compile(f"{SPACE}*[{known}]+|{SPACE}+|[^{SPACE}]")
+        *classes, alone = pieces.classes()
+        known = "|".join([*(f"[{re.escape(c)}]+" for c in classes), *([f"[{re.escape(alone)}]"] if alone else [])])
+        self._word = re.compile(f"{SPACE}*(?:{known})|{SPACE}+|[^{SPACE}]")
         self._known = frozenset(pieces.characters + SPACE)
-        self._bytes, self._unknown, self._unordered = pieces.byte_ids, pieces.unknown, pieces.unordered()
+        self._bytes, self._unknown = pieces.byte_ids, pieces.unknown
+        self._unordered = re.compile("|".join(map(re.escape, pieces.unordered())) or "(?!)")
 
     def of(self, text: str | None) -> list[str]:
         """The words of a whole text; none for an empty one."""
@@ -123,7 +147,7 @@ class Words:
         return len(word) == 1 and word not in self._known
 
     def fits_lattice(self, word: str) -> bool:
-        return len(word) <= LATTICE_CHARS and not self.is_unknown(word) and not any(t in word for t in self._unordered)
+        return len(word) <= LATTICE_CHARS and not self.is_unknown(word) and not self._unordered.search(word)
 
     def unknown_ids(self, word: str) -> list[int]:
         return [self._bytes[b] for b in word.encode()] if self._bytes else [self._unknown]
@@ -249,8 +273,8 @@ class _Numbers(dict):
 
 
 def _bundles(folder: str, limit: int, words_of: Words):
-    """Cuts documents into words and stores them in bundles: a compressed Arrow file of ids and word numbers, and one of the
-    bundle's words, each with its checksum and whether the lattice takes it. Returns the bundles' numbers and paths."""
+    """Cuts documents into words and stores them in bundles: files of the documents' ids and numbers of words, of the numbers of these words, and
+    of the bundle's different words, each with its checksum and whether the lattice takes it. Returns the bundles' numbers and paths."""
 
     def store(path: str, table: pa.Table) -> None:
         with opened(path, "write") as file, pa.ipc.new_file(file, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -263,10 +287,9 @@ def _bundles(folder: str, limit: int, words_of: Words):
         def flush() -> pa.RecordBatch:
             nonlocal ids, texts, size, number, numbers, lengths
             path, words = own_name(folder, number, ".arrow"), list(numbers)
-            offsets = np.concatenate([[0], np.cumsum([max(n, 0) for n in lengths], dtype=np.int64)])
-            flat = np.concatenate([np.zeros(0, np.int32), *texts])
-            coded = pa.LargeListArray.from_arrays(offsets, flat, mask=pa.array([n < 0 for n in lengths]))
-            store(path, pa.table({"id": pa.chunked_array(ids), "words": coded}))
+            store(path, pa.table({"id": pa.chunked_array(ids), "n_words": pa.array(lengths, pa.int64(), mask=np.array(lengths) < 0)}))
+            with opened(f"{path}.numbers", "write") as file:
+                file.write(_squeezed(np.concatenate([np.zeros(0, "<u4"), *texts])))
             store(
                 f"{path}.words",
                 pa.table({
@@ -283,7 +306,7 @@ def _bundles(folder: str, limit: int, words_of: Words):
             for i in range(len(batch)):
                 text = batch.column(1)[i].as_py()
                 found = words_of.of(text)
-                texts.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
+                texts.append(np.fromiter(map(numbers.__getitem__, found), "<u4", len(found)))
                 lengths.append(-1 if text is None else len(found))
                 size += len(text or "")
                 if size >= limit:
@@ -298,6 +321,16 @@ def _bundles(folder: str, limit: int, words_of: Words):
     return run
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Compressed 32-bit numbers: all their lowest bytes first, then the next ones, which are mostly alike."""
+    return zstandard.ZstdCompressor(level=3).compress(numbers.astype("<u4").view("u1").reshape(-1, 4).T.tobytes())
+
+
+def _expanded(data: bytes) -> np.ndarray:
+    plain = zstandard.ZstdDecompressor().decompress(data)
+    return np.ascontiguousarray(np.frombuffer(plain, "u1").reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def _read(path: str) -> pa.Table:
     with opened(path, "read") as file:
         return pa.ipc.open_file(file).read_all()
@@ -328,7 +361,7 @@ def _send(slots: int):
 
 
 def _answer(encoded: pd.DataFrame, uses: pd.DataFrame) -> pd.DataFrame:
-    """The ids of the words that each bundle sent to a slot, in their order: numbers of ids, then the ids, compressed."""
+    """The ids of the words that each bundle sent to a slot, in their order: for each word their number, then the ids of all."""
     place = {w: i for i, w in enumerate(encoded["word"])}
     ids = [np.asarray(x, "<u4") for x in encoded["ids"]]
     lengths = np.array([len(x) for x in ids], "<u4")
@@ -340,7 +373,7 @@ def _answer(encoded: pd.DataFrame, uses: pd.DataFrame) -> pd.DataFrame:
         except KeyError as lost:
             raise RuntimeError(f"the lattice did not deliver the word {lost}") from None
         chosen = flat[_ranges(starts[at], lengths[at])]
-        packed.append(zlib.compress(lengths[at].astype("u1").tobytes() + chosen.tobytes(), 1))
+        packed.append(_squeezed(np.concatenate([lengths[at], chosen])))
     return pd.DataFrame({"bundle": uses["bundle"], "slot": uses["slot"], "ids": packed})
 
 
@@ -380,11 +413,11 @@ def _encoded(documents: DataFrame, pieces: Pieces, finish, schema: str, id_col:
         if set(group["slot"].iloc[1:]) != set(slot.tolist()):
             raise RuntimeError("the lattice did not deliver all words of a bundle")
         counts = np.bincount(np.searchsorted(group["slot"].to_numpy()[1:], slot), minlength=len(group) - 1)
-        lengths, ids = [np.zeros(0, "u1")], [np.zeros(0, "<u4")]
+        lengths, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
         for data, n in zip(group["ids"].iloc[1:], counts, strict=True):
-            data = zlib.decompress(data)
-            lengths.append(np.frombuffer(data, "u1", n))
-            ids.append(np.frombuffer(data, "<u4", offset=n))
+            answer = _expanded(data)
+            lengths.append(answer[:n])
+            ids.append(answer[n:])
         others = np.flatnonzero(~known["fits"].to_numpy())
         plain = [
             np.array(words_of.unknown_ids(w) if words_of.is_unknown(w) else plain_words.ids(w), "<u4")
@@ -395,10 +428,13 @@ def _encoded(documents: DataFrame, pieces: Pieces, finish, schema: str, id_col:
         flat, first = np.concatenate([*ids, *plain]), np.zeros(len(known), np.int64)
         arrived = np.concatenate([numbers, others])
         first[arrived] = np.cumsum(size[arrived]) - size[arrived]
-        of_texts = []
-        for codes in table["words"]:
-            codes = None if not codes.is_valid else codes.values.to_numpy(zero_copy_only=False)
-            of_texts.append(None if codes is None else flat[_ranges(first[codes], size[codes])])
+        with opened(f"{path}.numbers", "read") as file:
+            codes = _expanded(file.read())
+        of_texts, start = [], 0
+        for n in table["n_words"].to_pylist():
+            own = codes[start : start + (n or 0)]
+            start += len(own)
+            of_texts.append(None if n is None else flat[_ranges(first[own], size[own])])
         ids_of = table["id"].to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}.get)
         return pd.DataFrame({"id": ids_of, **finish(of_texts)})
 

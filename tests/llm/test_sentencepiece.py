@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece as library
@@ -105,3 +106,18 @@ def test_a_word_that_the_lattice_loses_is_an_error(spark, pieces, monkeypatch):
     monkeypatch.setattr(module, "encode_words", lambda *given: whole(*given).where("NOT contains(word, 'lost')"))
     with pytest.raises(Exception, match="did not deliver the word"):
         encode(df, pieces).collect()
+
+
+def test_no_piece_spans_two_words(pieces):
+    *classes, alone = pieces.classes()
+    assert 1 <= len(classes) < 60 and sorted("".join([*classes, alone])) == list(pieces.characters)
+    of = {c: n for n, cs in enumerate(classes) for c in cs} | {c: (c,) for c in alone}
+    for text in pieces.texts:
+        assert len({of[c] for c in text if c != SPACE}) <= 1
+    found = module.Words(pieces).of("don't x,y  z\n3.14 (ok)")
+    assert found == [f"{SPACE}don", "'", "t", f"{SPACE}x", ",", "y", f"{SPACE}{SPACE}z", "\n", "3", ".", "1", "4", f"{SPACE}(", "ok", ")"]
+
+
+def test_squeezed_numbers():
+    for numbers in ([], [0], [1, 2**32 - 1, 7], list(range(1000))):
+        assert module._expanded(module._squeezed(np.array(numbers, "<u4"))).tolist() == numbers
