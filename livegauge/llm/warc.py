@@ -40,7 +40,9 @@ def record(page_id, url: str | None, payload: bytes, refers_to=None, date: str =
     """One WARC 1.1 record; a revisit if ``refers_to`` is given, with the payload left out."""
     sha1 = hashlib.sha1(payload).digest()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    name = uuid.uuid5(_SPACE, f"page {page_id}" if page_id is not None else f"row {unique}")
+    # What a revisit may refer to is named by page and payload, all else by its row, so that rows which repeat an id have names of their own.
+    own = f"page {page_id} {sha1.hex()}" if refers_to is None and page_id is not None else f"row {unique} {page_id}"
+    name = uuid.uuid5(_SPACE, own)
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
@@ -56,7 +58,7 @@ def record(page_id, url: str | None, payload: bytes, refers_to=None, date: str =
     if refers_to is not None:
         head += [
             f"WARC-Profile: {PROFILE}",
-            f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(_SPACE, f'page {refers_to}')}>",
+            f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(_SPACE, f'page {refers_to} {sha1.hex()}')}>",
             f"X-Refers-To-Page-ID: {refers_to}",
         ]
     block = http if refers_to is not None else http + payload
@@ -214,7 +216,9 @@ def read_archive(index: DataFrame) -> DataFrame:
                 )
             yield pd.DataFrame(rows, columns=["id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
 
-    ordered = index.repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
+    # As many ranges as bundles: adaptive execution sees the small index only, and would read all bundles in one task.
+    bundles = index.select("bundle").distinct().count()
+    ordered = index.repartitionByRange(max(1, bundles), "bundle").sortWithinPartitions("bundle", "frame", "offset")
     found = ordered.select("bundle", "frame", "offset").mapInPandas(
         run, "id string, url string, record_type string, refers_to string, payload_bytes long, payload_digest string, payload string"
     )

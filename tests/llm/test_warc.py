@@ -4,6 +4,7 @@ import pytest
 import zstandard
 from livegauge.llm import warc
 from livegauge.llm.files import opened
+from pyspark.sql import functions as F
 
 from tests.llm.data import SMALL, clash, grouped, rows
 
@@ -45,6 +46,26 @@ def test_awkward_rows(spark):
     assert {r["id"]: r["url"] for r in have}[3] == "http://x/a%20b%0D%0AX:%20y"
 
 
+def test_names_and_references_of_records(spark):
+    """Rows that repeat an id with other payloads have names of their own, and a revisit names the record it refers to."""
+    same = "<p>copy</p>" * 200
+    df = spark.createDataFrame([(1, "u", same), (2, "u", same), (2, "u", "a"), (2, "u", "b"), (1, "u", "c"), (1, "u", same)], "page_id long, url string, html string")
+    index, _ = read(spark, df)
+    heads = [warc.parse(warc.Bundle(r["bundle"]).frame(r["frame"]), r["offset"])[0] for r in rows(index)]
+    names = [h["WARC-Record-ID"] for h in heads]
+    assert len(set(names)) == 6
+    target = {h["WARC-Record-ID"] for h in heads if h["X-Page-ID"] == "2" and "copy" not in h and h["WARC-Type"] == "response"}
+    assert {h["WARC-Refers-To"] for h in heads if h["WARC-Type"] == "revisit"} <= target and sum(h["WARC-Type"] == "revisit" for h in heads) == 2
+
+
+def test_bundles_are_read_by_tasks_of_their_own(spark):
+    df = spark.read.parquet(f"{SMALL}/pages.parquet").repartition(9)
+    index = warc.write_archive(df, warc.archive_folder(spark))
+    bundles = index.select("bundle").distinct().count()
+    found = warc.read_archive(index).select("id", F.spark_partition_id().alias("task"))
+    assert found.count() == df.count() and 1 < bundles <= 9 and found.select("task").distinct().count() == bundles
+
+
 def test_given_pages_round_trip(spark):
     df = spark.read.parquet(f"{SMALL}/pages.parquet")
     index, have = read(spark, df)
