@@ -4,11 +4,12 @@ Class j holds pieces longer than capacity / (j + 1) and at most capacity / j tok
 of them. Which pieces share a sequence follows from counting alone, so every worker fills its classes by
 itself: a piece's number within its class is its number in its partition plus the pieces of the partitions before.
 A document is cut so that its pieces nearly fill their class. The fewer than j pieces that are left of each class, a
-number that does not depend on the corpus, are packed together at the end.
+number that does not depend on the corpus, are packed at the end, some thousand together.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -26,11 +27,51 @@ from pyspark.sql import functions as F
 from livegauge.llm.common import Scratch, slices
 
 CAPACITY = 4096
+TOGETHER = 2048  # pieces left of their classes that are packed together, at least, and at most so many more than one class may leave
 SLACK = 0.02  # share of a sequence that a piece's class may leave empty before the piece is cut
 END = 2  # id after every document
 VOCABULARY = "word_bpe_49k.json"
 
 
+# The steps before the model of the tokenizer file that may be cut into words, as it states them.
+STEPS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+
+
+def by_words(content: str) -> bool:
+    """Whether a tokenizer file's ids of a text are those of its words in turn: its steps are ``STEPS``, its model is plain byte-pair, and its added tokens hold ``<|`` and
+    no white space and are taken as they stand."""
+    file = json.loads(content)
+    model = file["model"]
+    plain = model["type"] == "BPE" and not any(
+        model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+    )
+    added = all(
+        "<|" in t["content"] and not re.search(r"\s", t["content"]) and not any(t[k] for k in ("lstrip", "rstrip", "normalized", "single_word"))
+        for t in file["added_tokens"]
+    )
+    return plain and added and all(file.get(k) == v for k, v in STEPS.items())
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes, word by word.
 
@@ -38,6 +79,8 @@ class WordEncoder:
     recur, so each is encoded once. The memory for them is bounded. Of words in ASCII and Latin-1 letters, which normalization only
     lower-cases, the parts that the tokenizer's pattern splits off go to its model at once; they recur even more often, and
     the tokenizer's steps before the model take most of its time. Other words go through the whole tokenizer.
+
+    All that holds for tokenizer files with the steps ``STEPS`` alone. With any other file whole texts go through the tokenizer.
     """
 
     REMEMBERED, LONGEST = 400_000, 64
@@ -51,7 +94,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.tokenizer, self.by_words = Tokenizer.from_str(vocabulary), by_words(vocabulary)
         self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -75,6 +118,8 @@ class WordEncoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None) -> bytes:
+        if not self.by_words:
+            return array("I", self.tokenizer.encode(text or "", add_special_tokens=False).ids).tobytes()
         words = (text or "").encode().split()
         known = self.known
         new = [w for w in set(words) if w not in known]
@@ -141,7 +186,7 @@ def _last_fit(capacity: int):
     """Packs the pieces left of all classes, longest first, each into the fullest sequence it fits."""
 
     def run(left: pd.DataFrame) -> pd.DataFrame:
-        left = left.drop(columns="all").sort_values(["length", "id", "start", "ids_crc32"], ascending=[False, True, True, True])
+        left = left.sort_values(["length", "id", "start", "ids_crc32"], ascending=[False, True, True, True])
         room: dict[int, list[int]] = {}  # sequences by free space
         place, offset, opened = [], [], 0
         for length in left["length"]:
@@ -175,31 +220,40 @@ def pack(documents: DataFrame, words: str | None = None, capacity: int = CAPACIT
     held = held.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0)))
     # One row per class: fewer than capacity of them, in practice some hundred.
     totals = sorted((r["class"], r["total"]) for r in held.groupBy("class").agg(F.sum("held").alias("total")).collect())
-    classes, base = [], 0
+    classes, base, party, together = [], 0, 0, 0
     for j, total in totals:
-        classes.append(f"({j}, {base}L, {total // j}L)")
+        classes.append(f"({j}, {base}L, {total // j}L, {party})")
         base += total // j
+        together += total % j
+        if together >= TOGETHER:
+            party, together = party + 1, 0
     if not classes:
-        classes = ["(0, 0L, 0L)"]
-    full = documents.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(classes)} AS v(class, base, bins)")
+        classes = ["(0, 0L, 0L, 0)"]
+    full = documents.sparkSession.sql(f"SELECT * FROM VALUES {', '.join(classes)} AS v(class, base, bins, party)")
     numbered = (
         pieces.join(held.select("class", "worker", "before"), ["class", "worker"])
         .join(F.broadcast(full), "class")
         .withColumn("number", F.col("before") + F.col("nth"))
         .withColumn("bin", F.expr("number div class"))
     )
-    numbered = scratch.keep(numbered.select("id", "start", "length", "ids_crc32", "doc_tokens", "class", "number", "bin", "base", "bins"))
+    numbered = scratch.keep(numbered.select("id", "start", "length", "ids_crc32", "doc_tokens", "class", "number", "bin", "base", "bins", "party"))
     columns = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     earlier = Window.partitionBy("sequence_id").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     whole = numbered.where("bin < bins").withColumn("sequence_id", F.col("base") + F.col("bin"))
     whole = whole.withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
-    left = numbered.where("bin >= bins").select("id", "start", "length", "ids_crc32", "doc_tokens")
+    left = numbered.where("bin >= bins").select("id", "start", "length", "ids_crc32", "doc_tokens", "party")
     kind = dict(left.dtypes)["id"]
-    left = left.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(
-        _last_fit(capacity),
-        f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, bin long, offset long",
+    left = scratch.keep(
+        left.groupBy("party").applyInPandas(
+            _last_fit(capacity),
+            f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, party int, bin long, offset long",
+        )
     )
-    left = left.withColumn("sequence_id", F.col("bin") + F.lit(base))
+    # One row per party; together they hold fewer pieces than all classes can leave.
+    sizes = left.groupBy("party").agg((F.max("bin") + 1).alias("size"))
+    ahead = F.coalesce(F.sum("size").over(Window.orderBy("party").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(F.col("party").alias("of"), (ahead + F.lit(base)).alias("first"))
+    left = left.join(F.broadcast(sizes), F.col("party") == F.col("of")).withColumn("sequence_id", F.col("first") + F.col("bin"))
     return whole.select(*columns).union(left.select(*columns)).withColumnRenamed("id", id_col)
 
 

@@ -2,15 +2,17 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
-from livegauge.llm.packing import WordEncoder, cut, pack, sequences, vocabulary
+from livegauge.llm import packing
+from livegauge.llm.packing import WordEncoder, by_words, cut, pack, sequences, vocabulary
 from tokenizers import Tokenizer
 
 from tests.llm.data import SMALL, documents, grouped, rows
 
 
-def whole_ids(texts):
-    tokenizer = Tokenizer.from_str(vocabulary())
+def whole_ids(texts, content=None):
+    tokenizer = Tokenizer.from_str(content or vocabulary())
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
 
 
@@ -55,6 +57,23 @@ def test_given_documents_have_little_padding(spark):
     assert tokens / (4096 * count) > 0.97
 
 
+@pytest.mark.parametrize("together", [1, 5, 60])
+def test_left_pieces_in_several_parties(spark, monkeypatch, together):
+    monkeypatch.setattr(packing, "TOGETHER", together)
+    check(documents(spark, [(i, "some words of a text " * (1 + i % 37)) for i in range(150)]), 512)
+
+
+def test_other_tokenizers_give_their_own_ids(spark):
+    content = vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    assert by_words(vocabulary()) and not by_words(content)
+    found = [(1, "It's  we'll x\n\ny"), (2, None), (3, "é 漢字 12"), (4, "word " * 3000)]
+    packed = rows(pack(documents(spark, found), words=content))
+    for (i, _), ids in zip(found, whole_ids([t for _, t in found], content), strict=True):
+        own = sorted((r["start"], r["length"], r["ids_crc32"]) for r in packed if r["doc_id"] == i)
+        assert sum(n for _, n, _ in own) == len(ids)
+        assert all(zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes()) == c for a, n, c in own)
+
+
 def test_no_rows(spark):
     assert pack(documents(spark, [])).count() == 0
 
