@@ -23,7 +23,8 @@ from livegauge.llm.common import slices
 
 DIMENSIONS = 1 << 12
 SAMPLE_PER_LANGUAGE = 800  # labelled rows that training reads, at most
-FLAT = 40  # families of one language that duel with each other; more are put into groups
+SURE_BY = 200  # learned texts at which the least score of a text in some language counts half
+UNDECIDED = 0.3  # a text that a family's and a language's machines both leave undecided scores about a quarter; no text above this is taken for one of no language
 SLICE = 1 << 20  # bytes of one text taken at a time, so that memory does not follow a text's length
 
 # Families of ISO 639-1 codes. A code not listed is a family of its own.
@@ -131,9 +132,10 @@ class LanguageModel:
     machines: list[tuple[str, str, str]]
     weights: np.ndarray
     bias: np.ndarray
+    floor: float = 0.0  # texts that score less are in none of the languages, see ``calibrated``
 
     def _best(self, level: str, names: list[str], margin: np.ndarray) -> tuple[list[str], np.ndarray]:
-        """By votes, then by summed margins. The score is the least certain duel of the winner."""
+        """By votes, then by summed margins, then the first by name. The score is the least certain duel of the winner."""
         n = len(margin)
         votes, total, least = (np.zeros((n, len(names))) for _ in range(3))
         least += 1
@@ -156,39 +158,69 @@ class LanguageModel:
         usable = [i for i, t in enumerate(texts) if has_letter(t)] if self.families else []
         if not usable:
             return names, score
-        margin = margins([texts[i] for i in usable], self.weights, self.bias)
+        langs, sure = self.decide(margins([texts[i] for i in usable], self.weights, self.bias))
+        for i, lang, s in zip(usable, langs, sure, strict=True):
+            names[i], score[i] = lang, s
+        return names, score
+
+    def decide(self, margin: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """(language, score) for each row of margins: the family first, then the language within it; the score is the product of both."""
         family, sure = self._best("", sorted(self.families), margin)
         family = np.array(family, dtype=object)
+        names, score = [""] * len(margin), np.zeros(len(margin))
         for name, members in self.families.items():
             at = np.flatnonzero(family == name)
             if len(at):
                 langs, inner = self._best(name, members, margin[at])
                 for k, lang, s in zip(at, langs, inner * sure[at], strict=True):
-                    names[usable[k]], score[usable[k]] = lang, s
+                    names[k], score[k] = lang, s
         return names, score
 
 
-def families_of(langs: set[str]) -> dict[str, list[str]]:
-    """The families and their languages. Languages of no listed family are families of their own; of more than ``FLAT``, about as many
-    as fit the square root of their number share a family, in order of name, so that the number of duels stays far below all pairs."""
+def calibrated(scores: np.ndarray) -> float:
+    """The score below which a text is in none of the learned languages: a little less than the smallest that any learned text gets, the less the
+    fewer they are, for the smallest of few says little, and ``UNDECIDED`` at most."""
+    return min(UNDECIDED, 0.95 * float(scores.min()) * len(scores) / (len(scores) + SURE_BY)) if len(scores) else 0.0
+
+
+def families_of(means: dict[str, np.ndarray]) -> dict[str, list[str]]:
+    """The families and their languages, for languages with their mean vectors.
+
+    Languages of no listed family are put into groups by the closeness of their vectors, about as many as the square root of their number, so that the number of duels stays
+    far below all pairs. The first of each group is the language least like those before it; every other one joins the group whose
+    first it is most like, of those that are not twice as large as the average yet.
+    """
     families: dict[str, list[str]] = {}
-    for lang in sorted(langs):
-        families.setdefault(_FAMILY_OF.get(lang, lang), []).append(lang)
-    own = [family for family in families if family not in FAMILIES]
-    if len(own) > FLAT:
-        size = math.isqrt(len(own) - 1) + 1
-        for start in range(0, len(own), size):
-            members = own[start : start + size]
-            for lang in members:
-                del families[lang]
-            families[members[-1]] = members
-    return families
+    for lang in sorted(means):
+        if lang in _FAMILY_OF:
+            families.setdefault(_FAMILY_OF[lang], []).append(lang)
+    own = sorted(lang for lang in means if lang not in _FAMILY_OF)
+    if not own:
+        return families
+    x = np.array([means[lang] for lang in own])
+    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    groups = math.isqrt(len(own) - 1) + 1
+    first = [0]
+    like = x @ x[0]
+    while len(first) < groups:
+        like[first] = np.inf
+        first.append(int(like.argmin()))
+        like = np.maximum(like, x @ x[first[-1]])
+    members = {f: [f] for f in first}
+    likeness = x @ x[first].T
+    for i in np.argsort(-likeness.max(1), kind="stable").tolist():
+        if i not in members:
+            open_ = [g for g, f in enumerate(first) if len(members[f]) < 2 * groups]
+            members[first[max(open_, key=lambda g: (likeness[i, g], -g))]].append(i)
+    for f, held in members.items():
+        families.setdefault(own[f], []).extend(own[i] for i in held)
+    return {family: sorted(langs) for family, langs in families.items()}
 
 
 def train_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """Learn from ``rows`` (id, text, lang), of which at most ``per_language`` of each language are read.
 
-    Every language is learned, see ``families_of``. Rows with a null language or no letter in the text teach nothing. The sample is the same at every run: ids are ordered by a hash.
+    Every language is learned, see ``families_of``. Texts that tie in votes go to the larger sum of margins, then to the first by name. Rows with a null language or no letter in the text teach nothing. The sample is the same at every run: ids are ordered by a hash.
     Only trigram frequencies of the sample come to the driver.
     """
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -218,7 +250,10 @@ def train_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAG
             row[used[i]] = shares[i] * scale[used[i]]
         return x
 
-    families = families_of(set(langs))
+    means = {lang: np.zeros(DIMENSIONS) for lang in set(langs)}
+    for lang, bins, share in zip(langs, used, shares, strict=True):
+        means[lang][bins] += share * scale[bins]
+    families = families_of(means)
     family_of = {lang: family for family, members in families.items() for lang in members}
     family = np.array([family_of[lang] for lang in langs], dtype=object)
     duels = [("", a, b, family) for a, b in combinations(sorted(families), 2)]
@@ -228,7 +263,10 @@ def train_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAG
         at = np.flatnonzero((names == a) | (names == b))
         w, bias[k] = train_svm(dense(at), np.where(names[at] == a, 1.0, -1.0))
         weights[k] = w * scale
-    return LanguageModel(families, [d[:3] for d in duels], weights, bias)
+    model = LanguageModel(families, [d[:3] for d in duels], weights, bias)
+    own = np.array([weights[:, bins] @ share for bins, share in zip(used, shares, strict=True)]).reshape(len(used), len(duels)) + bias
+    model.floor = calibrated(model.decide(own)[1])
+    return model
 
 
 def predict_languages(documents: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,13 +299,21 @@ def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.select(id_col, (remainder(id_col, 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(documents: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``documents`` in a language: all that ``predict_languages`` would not call ``und``. That is the rule on letters
-    alone, whatever was learned, so nothing is trained; each row is kept or not where it is read."""
+def keep_known(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``documents`` in one of the languages learned from their labelled rows, all columns as they are: those whose text has a letter and scores at least
+    the model's floor. Trained as :func:`identify` is; without a label to learn from the letter alone decides."""
+    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    model = train_language_model(rows.where(remainder("id", 5) != 0))
     place = documents.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield batch.filter(pa.array([has_letter(text) for text in batch.column(place).to_pylist()], pa.bool_()))
+            texts = batch.column(place).to_pylist()
+            names, score = model.predict(texts)
+            if model.families:
+                kept = [name != "und" and s >= model.floor for name, s in zip(names, score, strict=True)]
+            else:
+                kept = [has_letter(text) for text in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)

@@ -26,7 +26,6 @@ from livegauge.llm.common import slices
 from livegauge.llm.language import remainder
 
 TOXIC_SAMPLE, UNLABELLED_SAMPLE = 2_000, 6_000  # texts that training reads, at most
-MAX_FEATURES = 50_000
 DEVIATIONS = 4  # how surely toxic texts must have a feature more often than unlabelled ones
 PREFIX = 4
 THRESHOLD = 0.7
@@ -105,7 +104,7 @@ def telling_features(
 ) -> np.ndarray:
     """The features, sorted, that toxic texts have more often than unlabelled ones, by ``DEVIATIONS`` standard deviations of what
     chance would give. A part of the unlabelled texts is toxic too, so a toxic word is enriched by 1 / prior at most: how much more
-    often is left to the risk. Texts count once each, or as often as their copies say. Of too many features the most frequent ones count."""
+    often is left to the risk. Texts count once each, or as often as their copies say. The samples bound the number of features."""
     toxic_copies = np.ones(len(toxic)) if toxic_copies is None else toxic_copies
     unlabelled_copies = np.ones(len(unlabelled)) if unlabelled_copies is None else unlabelled_copies
     names, uses = _uses(toxic, toxic_copies)
@@ -115,8 +114,7 @@ def telling_features(
     n, total = toxic_copies.sum(), unlabelled_copies.sum()
     chance = n * seen / total
     telling = uses - chance >= DEVIATIONS * np.sqrt(chance * (1 - seen / total) * (1 + n / total) + 1)
-    names, uses = names[telling], uses[telling]
-    return np.sort(names[np.argsort(-uses, kind="stable")[:MAX_FEATURES]])
+    return names[telling]
 
 
 def fit(
@@ -206,7 +204,8 @@ def _trained(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def rate(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Train on ids whose ``remainder`` by 3 is not 1, then score every row: id, held_out, score, predicted."""
+    """Train on ids whose ``remainder`` by 3 is not 1 (null ids are not trained on), then score every row: id, held_out, score, predicted. held_out is null for a
+    null id. A text's score follows from its own words alone, so equal texts have equal scores."""
     scored = score_toxicity(documents, _trained(documents, labels, id_col, text_col), id_col, text_col)
     return scored.select(id_col, (remainder(id_col, 3) == 1).alias("held_out"), "score", "predicted")
 

@@ -3,10 +3,11 @@ import subprocess
 import sys
 
 import corpus_pipeline
-from livegauge.llm.language import has_letter
+from livegauge.llm.language import has_letter, remainder, train_language_model
 
 from tests.llm.data import documents, grouped, rows
 from tests.llm.test_exact import LOWER
+from tests.llm.test_language import plain_predict
 from tests.llm.test_minhash import plain as plain_near
 
 MEDIUM = "/root/testdata/sf0.01"
@@ -23,7 +24,9 @@ def test_each_stage_against_a_plain_version(spark):
     assert sum(labels.get(i) == 1 for i in ids) <= 0.4 * sum(labels.values())  # few to learn from here: a word or two each
 
     known = stages[1](spark, clean, MEDIUM).cache()
-    assert {r["doc_id"] for r in rows(known)} == {r["doc_id"] for r in rows(clean) if has_letter(r["text"])}
+    model = train_language_model(clean.where(remainder("doc_id", 5) != 0).selectExpr("doc_id AS id", "text", "lang"))
+    scored = ((r["doc_id"], plain_predict(model, r["text"])[1][0]) for r in rows(clean) if has_letter(r["text"]))
+    assert {r["doc_id"] for r in rows(known)} == {i for i, score in scored if score >= model.floor}
 
     single = stages[2](spark, known, MEDIUM).cache()
     copies = grouped((r["text"].encode().translate(LOWER), r["doc_id"]) for r in rows(known))

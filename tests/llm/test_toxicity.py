@@ -1,7 +1,10 @@
+import math
+import re
 import zlib
 
 import numpy as np
-from livegauge.llm.toxicity import _SPAN, _words, features, fit, keep_clean, rate
+import xxhash
+from livegauge.llm.toxicity import _SPAN, _trained, _words, features, fit, keep_clean, rate, telling_features
 from pyspark.sql import functions as F
 
 from tests.llm.data import documents, rows
@@ -95,3 +98,23 @@ def test_toxic_texts_are_found_whatever_their_share(spark):
 def test_a_third_of_the_rows_are_copies_of_one_toxic_text(spark):
     check_crowded(*crowded(spark, 0.36, 0.92))
     check_crowded(*crowded(spark, 0.33, 1.0))  # and nothing else is toxic
+
+
+def test_scores_equal_plain_sums(spark):
+    docs, labels = tables(spark)
+    model = _trained(docs, labels, "doc_id", "text")
+    weight = dict(zip(model.known.tolist(), model.weights.tolist(), strict=True))
+    assert len(weight) > 3
+    texts = {r["doc_id"]: r["text"] for r in rows(docs)}
+    for r in rows(rate(docs, labels)):
+        words = {w for w in re.findall(r"[^\W_]+", (texts[r["doc_id"]] or "").lower())}
+        names = [w for w in words] + ["^" + p for p in {w[:4] for w in words if len(w) > 4}]
+        z = model.bias + sum(weight.get(xxhash.xxh3_64_intdigest(n.encode()), 0.0) for n in names)
+        assert abs(r["score"] - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_every_telling_feature_is_kept():
+    """More telling words than any cap would let through: each of 60,000 in every toxic text and in no other."""
+    toxic = [np.arange(60_000, dtype=np.uint64) for _ in range(60)]
+    clean = [np.array([10**6 + k], np.uint64) for k in range(60)]
+    assert len(telling_features(toxic, clean)) == 60_000
