@@ -1,9 +1,12 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
 A vector is described by its nearest reference points (pivots) in order. An inverted list holds, for each label and pivot, the vectors
-that have the pivot among their nearest; two vectors are compared when their lists share enough pivots, and linked
-when their cosine in double precision reaches the threshold. With the defaults a pair at a cosine of
-0.93 in 64 dimensions is compared with probability above 0.999.
+that have the pivot among their nearest. Two vectors of a list that share enough pivots, this one and others, are candidates, and only for
+candidates is the cosine taken, in double precision; those that reach the threshold are linked. With the defaults a pair at a cosine of
+0.93 in 64 dimensions is a candidate with probability above 0.998.
+
+The number of pivots grows with the root of the largest label, and so does the length of a list: so a vector meets a number of others that grows
+with that root, not with the label.
 """
 
 from __future__ import annotations
@@ -15,10 +18,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from livegauge.llm.common import Scratch, components
+from livegauge.llm.common import Scratch, components, slices
 
-PIVOTS, NEAREST, SHARED = 256, 8, 2
-FIT_SAMPLE = 4096  # vectors that choose the pivots, at most
+LEAST_PIVOTS, PER_ROOT, MOST_PIVOTS = 256, 8, 1 << 14  # pivots: so many for each unit of the root of the largest label, within bounds (8 MB at 64 dimensions)
+NEAREST, SHARED = 12, 2
 APART = 0.8  # cosine that two pivots stay below
 BLOCK = 512  # rows of one list compared in one task with as many others
 
@@ -30,26 +33,35 @@ def unit(vectors: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def choose_pivots(sample: np.ndarray, dimension: int, pivots: int = PIVOTS) -> np.ndarray:
-    """The first vectors of the sample that lie apart; random directions fill up the rest."""
-    chosen = np.zeros((0, dimension))
+def number_of_pivots(largest: int) -> int:
+    """For a label of so many vectors at most."""
+    return min(MOST_PIVOTS, max(LEAST_PIVOTS, int(PER_ROOT * largest**0.5)))
+
+
+def choose_pivots(sample: np.ndarray, dimension: int, pivots: int) -> np.ndarray:
+    """The first vectors of the sample that lie apart, at most half of the pivots; random directions are the rest, for vectors unlike the sample."""
+    chosen, n = np.zeros((pivots, dimension)), 0
     for v in sample:
-        if len(chosen) == pivots:
+        if n >= pivots // 2:
             break
-        if not len(chosen) or (chosen @ v).max() < APART:
-            chosen = np.vstack([chosen, v])
-    rest = np.random.default_rng(dimension).normal(size=(pivots - len(chosen), dimension))
-    return np.vstack([chosen, rest / np.linalg.norm(rest, axis=1, keepdims=True)])
+        if not n or (chosen[:n] @ v).max() < APART:
+            chosen[n], n = v, n + 1
+    rest = np.random.default_rng(dimension).normal(size=(pivots - n, dimension))
+    chosen[n:] = rest / np.linalg.norm(rest, axis=1, keepdims=True)
+    return chosen
 
 
 def nearest_pivots(x: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
     """The numbers of the nearest pivots of each row, nearest first."""
-    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :nearest].astype(np.int32)
+    near = x @ pivots.T
+    first = np.argpartition(-near, nearest - 1, axis=1)[:, :nearest]
+    order = np.argsort(-np.take_along_axis(near, first, 1), axis=1, kind="stable")
+    return np.take_along_axis(first, order, 1).astype(np.int32)
 
 
 def _described(known: dict[int, np.ndarray], pivots: int, nearest: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             sizes = batch["vector"].map(len)
             for dimension, part in batch.groupby(sizes):
                 if dimension not in known:
@@ -65,7 +77,33 @@ def _described(known: dict[int, np.ndarray], pivots: int, nearest: int):
     return run
 
 
-def _compare(threshold: float, shared: int, pivots: int):
+def candidates(a: np.ndarray, b: np.ndarray, pivot: int, shared: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of ``a`` and ``b`` (nearest pivots) that share ``shared`` pivots, ``pivot`` among them, which all have. Counted by the lists that the rows
+    form for each other pivot, so a pair that shares none costs nothing. With ``same`` each pair once."""
+    count = np.ones((len(a), len(b)), np.uint8)
+
+    def by_pivot(near: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        order = np.argsort(near, axis=None, kind="stable")
+        names, starts = np.unique(near.ravel()[order], return_index=True)
+        return names, np.split(order // near.shape[1], starts[1:])
+
+    names_a, rows_a = by_pivot(a)
+    names_b, rows_b = (names_a, rows_a) if same else by_pivot(b)
+    both, at_a, at_b = np.intersect1d(names_a, names_b, assume_unique=True, return_indices=True)
+    for name, i, j in zip(both, at_a, at_b, strict=True):
+        if name != pivot and not (same and len(rows_a[i]) == 1):
+            count[rows_a[i][:, None], rows_b[j]] += 1
+    found = count >= shared
+    return np.nonzero(np.triu(found, 1) if same else found)
+
+
+def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest pivot that rows of a and b, pair by pair, share."""
+    both = (a[:, :, None] == b[:, None, :]).any(2)
+    return np.where(both, a, np.iinfo(np.int32).max).min(1)
+
+
+def _compare(threshold: float, shared: int):
     """Links between two blocks of one inverted list.
 
     Returns, for every row that has a link here, how many vectors it links to by links counted here (those whose smallest shared
@@ -76,21 +114,16 @@ def _compare(threshold: float, shared: int, pivots: int):
         pivot, i, j = (int(group[c].iloc[0]) for c in ("pivot", "i", "j"))
         group = group.sort_values("rep")
         left, right = group[group["block"] == i], group[group["block"] == j]
-        x, y = unit(list(left["vector"])), unit(list(right["vector"])) if i != j else None
-        y = x if y is None else y
-        a, b = np.stack(left["nearest"].to_list()), np.stack(right["nearest"].to_list())
-        has_a, has_b = (np.zeros((len(n), pivots), np.float32) for n in (a, b))
-        np.put_along_axis(has_a, a, 1, 1)
-        np.put_along_axis(has_b, b, 1, 1)
-        hit = (x @ y.T >= threshold) & (has_a @ has_b.T >= shared)
-        if i == j:
-            hit = np.triu(hit, 1)
-        p, q = np.nonzero(hit)
+        a, b = (np.stack(side["nearest"].to_list()) if len(side) else np.zeros((0, 1), np.int32) for side in (left, right))
+        p, q = candidates(a, b, pivot, shared, i == j)
+        if len(p):
+            x = unit(list(left["vector"]))
+            y = x if i == j else unit(list(right["vector"]))
+            near = np.concatenate([np.einsum("ij,ij->i", x[s], y[t]) for s, t in _parts(p, q)]) >= threshold
+            p, q = p[near], q[near]
         if not len(p):
             return pd.DataFrame({"rep": left["rep"].iloc[:0], "links": [], "mate": left["rep"].iloc[:0]})
-        first = np.concatenate(
-            [np.argmax((has_a[s] * has_b[t]) > 0, axis=1) for s, t in zip(np.array_split(p, -(-len(p) // 4096)), np.array_split(q, -(-len(p) // 4096)), strict=True)]
-        )
+        first = np.concatenate([first_shared(a[s], b[t]) for s, t in _parts(p, q)])
         own = first == pivot
         ids = np.concatenate([left["rep"], right["rep"]]) if i != j else left["rep"].to_numpy()
         sizes = np.concatenate([left["size"], right["size"]]) if i != j else left["size"].to_numpy()
@@ -112,9 +145,14 @@ def _compare(threshold: float, shared: int, pivots: int):
     return run
 
 
+def _parts(p: np.ndarray, q: np.ndarray, rows: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for start in range(0, len(p), rows):
+        yield p[start : start + rows], q[start : start + rows]
+
+
 def near_vectors(
     vectors: DataFrame, threshold: float, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    pivots: int = PIVOTS, nearest: int = NEAREST, shared: int = SHARED,
+    pivots: int | None = None, nearest: int = NEAREST, shared: int = SHARED,
 ) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept.
 
@@ -136,7 +174,9 @@ def near_vectors(
     used = rows.where("usable").select("id", "label", "vector").distinct()
     classes = scratch.keep(used.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("size")))
 
-    picked = classes.orderBy(F.xxhash64("rep"), "rep").limit(FIT_SAMPLE).select("vector").toPandas()
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    pivots = pivots or number_of_pivots(largest)
+    picked = classes.orderBy(F.xxhash64("rep"), "rep").limit(pivots).select("vector").toPandas()
     known = {}
     for dimension, part in picked.groupby(picked["vector"].map(len)) if len(picked) else ():
         known[int(dimension)] = choose_pivots(unit(list(part["vector"])), int(dimension), pivots)
@@ -155,7 +195,7 @@ def near_vectors(
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = blocks.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     found = blocks.groupBy("label", "dimension", "pivot", "i", "j").applyInPandas(
-        _compare(threshold, shared, pivots), f"rep {kinds['rep']}, links long, mate {kinds['rep']}"
+        _compare(threshold, shared), f"rep {kinds['rep']}, links long, mate {kinds['rep']}"
     )
     found = scratch.keep(found)
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -170,7 +210,10 @@ def near_vectors(
     of = member.join(totals, member["rep"] == totals["r"]).select(F.col("id").alias("member"), "links", "component")
     out = rows.join(of, F.col("usable") & (F.col("id") == F.col("member")), "left")
     component = F.coalesce("component", "id")
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+    out = scratch.keep(out)
+    scratch.only(out)
+    return out

@@ -77,6 +77,52 @@ def test_recall_against_brute_force(spark):
     assert found >= 0.99 * 1600
 
 
+def lists(near):
+    order = np.argsort(near, axis=None, kind="stable")
+    names, starts = np.unique(near.ravel()[order], return_index=True)
+    return zip(names, np.split(order // near.shape[1], starts[1:]), strict=True)
+
+
+def test_cosines_grow_with_the_root_of_a_label():
+    """Candidates of a vector, counted over all lists, for random vectors of one label: 16 times the vectors, at most four times the cosines, with room for chance."""
+    pick = np.random.default_rng(8)
+    per_vector = {}
+    for n in (2_000, 8_000, 32_000):
+        x = pick.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        pivots = module.choose_pivots(x[: module.number_of_pivots(n)], 64, module.number_of_pivots(n))
+        near = np.vstack([module.nearest_pivots(part, pivots) for part in np.array_split(x, n // 1000)])
+        some = list(lists(near))[::20]
+        found = sum(len(module.candidates(near[rows_], near[rows_], name, module.SHARED, True)[0]) for name, rows_ in some)
+        per_vector[n] = 20 * found / n
+        assert max(len(rows_) for _, rows_ in some) < 40 * math.sqrt(n)
+    assert per_vector[32_000] < 1.3 * 4 * per_vector[2_000] and per_vector[8_000] < 1.3 * 2 * per_vector[2_000]
+
+
+def test_candidates_are_the_pairs_that_share_pivots():
+    pick = np.random.default_rng(9)
+    a, b = (np.stack([np.append(pick.choice(np.arange(1, 30), 5, replace=False), 0) for _ in range(n)]) for n in (40, 50))
+    for shared in (1, 2, 3):
+        for same, other in ((True, a), (False, b)):
+            want = {(i, j) for i, x in enumerate(a) for j, y in enumerate(other) if len({*x} & {*y}) >= shared and not (same and i >= j)}
+            assert set(zip(*map(np.ndarray.tolist, module.candidates(a, other, 0, shared, same)), strict=True)) == want
+    assert module.first_shared(a, b[:40]).tolist() == [min({*x} & {*y}) for x, y in zip(a, b, strict=False)]
+
+
+def test_recall_at_many_vectors(spark):
+    """Pairs at a cosine of just 0.93 among 20,000 vectors of one label, of which the index has some thousand pivots."""
+    pick = np.random.default_rng(10)
+    x = pick.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = pick.normal(size=(1000, 64))
+    z -= (z * x[:1000]).sum(1, keepdims=True) * x[:1000]
+    y = 0.9301 * x[:1000] + math.sqrt(1 - 0.9301**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    every = np.vstack([x, y]).astype(np.float32)
+    df = spark.createDataFrame([(k, 0, v.tolist()) for k, v in enumerate(every)], "vec_id long, label int, embedding array<float>").repartition(8)
+    out = near_vectors(df, 0.93)
+    assert out.count() == 21_000 and out.where("n_links > 0").count() >= 0.99 * 2000
+
+
 def test_no_rows(spark):
     df = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     assert near_vectors(df.limit(0), 0.93).count() == 0
