@@ -187,7 +187,7 @@ def centroid_clusters(
         centroids = moved
     found = state.select("id", "vector", "cluster").mapInArrow(_distances(centroids), f"id {schema['id'].dataType.simpleString()}, cluster int, distance long")
     found = scratch.keep(found)
-    scratch.drop(state)
+    scratch.only(found)
     inertia = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))  # one row per centroid
     names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
     name = F.element_at(F.array(*map(F.lit, names)), F.col("cluster") + 1) if names else F.lit("")

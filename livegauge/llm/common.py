@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,22 +14,47 @@ from livegauge.storage import new_path, remove
 class Scratch:
     """Intermediate tables in the session's shared folder.
 
-    A written table cuts the lineage and survives lost executors. ``drop`` removes one that no later step reads.
+    A written table cuts the lineage and survives lost executors. ``drop`` removes one that no later step reads, ``only`` all but
+    those that a result reads.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
-        self._paths: dict[int, str] = {}
+        self._tables: list[tuple[DataFrame, str]] = []
+        for made in _COLLECTED:
+            made.append(self)
 
     def keep(self, df: DataFrame) -> DataFrame:
         path = new_path(self.spark, self.name)
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(kept)] = path
+        self._tables.append((kept, path))
         return kept
 
-    def drop(self, kept: DataFrame) -> None:
-        remove(self.spark, self._paths.pop(id(kept)))
+    def drop(self, *dropped: DataFrame) -> None:
+        for kept, path in list(self._tables):
+            if any(kept is df for df in dropped):
+                remove(self.spark, path)
+                self._tables.remove((kept, path))
+
+    def only(self, *needed: DataFrame) -> None:
+        self.drop(*[kept for kept, _ in self._tables if not any(kept is df for df in needed)])
+
+
+_COLLECTED: list[list[Scratch]] = []
+
+
+@contextmanager
+def collected() -> Iterator[None]:
+    """Removes at the end whatever tables operators have written within, which only results that have been written too may need."""
+    made: list[Scratch] = []
+    _COLLECTED.append(made)
+    try:
+        yield
+    finally:
+        _COLLECTED.pop()
+        for scratch in made:
+            scratch.only()
 
 
 def slices(batches: Iterator, rows: int = 512) -> Iterator:

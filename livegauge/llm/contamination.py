@@ -141,7 +141,10 @@ def find_phrases(
     found = matches(scratch, postings, by_rarity(scratch, postings, different, terms), slop)
     named = worded.join(different, "words").select("phrase", "item")
     ids = postings.where("term = 0").select("line", "id")
-    return found.join(named, "phrase").join(ids, "line").select(F.col("id").alias(id_col), F.col("item").alias(phrase_id_col), "start")
+    out = found.join(named, "phrase").join(ids, "line").select(F.col("id").alias(id_col), F.col("item").alias(phrase_id_col), "start")
+    out = scratch.keep(out)
+    scratch.only(out)
+    return out
 
 
 def contaminated_documents(
@@ -169,8 +172,12 @@ def contaminated_documents(
     lines = postings.where("term = 0").select("line", "id", "n_words").join(hits, "line", "left").join(held, "line", "left")
     listed = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return lines.select(
-        F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
-        F.size(listed).cast("long").alias("n_items"), F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
-        (n_hit > 0).alias("contaminated"),
+    out = scratch.keep(
+        lines.select(
+            F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
+            F.size(listed).cast("long").alias("n_items"), F.sha2(F.array_join(listed, ",").cast("binary"), 256).alias("items_sha256"),
+            (n_hit > 0).alias("contaminated"),
+        )
     )
+    scratch.only(out)  # the index goes
+    return out

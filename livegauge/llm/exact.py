@@ -102,6 +102,7 @@ def exact_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     whole = recipes.select("line", "row", "text_sha256").join(lists, "line", "left")
     whole = scratch.keep(whole.withColumn("ids", F.coalesce("ids", F.expr("cast(array() as array<struct<mark:long,nth:int>>)"))))
+    scratch.only(whole)
     groups = whole.groupBy("ids").agg(F.max("row").alias("keep_id"), F.count("*").alias("group_size"))
     return whole.join(groups, "ids").select(
         F.col("row").alias(id_col), "keep_id", "group_size",

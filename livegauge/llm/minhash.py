@@ -263,6 +263,7 @@ def near_duplicates(
     links = links.join(reps.withColumnRenamed("node", "a"), "a").select("b", F.col("rep").alias("x"))
     links = links.join(reps.withColumnRenamed("node", "b"), "b").select(F.col("x").alias("a"), F.col("rep").alias("b"))
     joined = scratch.keep(components(scratch, same.union(links)))
+    scratch.only(signed, joined)
     out = signed.join(joined, signed["id"] == joined["node"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "id")).otherwise(F.col("id"))
     return out.select(

@@ -249,6 +249,7 @@ def pack(documents: DataFrame, words: str | None = None, capacity: int = CAPACIT
             f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, party int, bin long, offset long",
         )
     )
+    scratch.only(numbered, left)
     # One row per party; together they hold fewer pieces than all classes can leave.
     sizes = left.groupBy("party").agg((F.max("bin") + 1).alias("size"))
     ahead = F.coalesce(F.sum("size").over(Window.orderBy("party").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

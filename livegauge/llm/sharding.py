@@ -130,6 +130,7 @@ def byte_shards(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     placed = lines.join(ends.select(F.col("key").alias("k"), "end"), F.col("key").eqNullSafe(F.col("k")))
     placed = placed.select("id", "size", "text_crc32", "end", "line", shard.alias("shard"))
     placed = with_position(placed, [F.col(c).asc_nulls_first() for c in ("end", "id", "line")])
+    scratch.only()  # the positions are a written table of their own
     first = placed.groupBy("shard").agg(F.min("position").alias("start"))  # one row per shard
     return placed.join(F.broadcast(first), "shard").select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
