@@ -52,6 +52,10 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 
 def put(spark: SparkSession, path: str, text: str = "") -> None:
     """Write a small file; it is there as a whole or not at all."""
+    if not text:  # nothing that could be there by half
+        store, place = _store(spark, path)
+        store.create(place, True).close()
+        return
     aside = f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}"
     store, place = _store(spark, aside)
     _write(store.create(place, True), text)

@@ -114,7 +114,7 @@ def test_a_compaction_stopped_anywhere_shows_every_row_once(spark, make, tmp_pat
 def test_a_vacuum_may_stop_anywhere(spark, make, tmp_path, stop):
     path, old, new = str(tmp_path / "t"), diff_rows("old", (0, 1)), diff_rows("new", (1, 2))
     append_batch(make("DIFFS", old), path, DIFFS, 1)
-    stop(8)  # after three marks and the commit, each written aside and renamed
+    stop(4)  # after three marks and the commit
     with pytest.raises(Stopped):
         append_batch(make("DIFFS", new), path, DIFFS, 1)
     for steps in range(20):
