@@ -58,7 +58,8 @@ def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.document_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+    known = licenses.standard_texts()
+    return licenses.document_licenses(table(spark, sf_dir, "documents"), licenses.known_digests(spark, known), runs=licenses.known_runs(known))
 
 
 @query
@@ -164,7 +165,7 @@ ORACLES["op9_warc"] = """
 def _license_sql() -> str:
     """The canonical form by regular expressions; known texts enter as their canonical forms."""
     names: dict[str, str] = {}
-    for name, texts in sorted(licenses.KNOWN.items()):
+    for name, texts in sorted(licenses.standard_texts().items()):
         for text in texts:
             names.setdefault(licenses.canonical(text), name)
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
@@ -182,12 +183,17 @@ def _license_sql() -> str:
     parts AS (
       SELECT doc_id, -1 AS unit, text AS part FROM documents WHERE text <> ''
       UNION ALL SELECT doc_id, 0, unnest(string_split(text, chr(10))) FROM documents WHERE text <> ''),
-    found AS (SELECT doc_id, unit, license FROM (SELECT doc_id, unit, trim({form}) AS form FROM parts) JOIN known USING (form))
+    forms AS MATERIALIZED (SELECT doc_id, unit, trim({form}) AS form FROM parts),
+    found AS (
+      SELECT doc_id, unit, license FROM forms JOIN known USING (form)
+      UNION ALL
+      SELECT doc_id, -2, license FROM forms f JOIN known k ON contains(' ' || f.form || ' ', ' ' || k.form || ' ')
+      WHERE unit = -1 AND len(string_split(k.form, ' ')) >= {licenses.RUN_WORDS})
     SELECT doc_id, any_value(f.text_license) AS text_license, coalesce(any_value(f.licenses), '') AS licenses,
-           coalesce(any_value(f.n_units), 0) AS n_units
+           coalesce(any_value(f.n_units), 0) AS n_units, coalesce(any_value(f.n_runs), 0) AS n_runs
     FROM documents LEFT JOIN (
       SELECT doc_id, min(license) FILTER (unit = -1) AS text_license, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
-             count(*) AS n_units
+             count(*) FILTER (unit >= -1) AS n_units, count(*) FILTER (unit < -1) AS n_runs
       FROM found GROUP BY doc_id) f USING (doc_id)
     GROUP BY doc_id"""
 

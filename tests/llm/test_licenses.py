@@ -1,11 +1,15 @@
-from livegauge.llm.licenses import KNOWN, canonical, canonical_digest, document_licenses, known_digests, scan_licenses
+import textwrap
+
+from livegauge.llm.licenses import (
+    KNOWN, RUN_WORDS, bsd_texts, canonical, canonical_digest, document_licenses, known_digests, known_runs, scan_licenses, standard_texts,
+)
 
 from tests.llm.data import SMALL, documents, grouped, rows
 
 MIT = KNOWN["MIT"][0]
 
 
-def plain(df, known=KNOWN):
+def plain(df, known=KNOWN, runs=False):
     names = {}
     for name, texts in known.items():
         for text in texts:
@@ -16,7 +20,8 @@ def plain(df, known=KNOWN):
         whole = [names.get(canonical(t)) for t in texts if t]
         lines = [names.get(canonical(line)) for t in texts if t for line in t.split("\n")]
         hits = [x for x in whole + lines if x]
-        out.append((i, min((x for x in whole if x), default=None), ",".join(sorted(set(hits))), len(hits)))
+        within = [n for t in texts if t and runs for form, n in names.items() if len(form.split()) >= RUN_WORDS and f" {form} " in f" {canonical(t)} "]
+        out.append((i, min((x for x in whole if x), default=None), ",".join(sorted({*hits, *within})), len(hits), len(within)))
     return out
 
 
@@ -39,6 +44,9 @@ def test_awkward_rows(spark):
     df = documents(spark, found + [(3, "text\nReleased under the MIT Licence.\nmore"), (10, "é漢")])
     have = [tuple(r.values()) for r in rows(document_licenses(df, known_digests(spark)))]
     assert sorted(have, key=str) == sorted(plain(df), key=str)
+    known = standard_texts()
+    have = [tuple(r.values()) for r in rows(document_licenses(df, known_digests(spark, known), runs=known_runs(known)))]
+    assert sorted(have, key=str) == sorted(plain(df, known, True), key=str)
 
 
 def test_given_documents(spark):
@@ -47,6 +55,41 @@ def test_given_documents(spark):
     assert sorted(have, key=str) == sorted(plain(df), key=str) and any(r[3] for r in have)
 
 
+def wrapped(text, width=60, mark="# "):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_known_texts_anywhere_in_a_document(spark):
+    """Every text of the list, wrapped anew in comments, between other lines and after a copyright line; not with a word changed, cut off at its end or grown together."""
+    known = standard_texts()
+    long = [(name, text) for name, texts in known.items() for text in texts if len(canonical(text).split()) >= RUN_WORDS]
+    found, want = [], {}
+    for i, (name, text) in enumerate(long):
+        words = wrapped(text).split(" ")
+        middle = len(words) // 2
+        found.append((4 * i, f"import os\n# Copyright (c) 2001 Some One\n{wrapped(text)}\n\nx = 1\n"))
+        found.append((4 * i + 1, "a " + " ".join([*words[:middle], "unlike", *words[middle:]]) + " b"))
+        found.append((4 * i + 2, "a " + text.rstrip(" .-\n_=*")[:-1]))
+        found.append((4 * i + 3, f"a {text.strip()} b {text.strip()} {text.strip()} c"))
+        want[4 * i] = want[4 * i + 3] = name
+    have = {r["doc_id"]: r for r in rows(document_licenses(documents(spark, found), known_digests(spark, known), runs=known_runs(known)))}
+    assert all(name in have[i]["licenses"].split(",") for i, name in want.items())
+    plainly = {r[0]: r for r in plain(documents(spark, found), known, True)}
+    assert [tuple(have[i].values()) for i in sorted(have)] == [plainly[i] for i in sorted(plainly)]
+    forms = {name: {canonical(t) for t in texts} for name, texts in known.items()}
+    assert sum(len(f) for f in forms.values()) == len(set().union(*forms.values()))
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "BSD-2-Clause", "BSD-3-Clause"} <= set(known)
+    assert all(len({canonical(t) for t in texts}) == len(texts) for texts in bsd_texts().values())
+
+
+def test_first_words_without_the_rest(spark):
+    """Many beginnings of long texts cost a look at their ends only, and nothing is found."""
+    known = standard_texts()
+    df = documents(spark, [(1, "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 " * 20_000), (2, None), (3, "")])
+    have = rows(document_licenses(df, known_digests(spark, known), runs=known_runs(known)))
+    assert sorted((r["doc_id"], r["licenses"], r["n_units"], r["n_runs"]) for r in have) == [(1, "", 0, 0), (2, "", 0, 0), (3, "", 0, 0)]
+
+
 def test_units_and_no_rows(spark):
     df = documents(spark, [(1, "a\nMIT License"), (2, "MIT License")])
     have = sorted(tuple(r.values()) for r in rows(scan_licenses(df, known_digests(spark))))
