@@ -22,9 +22,9 @@ from livegauge.llm.common import Scratch, components, slices
 CHUNKS, WIDTH, ERRORS = 12, 6, 1  # keys() leaves out one symbol; a chunk fills the low 48 bits of a long
 SYMBOLS = CHUNKS * WIDTH
 RADIUS = CHUNKS * (ERRORS + 1) - 1
-# Candidates also get a sketch: the symbols, and more minwise values of one bit each, which tell similarities apart more finely. Pairs are
-# confirmed up to distances that a pair at a similarity of 0.8 exceeds with probability below 1e-5; the radius itself would lose one in
-# 150 of those that the index finds.
+# Candidates also get a sketch: the symbols, and more minwise values of one bit each, which tell similarities apart more finely. Every pair whose
+# signatures differ in at most RADIUS symbols is confirmed, which the index finds for certain. Of the others it finds, so are those up to distances that a
+# pair at a similarity of 0.8 exceeds with probability below 1e-5; the radius alone would lose one in 150 of them.
 BITS, CONFIRMED_SIGNATURE, CONFIRMED_BITS = 4096, 30, 492
 BLOCK = 1024  # rows of one bucket compared in one task with as many others
 
@@ -168,8 +168,11 @@ def _across(percent: int, nearest: bool):
                 at = at[at > row]
             if len(at):
                 apart = np.bitwise_count(bits_x[row] ^ bits_y[at]).sum(1, dtype=np.int64)
-                near = [apart.argmin()] if nearest else slice(None)
-                at = at[near][apart[near] <= CONFIRMED_BITS]
+                if nearest:
+                    at, apart = at[[apart.argmin()]], apart[[apart.argmin()]]
+                close = apart <= CONFIRMED_BITS
+                close |= (x[row, :SYMBOLS] != y[at, :SYMBOLS]).sum(1) <= RADIUS
+                at = at[close]
             if len(at):
                 other = y[at]
                 first = first_shared(np.full(len(at), key), np.broadcast_to(x[row], other.shape), other)
@@ -217,7 +220,7 @@ def near_duplicates(
 
     Equal sets become one representative first. Every bucket of the index then links its members to one of them, and each
     to its nearest in another component; confirmed links merge most copies. What remains is every pair of a bucket that lies in different components
-    and near enough in sketch: all are confirmed too, so no link that could join two components is left out.
+    and within the radius, or near enough in sketch: all are confirmed too, so no pair under the signatures' threshold that could join two components is left out.
     """
     scratch = Scratch(documents.sparkSession, "minhash")
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
