@@ -2,7 +2,6 @@ import random
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pytest
 from livegauge.llm import minhash
 from livegauge.llm.minhash import BITS, RADIUS, SYMBOLS, distance, drop_near, first_shared, keys, near_duplicates, sketches
@@ -79,25 +78,6 @@ def test_a_pair_comes_from_the_first_key_it_shares(spark):
     assert len(least) > 300 and dict(zip(pair[first].tolist(), key[first].tolist(), strict=True)) == least and first.sum() == len(least)
 
 
-@pytest.mark.parametrize("nearest", [True, False])
-def test_pairs_within_the_radius_are_confirmed_whatever_their_sketches(nearest):
-    """The sketches say unlike; the signatures differ in as many symbols as the radius allows, or in one more."""
-    one = np.zeros(SYMBOLS + BITS // 8, np.uint8)
-    other = one.copy()
-    other[SYMBOLS:] = 255
-    other[6 : 6 + RADIUS] = 1  # the first chunk is alike
-    further = other.copy()
-    further[6 + RADIUS] = 1
-
-    def found(x, y):
-        bucket = pd.DataFrame({"node": [1, 2], "component": [1, 2], "n": [9, 9], "sketch": [x.tobytes(), y.tobytes()]})
-        bucket = bucket.assign(key=0, block=0, i=0, j=0)
-        return pd.concat(minhash._across(80, nearest)(iter([bucket]))).to_numpy().tolist()
-
-    assert found(one, other) == [[1, 2]]
-    assert found(one, further) == []
-
-
 def test_sketches_estimate_the_similarity():
     pick = np.random.default_rng(1)
     every = np.sort(pick.integers(0, 2**64, 1200, dtype=np.uint64))
