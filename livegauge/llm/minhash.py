@@ -22,15 +22,15 @@ from livegauge.llm.common import Scratch, components, slices
 CHUNKS, WIDTH, ERRORS = 12, 6, 1  # keys() leaves out one symbol; a chunk fills the low 48 bits of a long
 SYMBOLS = CHUNKS * WIDTH
 RADIUS = CHUNKS * (ERRORS + 1) - 1
-# Candidates also get a sketch: the symbols, and more minwise values of one bit each, which tell similarities apart more finely. Pairs are
-# confirmed up to distances that a pair at a similarity of 0.8 exceeds with probability below 1e-5; the radius itself would lose one in
-# 150 of those that the index finds.
-BITS, CONFIRMED_SIGNATURE, CONFIRMED_BITS = 4096, 30, 492
+# Candidates also get a sketch: the symbols, and the set of the leading bits of their shingles. Two such sets bound the shingles that two texts can
+# share, so a pair that the index found is left out only where its full sets cannot be alike.
+BITS = 4096
+FIRST = 30  # differing symbols up to which a member is compared with its bucket's centre first; the later steps take up all others
 BLOCK = 1024  # rows of one bucket compared in one task with as many others
 
 _rng = np.random.default_rng(8)
-_MUL = _rng.integers(0, 2**32, SYMBOLS + BITS, dtype=np.uint32) | np.uint32(1)
-_ADD = _rng.integers(0, 2**32, SYMBOLS + BITS, dtype=np.uint32)
+_MUL = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint32) | np.uint32(1)
+_ADD = _rng.integers(0, 2**32, SYMBOLS, dtype=np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -57,25 +57,26 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def minima(sets: list[np.ndarray], first: int, last: int) -> Iterator[np.ndarray]:
-    """For each hash function from ``first`` to ``last`` the smallest value of every set; no set may be empty."""
-    low = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
+def symbols(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of symbols for each set: for each hash function the low byte of the set's smallest value; no set may be empty."""
+    high = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
-    for k in range(first, last):
-        yield np.minimum.reduceat(low * _MUL[k] + _ADD[k], starts)
+    return np.stack([np.minimum.reduceat(high * _MUL[k] + _ADD[k], starts).astype(np.uint8) for k in range(SYMBOLS)], axis=1)
 
 
-def symbols(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of symbols for each set: the low byte of its minima."""
-    return np.stack([least.astype(np.uint8) for least in minima(sets, 0, SYMBOLS)], axis=1)
+def sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bytes for each set: its symbols, then a bit for each of BITS equal ranges of hashes, set where the set has one in it."""
+    bits = np.zeros((len(sets), BITS), bool)
+    for row, found in zip(bits, sets, strict=True):
+        row[found >> np.uint64(64 - (BITS - 1).bit_length())] = True
+    return np.hstack([symbols(sets), np.packbits(bits, axis=1)])
 
 
-def sketches(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of bytes for each set: its symbols, then a bit for each further minimum."""
-    bits = np.empty((BITS, len(sets)), bool)
-    for k, least in enumerate(minima(sets, SYMBOLS, SYMBOLS + BITS)):
-        bits[k] = least * np.uint32(0x9E3779B1) >> np.uint32(31)
-    return np.hstack([symbols(sets), np.packbits(bits, axis=0).T])
+def most_shared(n_x: int, x: np.ndarray, n_y: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The most shingles that a set of ``n_x``, its ranges ``x``, can share with each of the sets of ``n_y``, their ranges the rows of ``y``.
+    Every range that one set reaches and the other does not holds a shingle that they do not share."""
+    count = lambda bits: np.bitwise_count(bits).sum(-1, dtype=np.int64)
+    return count(x & y) + np.minimum(n_x - count(x), n_y - count(y))
 
 
 def _signatures(words: int):
@@ -167,9 +168,10 @@ def _across(percent: int, nearest: bool):
             if i == j:
                 at = at[at > row]
             if len(at):
-                apart = np.bitwise_count(bits_x[row] ^ bits_y[at]).sum(1, dtype=np.int64)
-                near = [apart.argmin()] if nearest else slice(None)
-                at = at[near][apart[near] <= CONFIRMED_BITS]
+                total = n[0][row] + n[1][at]
+                shared = most_shared(n[0][row], bits_x[row], n[1][at], bits_y[at])
+                near = [(shared / total).argmax()] if nearest else slice(None)
+                at = at[near][((100 + percent) * shared >= percent * total)[near]]
             if len(at):
                 other = y[at]
                 first = first_shared(np.full(len(at), key), np.broadcast_to(x[row], other.shape), other)
@@ -217,7 +219,7 @@ def near_duplicates(
 
     Equal sets become one representative first. Every bucket of the index then links its members to one of them, and each
     to its nearest in another component; confirmed links merge most copies. What remains is every pair of a bucket that lies in different components
-    and near enough in sketch: all are confirmed too, so no link that could join two components is left out.
+    and whose sketches do not rule a link out: all are confirmed too, so no link that could join two components is left out.
     """
     scratch = Scratch(documents.sparkSession, "minhash")
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -289,7 +291,7 @@ def _open_buckets(found: DataFrame, merged: DataFrame, sets: DataFrame) -> DataF
 def _may_link(percent: int) -> Column:
     """Sizes that allow the similarity, and signatures near enough, of sides a and b."""
     sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return sizes & (distance("signature_a", "signature_b") <= CONFIRMED_SIGNATURE)
+    return sizes & (distance("signature_a", "signature_b") <= FIRST)
 
 
 def _near(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:

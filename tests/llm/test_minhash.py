@@ -2,9 +2,10 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from livegauge.llm import minhash
-from livegauge.llm.minhash import BITS, RADIUS, SYMBOLS, distance, drop_near, first_shared, keys, near_duplicates, sketches
+from livegauge.llm.minhash import BITS, RADIUS, SYMBOLS, distance, drop_near, first_shared, keys, most_shared, near_duplicates, sketches
 from pyspark.sql import functions as F
 
 from tests.llm.data import SMALL, Forest, documents, grouped, rows
@@ -78,16 +79,41 @@ def test_a_pair_comes_from_the_first_key_it_shares(spark):
     assert len(least) > 300 and dict(zip(pair[first].tolist(), key[first].tolist(), strict=True)) == least and first.sum() == len(least)
 
 
-def test_sketches_estimate_the_similarity():
-    pick = np.random.default_rng(1)
-    every = np.sort(pick.integers(0, 2**64, 1200, dtype=np.uint64))
-    for shared in (100, 600, 890):  # of 1000 and 1000 each
-        a, b = every[: 500 + shared // 2], every[500 - shared // 2 :][: 500 + shared // 2]
-        similarity = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        x, y = sketches([a, b])
-        apart = np.bitwise_count(x[SYMBOLS:] ^ y[SYMBOLS:]).sum()
-        assert abs((1 - similarity) / 2 - apart / BITS) < 0.035
-        assert abs((x[:SYMBOLS] == y[:SYMBOLS]).mean() - similarity) < 0.25
+def bits_of(sets):
+    return np.ascontiguousarray(sketches(sets)[:, SYMBOLS:]).view(np.uint64)
+
+
+@pytest.mark.parametrize("size", [1, 7, 200, 3000, 40_000])
+def test_sketches_never_rule_out_what_two_sets_share(size):
+    """Bound from above at every size and overlap; of small sets close to the true number."""
+    pick = np.random.default_rng(size)
+    one = np.unique(pick.integers(0, 2**64, size, dtype=np.uint64))
+    others = [np.unique(np.concatenate([one[: size * k // 10], pick.integers(0, 2**64, 1 + size * (10 - k) // 8, dtype=np.uint64)])) for k in range(11)]
+    bits = bits_of([one, *others])
+    most = most_shared(len(one), bits[0], np.array([len(o) for o in others]), bits[1:])
+    true = np.array([len(np.intersect1d(one, o)) for o in others])
+    assert (most >= true).all() and bits.shape[1] * 64 == BITS
+    if size <= 200:
+        assert (most - true <= 0.12 * size + 1).all()
+
+
+@pytest.mark.parametrize("nearest", [True, False])
+def test_pairs_of_a_bucket_that_link_are_never_left_out(nearest):
+    """At exactly 0.8, and one shingle below it where no two shingles fall into one range."""
+    pick = np.random.default_rng(5)
+    every = np.sort(pick.choice(BITS, 90, replace=False).astype(np.uint64) << np.uint64(52))
+    x, at, below = every[:81], every[9:90], every[8:89]  # 72 of 90 are shared; of 89, 73
+    less = np.concatenate([every[10:90], [np.uint64(1) << np.uint64(51)]])
+
+    def found(a, b):
+        sketch = sketches([a, b])
+        sketch[:, :SYMBOLS] = 0
+        bucket = pd.DataFrame({"node": [1, 2], "component": [1, 2], "n": [len(a), len(b)], "sketch": [r.tobytes() for r in sketch]})
+        bucket = bucket.assign(key=0, block=0, i=0, j=0)
+        return pd.concat(minhash._across(80, nearest)(iter([bucket]))).to_numpy().tolist()
+
+    assert found(x, at) == found(x, below) == [[1, 2]]
+    assert len(np.intersect1d(x, less)) == 71 and found(x, less) == []
 
 
 def test_large_buckets_are_split_without_loss(spark, monkeypatch):
