@@ -16,13 +16,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from livegauge.llm.common import slices
 
 DIMENSIONS = 1 << 12
-SAMPLE_PER_LANGUAGE = 800  # labelled rows that training reads, at most
+BLOCK = 400  # labelled rows of either side of a duel, on average, that one task learns from at a time
+MERGED = 64  # weights of as many blocks are added up at a time
+FIXED = 1 << 24  # weights are added up in whole parts of one in as many, so that their sum does not depend on the order
 SURE_BY = 200  # learned texts at which the least score of a text in some language counts half
 UNDECIDED = 0.3  # a text that a family's and a language's machines both leave undecided scores about a quarter; no text above this is taken for one of no language
 SLICE = 1 << 20  # bytes of one text taken at a time, so that memory does not follow a text's length
@@ -93,30 +95,68 @@ def margins(texts: list[str], weights: np.ndarray, bias: np.ndarray) -> np.ndarr
     return sums / np.maximum(counts, 1)[:, None] + bias
 
 
-def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The trigram frequencies of each text, as sorted bins and their values."""
+def _counted(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bins of a text's trigrams, sorted, and how often it has each."""
+    total = np.zeros(DIMENSIONS, np.int64)
+    for piece in _slices(text):
+        total += np.bincount(_codes(piece), minlength=DIMENSIONS)
+    used = np.flatnonzero(total)
+    return used, total[used]
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The trigrams of each text, as bins and their counts in the smallest type that holds them."""
     for batch in slices(batches):
-        bins, values = [], []
-        for text in batch["text"]:
-            total = np.zeros(DIMENSIONS)
-            for piece in _slices(text):
-                total += np.bincount(_codes(piece), minlength=DIMENSIONS)
-            used = np.flatnonzero(total)
+        bins, counts = [], []
+        for text in batch.column("text"):
+            used, found = _counted(text.as_py())
             bins.append(used.astype(np.uint16).tobytes())
-            values.append((total[used] / total.sum()).astype(np.float32).tobytes())
-        yield pd.DataFrame({"lang": batch["lang"], "bins": bins, "share": values})
+            counts.append(found.astype(np.min_scalar_type(found.max())).tobytes())
+        binary = [pa.array(x, pa.binary()) for x in (bins, counts)]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("place"), *binary], ["lang", "place", "bins", "counts"])
+
+
+def _shares(bins: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bins of a text and their shares of its trigrams."""
+    found = np.frombuffer(counts, f"u{2 * len(counts) // len(bins)}")
+    return np.frombuffer(bins, np.uint16), found / found.sum()
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, strength: float = 1e-3, steps: int = 120) -> tuple[np.ndarray, float]:
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The summed shares of each trigram in the texts of a language, in whole parts, and the number of texts as the bin behind the last."""
+    sums: dict[str, np.ndarray] = {}
+
+    def found() -> Iterator[pa.RecordBatch]:
+        for lang, total in sums.items():
+            used = np.flatnonzero(total)
+            arrays = [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(total[used], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "bin", "total"])
+        sums.clear()
+
+    for batch in slices(batches):
+        for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+            total = sums.setdefault(lang.as_py(), np.zeros(DIMENSIONS + 1, np.int64))
+            used, counts = _counted(text.as_py())
+            total[used] += np.rint(counts / counts.sum() * FIXED).astype(np.int64)
+            total[DIMENSIONS] += 1
+        if len(sums) > MERGED:
+            yield from found()
+    yield from found()
+
+
+def train_svm(
+    x: np.ndarray, y: np.ndarray, strength: float = 1e-3, steps: int = 120, copies: np.ndarray | None = None
+) -> tuple[np.ndarray, float]:
     """Linear support vector machine: squared hinge loss with L2 penalty, both classes weighing alike, by
-    accelerated gradient steps. y is +1 or -1; the last step's weights and bias."""
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    rate = 1 / (2 * ((x * x).sum(1) + 1).max() + strength)
+    accelerated gradient steps. y is +1 or -1; rows count as often as their copies say, once by default. The last step's weights and bias."""
+    copies = np.ones(len(y)) if copies is None else copies
+    weight = copies * np.where(y > 0, 0.5 / max(1, copies[y > 0].sum()), 0.5 / max(1, copies[y < 0].sum()))
+    rate = 1 / (2 * (np.einsum("ij,ij->i", x, x) + 1).max() + strength)
     w, b = np.zeros(x.shape[1]), 0.0
     pw, pb, t = w, b, 1.0
     for _ in range(steps):
-        slack = np.maximum(0, 1 - y * (x @ pw + pb)) * weight * y
-        nw = pw + rate * (2 * (slack @ x) - strength * pw)
+        slack = np.maximum(0, 1 - y * (x @ pw.astype(x.dtype) + pb)) * weight * y
+        nw = pw + rate * (2 * (slack.astype(x.dtype) @ x) - strength * pw)
         nb = pb + rate * 2 * slack.sum()
         nt = (1 + math.sqrt(1 + 4 * t * t)) / 2
         pw, pb = nw + (t - 1) / nt * (nw - w), nb + (t - 1) / nt * (nb - b)
@@ -177,10 +217,10 @@ class LanguageModel:
         return names, score
 
 
-def calibrated(scores: np.ndarray) -> float:
-    """The score below which a text is in none of the learned languages: a little less than the smallest that any learned text gets, the less the
-    fewer they are, for the smallest of few says little, and ``UNDECIDED`` at most."""
-    return min(UNDECIDED, 0.95 * float(scores.min()) * len(scores) / (len(scores) + SURE_BY)) if len(scores) else 0.0
+def calibrated(least: float, count: int) -> float:
+    """The score below which a text is in none of the learned languages: a little less than the least that any of ``count`` learned texts gets, the less the
+    fewer they are, for the least of few says little, and ``UNDECIDED`` at most."""
+    return min(UNDECIDED, 0.95 * least * count / (count + SURE_BY))
 
 
 def families_of(means: dict[str, np.ndarray]) -> dict[str, list[str]]:
@@ -217,58 +257,114 @@ def families_of(means: dict[str, np.ndarray]) -> dict[str, list[str]]:
     return {family: sorted(langs) for family, langs in families.items()}
 
 
-def train_language_model(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
-    """Learn from ``rows`` (id, text, lang), of which at most ``per_language`` of each language are read.
-
-    Every language is learned, see ``families_of``. Texts that tie in votes go to the larger sum of margins, then to the first by name. Rows with a null language or no letter in the text teach nothing. The sample is the same at every run: ids are ordered by a hash.
-    Only trigram frequencies of the sample come to the driver.
+def _trained(batches: Iterator[pd.DataFrame], scale: np.ndarray) -> Iterator[pd.DataFrame]:
+    """The machine that learns from one block of a duel, in whole parts; none if a side is missing. Equal rows are held once, with their number."""
+    copies: dict[tuple, int] = {}
+    duel = block = 0
+    for batch in batches:
+        duel, block = batch["duel"].iloc[0], batch["block"].iloc[0]
+        for row in zip(batch["side"], batch["bins"], batch["counts"], strict=True):
+            copies[row] = copies.get(row, 0) + 1
+    rows = sorted(copies)
+    y = np.array([side for side, *_ in rows], float)
+    if (y > 0).any() and (y < 0).any():
+        x = np.zeros((len(rows), DIMENSIONS), np.float32)
+        for row, (_, bins, counts) in zip(x, rows, strict=True):
+            used, share = _shares(bins, counts)
+            row[used] = share * scale[used]
+        w, b = train_svm(x, y, copies=np.array([copies[row] for row in rows], float))
+        machine = np.rint(np.append(w * scale, b) * FIXED).astype(np.int64)
+        yield pd.DataFrame({"duel": [duel], "block": [block], "machine": [machine.tobytes()], "blocks": [1]})
+
+
+def _merged(machines: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(m, np.int64) for m in machines["machine"])
+    return pd.DataFrame(
+        {"duel": machines["duel"].iloc[:1], "block": machines["block"].iloc[:1], "machine": [total.tobytes()], "blocks": [machines["blocks"].sum()]}
+    )
+
+
+def _learned(found: DataFrame, sides: list[tuple], scale: np.ndarray) -> DataFrame:
+    """(duel, machine, blocks): the summed machines of the blocks of each duel, and their number.
+
+    ``found`` holds the trigrams of every row, ``sides`` (lang, duel, side, blocks, times) in how many of a duel's blocks a row of a language is. Blocks follow
+    from the rows' ``place`` alone. What a task holds at a time is one block.
+    """
+    spark = found.sparkSession
+    # One row for each language and its duels may be broadcast.
+    part = F.broadcast(spark.createDataFrame(sides, "lang string, duel int, side int, of long, times long"))
+    rows = found.join(part, "lang").withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    rows = rows.select("duel", F.expr("pmod(pmod(place, of) + nth, of)").alias("block"), "side", "bins", "counts")
+    of = {duel: blocks for _, duel, _, blocks, _ in sides}
+    # A task takes a few blocks, however many there are.
+    tasks = max(min(sum(of.values()), 4 * spark.sparkContext.defaultParallelism), sum(of.values()) // 4)
+
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from _trained(batches, scale)
+
+    schema = "duel int, block long, machine binary, blocks long"
+    machines = rows.repartition(tasks, "duel", "block").groupBy("duel", "block").applyInPandas(train, schema)
+    left = max(of.values())
+    while left > 1:
+        left = -(-left // MERGED)
+        machines = machines.withColumn("block", F.expr(f"block div {MERGED}")).groupBy("duel", "block").applyInPandas(_merged, schema)
+    return machines.select("duel", "machine", "blocks")
+
+
+def train_language_model(rows: DataFrame, per_language: int = BLOCK, floor: bool = True) -> LanguageModel:
+    """Learn from all of ``rows`` (id, text, lang).
+
+    Every language is learned, see ``families_of``. Texts that tie in votes go to the larger sum of margins, then to the first by name. Rows with a null language or no letter in the text teach nothing.
+    A duel's rows are dealt to blocks by a hash of id and text, about ``per_language`` of either side to each; where a side is so rare that it would have less than a quarter of that
+    in a block, its rows are in several, each in as many. Every block teaches one machine, and the duel's machine is their mean, so each row has its part in it, whatever their
+    number. Blocks and sums do not depend on how the rows lie. With ``floor`` the model's floor is set, from the scores of all these texts.
+    Only summed frequencies of each language and the machines come to the driver.
     """
-    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").count().collect()
-    if not counts:
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("place", F.xxhash64("id", "text"))
+    rows = rows.select("lang", "place", "text")
+    totals = rows.mapInArrow(_totals, "lang string, bin int, total long").groupBy("lang", "bin").agg(F.sum("total").alias("total")).toPandas()
+    if not len(totals):
         return LanguageModel({}, [], np.zeros((0, DIMENSIONS)), np.zeros(0))
-    spread = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-    # About one and a half times the sample, so that the sort below stays small. One row for each language may be broadcast.
-    parts = [(lang, min(1 << 30, int(1.5 * per_language / n * (1 << 30)) + 1)) for lang, n in counts]
-    part = F.broadcast(rows.sparkSession.createDataFrame(parts, "lang string, part long"))
-    near = rows.withColumn("spread", spread).join(part, "lang").where("spread < part").drop("part")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("spread", "id"))
-    chosen = near.withColumn("nth", nth).where(F.col("nth") <= per_language)
-    sample = chosen.select("text", "lang").mapInPandas(_frequencies, "lang string, bins binary, share binary").toPandas()
-    sample = sample[[len(b) > 0 for b in sample["bins"]]].sort_values(["lang", "bins", "share"])
-    langs = sample["lang"].to_numpy()
-    used = [np.frombuffer(bins, np.uint16) for bins in sample["bins"]]
-    shares = [np.frombuffer(share, np.float32) for share in sample["share"]]
-    total = np.zeros(DIMENSIONS)
-    for bins, share in zip(used, shares, strict=True):
-        total[bins] += share
-    scale = 1 / np.sqrt(total / max(1, len(used)) + 1e-6)  # frequent trigrams would outweigh the rest
-
-    def dense(at: np.ndarray) -> np.ndarray:
-        x = np.zeros((len(at), DIMENSIONS), np.float32)
-        for row, i in zip(x, at, strict=True):
-            row[used[i]] = shares[i] * scale[used[i]]
-        return x
-
-    means = {lang: np.zeros(DIMENSIONS) for lang in set(langs)}
-    for lang, bins, share in zip(langs, used, shares, strict=True):
-        means[lang][bins] += share * scale[bins]
-    families = families_of(means)
-    family_of = {lang: family for family, members in families.items() for lang in members}
-    family = np.array([family_of[lang] for lang in langs], dtype=object)
-    duels = [("", a, b, family) for a, b in combinations(sorted(families), 2)]
-    duels += [(f, a, b, langs) for f, members in families.items() for a, b in combinations(members, 2)]
+    sums = {lang: np.zeros(DIMENSIONS + 1) for lang in sorted(set(totals["lang"]))}
+    for lang, part in totals.groupby("lang"):
+        sums[lang][part["bin"]] = part["total"]
+    texts = {lang: int(total[DIMENSIONS]) for lang, total in sums.items()}
+    total = sum(sums.values())[:DIMENSIONS] / FIXED
+    scale = 1 / np.sqrt(total / sum(texts.values()) + 1e-6)  # frequent trigrams would outweigh the rest
+    families = families_of({lang: found[:DIMENSIONS] * scale for lang, found in sums.items()})
+    duels = [("", a, b) for a, b in combinations(sorted(families), 2)]
+    duels += [(f, a, b) for f, members in families.items() for a, b in combinations(members, 2)]
+    sides = []
+    for k, (level, *names) in enumerate(duels):
+        members = [[name] if level else families[name] for name in names]
+        counts = [sum(texts[lang] for lang in langs) for langs in members]
+        blocks = max(1, round(sum(counts) / (2 * per_language)))
+        for side, langs, count in zip((1, -1), members, counts, strict=True):
+            times = min(blocks, math.ceil(blocks * per_language / 4 / count))
+            sides += [(lang, k, side, blocks, times) for lang in langs]
     weights, bias = np.zeros((len(duels), DIMENSIONS)), np.zeros(len(duels))
-    for k, (_, a, b, names) in enumerate(duels):
-        at = np.flatnonzero((names == a) | (names == b))
-        w, bias[k] = train_svm(dense(at), np.where(names[at] == a, 1.0, -1.0))
-        weights[k] = w * scale
-    model = LanguageModel(families, [d[:3] for d in duels], weights, bias)
-    own = np.array([weights[:, bins] @ share for bins, share in zip(used, shares, strict=True)]).reshape(len(used), len(duels)) + bias
-    model.floor = calibrated(model.decide(own)[1])
+    if duels:
+        found = rows.mapInArrow(_frequencies, "lang string, place long, bins binary, counts binary")
+        for k, machine, blocks in _learned(found, sides, scale).toPandas().itertuples(index=False):
+            mean = np.frombuffer(machine, np.int64) / (FIXED * blocks)
+            weights[k], bias[k] = mean[:-1], mean[-1]
+    model = LanguageModel(families, duels, weights, bias)
+    if floor:
+        model.floor = calibrated(*_least(rows, model))
     return model
 
 
+def _least(rows: DataFrame, model: LanguageModel) -> tuple[float, int]:
+    """The least score of all texts, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            _, score = model.predict(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_pydict({"least": [float(score.min())], "texts": [len(score)]})
+
+    return tuple(rows.select("text").mapInArrow(run, "least double, texts long").agg(F.min("least"), F.sum("texts")).first())
+
+
 def predict_languages(documents: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, lang_pred, score. Only the text is looked at, from its first to its last byte.
 
@@ -294,7 +390,7 @@ def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Train on the rows whose ``remainder`` by 5 is not 0 (null ids are not trained on), then predict every row:
     id, held_out, lang_pred, score. held_out is null for a null id."""
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    model = train_language_model(rows.where(remainder("id", 5) != 0))
+    model = train_language_model(rows.where(remainder("id", 5) != 0), floor=False)
     found = predict_languages(documents, model, id_col, text_col)
     return found.select(id_col, (remainder(id_col, 5) == 0).alias("held_out"), "lang_pred", "score")
 

@@ -132,6 +132,53 @@ def test_texts_without_a_letter_take_no_place_in_the_sample(spark):
     assert np.array_equal(want.weights, have.weights) and np.array_equal(want.bias, have.bias)
 
 
+def labelled():
+    """Far more rows than one block takes, of a frequent, a less frequent and a rare language, with repeated rows and a text like two languages."""
+    words = {"en": "the cat and a house with that", "de": "die katze und das haus mit dem", "fi": "talo ja kissa sekä järvi mutta"}
+    pick = np.random.default_rng(6)
+    found = [(i, " ".join(pick.choice(words[code].split(), 9)), code) for i, code in enumerate(["en"] * 90 + ["de"] * 30 + ["fi"] * 4)]
+    return found + found[:3] * 4 + [(500 + k, f"die cat kissa {k}", "de") for k in range(3)]
+
+
+def test_machines_are_means_of_blocks_that_hold_every_row(spark):
+    df = spark.createDataFrame(labelled(), "id long, text string, lang string")
+    model, per = train_language_model(df, per_language=10), 10
+
+    def shares(text):
+        data = b" " + text.encode().lower() + b" "
+        grams = [(data[i] | data[i + 1] << 8 | data[i + 2] << 16) * 0x9E3779B1 % 2**32 >> 20 for i in range(len(data) - 2)]
+        return np.bincount(grams, minlength=4096) / len(grams)
+
+    data = [(r["lang"], r["place"], shares(r["text"])) for r in rows(df.withColumn("place", F.xxhash64("id", "text")))]
+    scale = 1 / np.sqrt(np.mean([x for *_, x in data], axis=0) + 1e-6)
+    assert model.families == {"germanic": ["de", "en"], "uralic": ["fi"]} and len(model.machines) == 2
+    for k, (level, *names) in enumerate(model.machines):
+        members = [[name] if level else model.families[name] for name in names]
+        sides = [[(place, x * scale) for lang, place, x in data if lang in langs] for langs in members]
+        blocks = round(sum(map(len, sides)) / (2 * per))
+        held = [([], []) for _ in range(blocks)]
+        for i, side in enumerate(sides):
+            for place, x in side:
+                for nth in range(min(blocks, math.ceil(blocks * per / 4 / len(side)))):
+                    held[(place + nth) % blocks][i].append(x)
+        assert blocks > 3 and sum(len(p) + len(n) for p, n in held) >= sum(map(len, sides))
+        found = [train_svm(np.array(p + n), np.repeat([1.0, -1.0], [len(p), len(n)])) for p, n in held if p and n]
+        want = np.mean([w for w, _ in found], axis=0) * scale
+        assert np.abs(model.weights[k] - want).max() < 1e-3 * np.abs(want).max()
+        assert abs(model.bias[k] - np.mean([b for _, b in found])) < 1e-3
+
+
+def test_the_floor_is_below_every_learned_text_and_rows_may_lie_anyhow(spark):
+    found = labelled()
+    df = spark.createDataFrame(found, "id long, text string, lang string")
+    model = train_language_model(df.repartition(1), per_language=10)
+    least = min(plain_predict(model, text)[1][0] for _, text, _ in found)
+    want = 0.95 * least * len(found) / (len(found) + language.SURE_BY)
+    assert 0 < want < language.UNDECIDED and abs(model.floor - want) < 1e-9
+    other = train_language_model(df.repartition(7, F.rand(1)), per_language=10)
+    assert np.array_equal(model.weights, other.weights) and np.array_equal(model.bias, other.bias) and model.floor == other.floor
+
+
 def test_every_language_is_learned(spark):
     pick = np.random.default_rng(2)
     codes = [f"x{k:03d}" for k in range(230)]
